@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import clean, merchants, model
-from ledgerlake.sources.supplied import raw, wallet
+from ledgerlake import config
+from ledgerlake.functions import columns as X
+from ledgerlake.operators import change, clean, dedup, features, joins, merchants, model, profile
+from ledgerlake.operators import quality as dq
+from ledgerlake.operators.enrich import enrich_transactions
+from ledgerlake.plans import gold as gold_plan
+from ledgerlake.sources import catalog, layout, tables
+from ledgerlake.sources.supplied import wallet
+from ledgerlake.sources.workspace import fresh_path
+from ledgerlake.streaming import events as stream_in
+from ledgerlake.streaming import jobs, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# The supplied stream never has 100 arrivals in ten seconds; two is its busy level.
+BUSY = 2
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -40,11 +53,124 @@ def silver(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return clean.CLEANERS[table](wallet(spark, sf_dir, table))
 
 
+def silver_zone(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {t: silver(spark, sf_dir, t) for t in config.TABLES}
+
+
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.fact_transactions(silver(spark, sf_dir, "transactions"))
 
 
-# --- Cleaning ---------------------------------------------------------------------------------
+@cache
+def _prepared(application: str, sf_dir: str) -> config.Lakehouse:
+    spark = SparkSession.active()
+    lake = config.Lakehouse(fresh_path(spark, "prepared"))
+    tables.write_table(silver(spark, sf_dir, "transactions"), lake.path("silver", "transactions"),
+                       partition_by=config.TABLES["transactions"].partition_by)
+    json_lines(spark, sf_dir).write.text(lake.path("bronze", "event_lines"))
+    return lake
+
+
+def prepared(spark: SparkSession, sf_dir: str) -> config.Lakehouse:
+    """Inputs that several queries read back from disk; written once per session."""
+    return _prepared(spark.sparkContext.applicationId, sf_dir)
+
+
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_table(spark, prepared(spark, sf_dir), "silver", "transactions")
+
+
+def live_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_in.file_lines(spark, prepared(spark, sf_dir).path("bronze", "event_lines"))
+
+
+# --- Scans and sinks --------------------------------------------------------------------------
+
+
+@query
+def scan_zone(spark, sf_dir):
+    return shown(stored_silver(spark, sf_dir))
+
+
+@query
+def scan_pruned(spark, sf_dir):
+    return tables.read_present(stored_silver(spark, sf_dir), "transaction_id")
+
+
+@query
+def bronze_normalize(spark, sf_dir):
+    return shown(tables.normalize_bronze(wallet(spark, sf_dir, "transactions"), "transactions"))
+
+
+@query
+def write_verify(spark, sf_dir):
+    done = [
+        tables.write_verified(
+            tables.normalize_bronze(wallet(spark, sf_dir, t), t), t,
+            fresh_path(spark, f"bronze-{t}"))
+        for t in config.TABLES]
+    return spark.createDataFrame(
+        [(d.table, d.source_rows, d.target_rows) for d in done],
+        "table_name string, source_rows long, target_rows long")
+
+
+@query
+def ingest_summary(spark, sf_dir):
+    out = tables.ingest(
+        spark, config.Lakehouse(fresh_path(spark, "ingest")), lambda t: wallet(spark, sf_dir, t),
+        ["merchants", "users", "merchants", "login_events"], continue_on_error=True)
+    return out.select("table_name", "source_rows", "target_rows", "error")
+
+
+@query
+def partitioned_write(spark, sf_dir):
+    return stored_silver(spark, sf_dir).groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+        F.count(F.lit(1)).alias("row_count"), cents(F.sum("amount")).alias("total_amount"))
+
+
+@query
+def partition_prune(spark, sf_dir):
+    recent = stored_silver(spark, sf_dir).filter(
+        F.col("event_date").between("1997-01-01", "1997-03-31"))
+    return recent.groupBy("status").agg(
+        F.count(F.lit(1)).alias("row_count"), cents(F.sum("amount")).alias("total_amount"))
+
+
+@query
+def catalog_register(spark, sf_dir):
+    path = prepared(spark, sf_dir).path("silver", "transactions")
+    table = "silver_transactions_" + path.split("/")[-3].rsplit("-", 1)[1]
+    entry = catalog.register_verified(spark, "ledgerlake_check", table, path)
+    return spark.table(entry.name).agg(F.count(F.lit(1)).alias("catalog_rows"))
+
+
+@query
+def layout_report(spark, sf_dir):
+    return layout.layout_report(stored_silver(spark, sf_dir), "silver.transactions")
+
+
+@query
+def layout_rows(spark, sf_dir):
+    return layout_report(spark, sf_dir).select("table_name", "row_count")
+
+
+@query
+def compaction(spark, sf_dir):
+    before = prepared(spark, sf_dir).path("silver", "transactions")
+    after = fresh_path(spark, "compacted")
+    layout.compact(spark, before, after)
+    return layout.layout_report(spark.read.parquet(before), "before").unionByName(
+        layout.layout_report(spark.read.parquet(after), "after"))
+
+
+@query
+def compaction_keeps_rows(spark, sf_dir):
+    after = fresh_path(spark, "compacted")
+    layout.compact(spark, prepared(spark, sf_dir).path("silver", "transactions"), after)
+    return shown(spark.read.parquet(after))
+
+
+# --- Cleaning and columns ---------------------------------------------------------------------
 
 
 @query
@@ -57,9 +183,674 @@ def clean_users(spark, sf_dir):
     return shown(silver(spark, sf_dir, "users"))
 
 
+@query
+def clean_accounts(spark, sf_dir):
+    return shown(silver(spark, sf_dir, "accounts"))
+
+
+@query
+def clean_merchants(spark, sf_dir):
+    return silver(spark, sf_dir, "merchants")
+
+
+@query
+def clean_devices(spark, sf_dir):
+    return shown(silver(spark, sf_dir, "devices"))
+
+
+@query
+def clean_snapshots(spark, sf_dir):
+    return shown(silver(spark, sf_dir, "balance_snapshots"))
+
+
+@query
+def clean_logins(spark, sf_dir):
+    return shown(silver(spark, sf_dir, "login_events"))
+
+
+@query
+def ensure_column(spark, sf_dir):
+    old = wallet(spark, sf_dir, "transactions").drop("channel")
+    new = clean.typed_transactions(old)
+    return new.groupBy("channel").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def normalize_channel(spark, sf_dir):
+    tx = clean.typed_transactions(wallet(spark, sf_dir, "transactions"))
+    return tx.groupBy("channel").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def domain_filter(spark, sf_dir):
+    tx = clean.typed_transactions(wallet(spark, sf_dir, "transactions")).filter(X.in_domain())
+    return tx.groupBy("type", "status", "channel", "currency").agg(
+        F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def balance_rule(spark, sf_dir):
+    return profile.balance_rule_by_status(wallet(spark, sf_dir, "transactions"))
+
+
+@query
+def dedup_latest(spark, sf_dir):
+    return shown(dedup.keep_latest(
+        wallet(spark, sf_dir, "transactions"), ["transaction_id"], ["ingested_at"]))
+
+
+@query
+def dedup_any(spark, sf_dir):
+    return shown(dedup.keep_any(
+        wallet(spark, sf_dir, "balance_snapshots"), ["account_id", "snapshot_date"]))
+
+
+@query
+def dedup_any_keys(spark, sf_dir):
+    kept = dedup.keep_any(wallet(spark, sf_dir, "balance_snapshots"),
+                          ["account_id", "snapshot_date"], repeatable=False)
+    return shown(kept.select("account_id", "snapshot_date"))
+
+
+@query
+def dup_stats(spark, sf_dir):
+    return dedup.repeat_stats(wallet(spark, sf_dir, "transactions"), "transaction_id")
+
+
+@query
+def unique_key_violations(spark, sf_dir):
+    return dedup.repeated_keys(wallet(spark, sf_dir, "transactions"), ["transaction_id"])
+
+
+# --- Gold model -------------------------------------------------------------------------------
+
+
+@query
+def dim_user(spark, sf_dir):
+    return shown(model.dim_user(silver(spark, sf_dir, "users")))
+
+
+@query
+def dim_account(spark, sf_dir):
+    return shown(model.dim_account(silver(spark, sf_dir, "accounts")))
+
+
+@query
+def dim_merchant(spark, sf_dir):
+    return model.dim_merchant(silver(spark, sf_dir, "merchants"))
+
+
+@query
+def dim_device(spark, sf_dir):
+    return shown(model.dim_device(silver(spark, sf_dir, "devices")))
+
+
+def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.dim_date(*(silver(spark, sf_dir, t)
+                            for t in ("transactions", "login_events", "balance_snapshots")))
+
+
+@query
+def dim_date(spark, sf_dir):
+    return shown(dates(spark, sf_dir))
+
+
+@query
+def fact_transactions(spark, sf_dir):
+    return shown(fact(spark, sf_dir))
+
+
+@query
+def fact_logins(spark, sf_dir):
+    return shown(model.fact_login_events(silver(spark, sf_dir, "login_events")))
+
+
+@query
+def fact_snapshots(spark, sf_dir):
+    return shown(model.fact_balance_snapshot(silver(spark, sf_dir, "balance_snapshots")))
+
+
+@query
+def obt(spark, sf_dir):
+    return shown(enrich_transactions(
+        fact(spark, sf_dir),
+        model.dim_user(silver(spark, sf_dir, "users")),
+        model.dim_account(silver(spark, sf_dir, "accounts")),
+        model.dim_device(silver(spark, sf_dir, "devices")),
+        model.dim_merchant(silver(spark, sf_dir, "merchants")),
+        dates(spark, sf_dir)))
+
+
+# --- Features and merchant analytics ----------------------------------------------------------
+
+
+def rounded_features(df: DataFrame) -> DataFrame:
+    return shown(df.withColumn(
+        features.AVERAGE, mean_cents(F.col(features.AVERAGE), F.col(features.TOTAL)),
+    ).drop("created_timestamp"))
+
+
+@query
+def feat_user_90d(spark, sf_dir):
+    return rounded_features(features.user_features_90d(
+        fact(spark, sf_dir), model.dim_user(silver(spark, sf_dir, "users"))))
+
+
+def rounded_merchants(df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        "avg_amount": mean_cents(F.col("avg_amount"), F.col("transaction_count")),
+        "total_amount": cents(F.col("total_amount"))})
+
+
 @query
 def merchant_performance(spark, sf_dir):
-    out = merchants.merchant_performance(
-        fact(spark, sf_dir), silver(spark, sf_dir, "merchants"))
-    return out.withColumn("avg_amount", mean_cents(F.col("avg_amount"), F.col("transaction_count"))
-                          ).withColumn("total_amount", cents(F.col("total_amount")))
+    return rounded_merchants(merchants.merchant_performance(
+        fact(spark, sf_dir), silver(spark, sf_dir, "merchants")))
+
+
+@query
+def merchant_workload(spark, sf_dir):
+    return rounded_merchants(merchants.merchant_workload(
+        wallet(spark, sf_dir, "transactions"), wallet(spark, sf_dir, "merchants")))
+
+
+@query
+def merchant_workload_salted(spark, sf_dir):
+    return rounded_merchants(merchants.merchant_workload(
+        wallet(spark, sf_dir, "transactions"), wallet(spark, sf_dir, "merchants"), salts=16))
+
+
+@query
+def merchant_workload_join_first(spark, sf_dir):
+    return rounded_merchants(merchants.merchant_workload_join_first(
+        wallet(spark, sf_dir, "transactions"), wallet(spark, sf_dir, "merchants")))
+
+
+@query
+def control_totals(spark, sf_dir):
+    totals = merchants.control_totals(merchants.merchant_workload(
+        wallet(spark, sf_dir, "transactions"), wallet(spark, sf_dir, "merchants")))
+    return totals.withColumn("total_amount", cents(F.col("total_amount")))
+
+
+@query
+def conditional_counts(spark, sf_dir):
+    return wallet(spark, sf_dir, "transactions").groupBy("type").agg(
+        *[F.count_if(F.col("status") == s).alias(f"{s}_count")
+          for s in config.TRANSACTION_STATUSES])
+
+
+@query
+def merchant_skew_profile(spark, sf_dir):
+    return profile.skew_profile(wallet(spark, sf_dir, "transactions"), "merchant_id")
+
+
+@query
+def top_merchants(spark, sf_dir):
+    return profile.top_keys(wallet(spark, sf_dir, "transactions"), "merchant_id")
+
+
+@query
+def top_share(spark, sf_dir):
+    payments = wallet(spark, sf_dir, "transactions").filter("type = 'payment'")
+    distinct = payments.agg(F.count_distinct("merchant_id")).first()[0]
+    leaders = profile.top_keys(payments, "merchant_id", profile.top_key_count(distinct))
+    return profile.member_rate(payments, "merchant_id", leaders)
+
+
+# --- Profiles ---------------------------------------------------------------------------------
+
+
+@query
+def distinct_exact(spark, sf_dir):
+    return profile.distinct_exact(wallet(spark, sf_dir, "transactions"), "transaction_id")
+
+
+@query
+def distinct_approx(spark, sf_dir):
+    return profile.distinct_approx(wallet(spark, sf_dir, "transactions"), "transaction_id")
+
+
+@query
+def distinct_compare(spark, sf_dir):
+    return profile.distinct_compare(wallet(spark, sf_dir, "transactions"), "transaction_id")
+
+
+@query
+def distinct_error_bound(spark, sf_dir):
+    """The exact count, and whether the sketch stays within three standard errors of it."""
+    both = distinct_compare(spark, sf_dir)
+    bound = 3 * 100 * config.DEFAULT_RSD
+    return both.select("exact_count", (F.col("relative_error_pct") <= bound).alias("within_bound"))
+
+
+CARDINALITY_COLUMNS = ("transaction_id", "account_id", "merchant_id", "type")
+
+
+@query
+def cardinality_report(spark, sf_dir):
+    return profile.cardinality_report(wallet(spark, sf_dir, "transactions"), CARDINALITY_COLUMNS)
+
+
+@query
+def cardinality_within_bound(spark, sf_dir):
+    """Per column: does the sketch stay within three standard errors of the exact count?"""
+    tx = wallet(spark, sf_dir, "transactions")
+    exact = tx.agg(*[F.count_distinct(c).alias(c) for c in CARDINALITY_COLUMNS]).unpivot(
+        [], list(CARDINALITY_COLUMNS), "column_name", "exact_distinct")
+    off = F.abs(F.col("approx_distinct") - F.col("exact_distinct"))
+    return cardinality_report(spark, sf_dir).join(exact, "column_name").select(
+        "column_name", "exact_distinct",
+        (off <= 3 * config.DEFAULT_RSD * F.col("exact_distinct")).alias("within_bound"))
+
+
+@query
+def table_quality(spark, sf_dir):
+    bronze = {t: wallet(spark, sf_dir, t) for t in config.TABLES}
+    return dq.table_quality(bronze, silver_zone(spark, sf_dir))
+
+
+@query
+def hour_skew(spark, sf_dir):
+    return profile.value_shares(
+        wallet(spark, sf_dir, "transactions"), F.hour("timestamp"), "hour")
+
+
+@query
+def channel_skew(spark, sf_dir):
+    return profile.value_shares(wallet(spark, sf_dir, "transactions"), F.col("channel"), "channel")
+
+
+@query
+def status_mix(spark, sf_dir):
+    return profile.value_shares(wallet(spark, sf_dir, "transactions"), F.col("status"), "status")
+
+
+@query
+def null_rates(spark, sf_dir):
+    return profile.null_rates(
+        wallet(spark, sf_dir, "transactions"),
+        ["merchant_id", "counterparty_account_id", "channel"])
+
+
+@query
+def failed_rule_rates(spark, sf_dir):
+    return profile.failed_rule_rates(wallet(spark, sf_dir, "transactions"))
+
+
+@query
+def closing_balance(spark, sf_dir):
+    return shown(profile.closing_balance(wallet(spark, sf_dir, "transactions")))
+
+
+@query
+def latest_balance(spark, sf_dir):
+    return profile.latest_balance(
+        wallet(spark, sf_dir, "accounts"), wallet(spark, sf_dir, "balance_snapshots"))
+
+
+@query
+def devices_by_user(spark, sf_dir):
+    return profile.list_by_key(wallet(spark, sf_dir, "devices"), "user_id", "device_id",
+                               "device_ids")
+
+
+@query
+def logins_by_user(spark, sf_dir):
+    return profile.list_by_key(wallet(spark, sf_dir, "login_events"), "user_id", "login_id",
+                               "login_ids")
+
+
+@query
+def events_per_minute(spark, sf_dir):
+    return shown(profile.events_per_minute(wallet(spark, sf_dir, "stream_events")))
+
+
+@query
+def minutes_between(spark, sf_dir):
+    per_minute = profile.events_per_minute(wallet(spark, sf_dir, "stream_events"))
+    return shown(profile.minutes_between(per_minute, "2024-01-02", "17:15", "17:45"))
+
+
+@query
+def late_rate(spark, sf_dir):
+    return profile.late_rate(wallet(spark, sf_dir, "stream_events"), event="event_time")
+
+
+@query
+def repeatable_sample(spark, sf_dir):
+    return profile.repeatable_sample(
+        wallet(spark, sf_dir, "transactions"), "transaction_id").select(
+        "transaction_id", "type", "old_balance", "amount", "new_balance")
+
+
+@query
+def freshness(spark, sf_dir):
+    tx, logins = (wallet(spark, sf_dir, t) for t in ("transactions", "login_events"))
+    stream = wallet(spark, sf_dir, "stream_events")
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    out = profile.freshness({"offline": (tx, "timestamp"), "unified": (logins, "login_ts"),
+                             "streaming": (stream, "event_time")}, now)
+    return shown(out.withColumn("lag_minutes", F.round("lag_minutes", 3)))
+
+
+# --- Quality ----------------------------------------------------------------------------------
+
+
+def report_of(spark: SparkSession, sf_dir: str, table: str, ending: str) -> DataFrame:
+    """One rule of one raw (uncleaned) table, so that faults show up in the actual value."""
+    report = dq.table_report(wallet(spark, sf_dir, table), dq.silver_rules()[table])
+    return report.filter(F.col("rule_name") == f"{table}.{ending}")
+
+
+@query
+def dq_non_empty(spark, sf_dir):
+    return report_of(spark, sf_dir, "login_events", "non_empty")
+
+
+@query
+def dq_null_keys(spark, sf_dir):
+    rules = dq.RuleSet("transactions", ("transaction_id",), ("merchant_id", "channel"))
+    report = dq.table_report(wallet(spark, sf_dir, "transactions"), rules)
+    return report.filter("rule_name = 'transactions.null_key'")
+
+
+@query
+def dq_unique(spark, sf_dir):
+    return report_of(spark, sf_dir, "balance_snapshots", "duplicate_key")
+
+
+@query
+def dq_non_negative(spark, sf_dir):
+    rules = dq.RuleSet("fact_transactions", ("transaction_id",), ("transaction_id",), (
+        dq.non_negative("fact_transactions", "amount", "old_balance", "new_balance"),), gold=True)
+    report = dq.table_report(wallet(spark, sf_dir, "transactions"), rules)
+    return report.filter("rule_name = 'fact_transactions.non_negative_metrics'")
+
+
+@query
+def dq_domain(spark, sf_dir):
+    return dq.table_report(
+        wallet(spark, sf_dir, "transactions"), dq.silver_rules()["transactions"])
+
+
+@query
+def dq_rate(spark, sf_dir):
+    rates = features.user_features_90d(
+        fact(spark, sf_dir), model.dim_user(silver(spark, sf_dir, "users")))
+    report = dq.table_report(rates, dq.gold_rules()["feat_user_90d"])
+    return report.filter(F.col("rule_name").endswith("between_0_and_1"))
+
+
+@query
+def dq_row_counts(spark, sf_dir):
+    s = silver_zone(spark, sf_dir)
+    gold = {
+        "dim_user": model.dim_user(s["users"]), "dim_account": model.dim_account(s["accounts"]),
+        "dim_merchant": model.dim_merchant(s["merchants"]),
+        "dim_device": model.dim_device(s["devices"]),
+        "fact_transactions": model.fact_transactions(s["transactions"]),
+        "fact_login_events": model.fact_login_events(s["login_events"]),
+        "fact_balance_snapshot": model.fact_balance_snapshot(s["balance_snapshots"])}
+    return dq.row_count_report({**s, **gold}, dq.SILVER_TO_GOLD, across=True)
+
+
+@query
+def dq_row_counts_raw(spark, sf_dir):
+    """The same contract between raw and cleaned tables, where it fails for the faulty ones."""
+    raws = {t: wallet(spark, sf_dir, t) for t in config.TABLES}
+    cleaned = {f"silver_{t}": silver(spark, sf_dir, t) for t in config.TABLES}
+    return dq.row_count_report(
+        {**raws, **cleaned}, [(t, f"silver_{t}") for t in config.TABLES], across=False)
+
+
+@query
+def fk_orphans(spark, sf_dir):
+    return joins.orphan_keys(
+        wallet(spark, sf_dir, "transactions"), wallet(spark, sf_dir, "merchants")
+        .filter("category <> 'grocery'"), "merchant_id", "merchant_id")
+
+
+@query
+def dq_foreign_key(spark, sf_dir):
+    return dq.foreign_key_report(
+        wallet(spark, sf_dir, "transactions"), wallet(spark, sf_dir, "accounts"),
+        "counterparty_account_id", "account_id",
+        "transactions.counterparty_account_id_exists_in_accounts")
+
+
+@query
+def dq_silver(spark, sf_dir):
+    return dq.silver_report(silver_zone(spark, sf_dir))
+
+
+@query
+def dq_gold(spark, sf_dir):
+    s = silver_zone(spark, sf_dir)
+    lake = config.Lakehouse(fresh_path(spark, "gold"))
+    gold = gold_plan.build_gold(spark, lake, s)
+    return dq.gold_report(s, gold)
+
+
+@query
+def dq_gate(spark, sf_dir):
+    """The rows a passing gate returns for the cleaned transactions."""
+    rows = dq.transaction_gate(silver(spark, sf_dir, "transactions"))
+    return spark.createDataFrame(
+        [tuple(r) for r in rows],
+        "rule_name string, passed boolean, actual_value string, expected string")
+
+
+# --- Streams ----------------------------------------------------------------------------------
+
+
+def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wallet(spark, sf_dir, "stream_events")
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplied stream as raw JSON messages."""
+    line = stream_in.json_line(
+        "transaction_id", "user_id", "amount", F.col("event_time").alias("timestamp"),
+        "ingested_at", "seq")
+    return stream(spark, sf_dir).select(line.alias("value"))
+
+
+def finish(query) -> None:
+    query.awaitTermination()
+
+
+@query
+def stream_raw(spark, sf_dir):
+    """Live: JSON messages pass through a bounded stream unchanged."""
+    lines = live_lines(spark, sf_dir)
+    out = fresh_path(spark, "raw")
+    finish(jobs.run_raw(lines, f"{out}/data", f"{out}/checkpoint", bounded=True))
+    return spark.read.parquet(f"{out}/data").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("value").alias("distinct_messages"))
+
+
+@query
+def stream_parse(spark, sf_dir):
+    """Live: JSON messages parsed to typed events."""
+    lines = live_lines(spark, sf_dir)
+    out = fresh_path(spark, "parsed")
+    finish(jobs.to_table(stream_in.valid_events(lines), f"{out}/data", f"{out}/checkpoint", True))
+    return shown(spark.read.parquet(f"{out}/data").select(
+        "transaction_id", "user_id", "amount", "event_time", "ingested_at", "seq"))
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    """Messages cut off in transit (every text loses its last bracket) are all set aside."""
+    broken = json_lines(spark, sf_dir).select(
+        F.expr("substring(value, 1, length(value) - 1)").alias("value"))
+    return stream_in.quarantined(broken).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    marked = replay.mark_repeats(stream(spark, sf_dir))
+    return shown(marked.filter("NOT is_duplicate").drop("is_duplicate"))
+
+
+@query
+def stream_duplicates(spark, sf_dir):
+    return shown(replay.mark_repeats(stream(spark, sf_dir)).filter("is_duplicate")
+                 .drop("is_duplicate"))
+
+
+@query
+def stream_dedup_live(spark, sf_dir):
+    """Live: keyed state flags the repeats in a bounded run over the JSON messages."""
+    lines = live_lines(spark, sf_dir)
+    out = fresh_path(spark, "marked")
+    finish(jobs.run_marking(
+        stream_in.valid_events(lines), f"{out}/data", f"{out}/checkpoint", bounded=True))
+    return spark.read.parquet(f"{out}/data").select("transaction_id", "seq", "is_duplicate")
+
+
+@query
+def stream_late(spark, sf_dir):
+    unique = replay.mark_repeats(stream(spark, sf_dir)).filter("NOT is_duplicate")
+    late = replay.mark_late(unique.drop("is_duplicate")).filter("is_late")
+    return shown(late.drop("is_late"))
+
+
+@query
+def stream_features(spark, sf_dir):
+    out = features.stream_features(replay.on_time(stream(spark, sf_dir)))
+    return shown(out.withColumn("total_amount", cents(F.col("total_amount"))))
+
+
+@query
+def stream_features_live(spark, sf_dir):
+    """Live: windows over the on-time rows; those still open when the input ends stay unwritten."""
+    source, out = fresh_path(spark, "on-time"), fresh_path(spark, "features")
+    timely = replay.on_time(stream(spark, sf_dir))
+    timely.write.parquet(source)
+    live = jobs.window_features(jobs.read_marked(spark, source, timely.schema))
+    finish(jobs.to_table(live, f"{out}/data", f"{out}/checkpoint", True))
+    return shown(spark.read.parquet(f"{out}/data").withColumn(
+        "total_amount", cents(F.col("total_amount"))))
+
+
+@query
+def burst_monitor(spark, sf_dir):
+    return shown(replay.burst_windows(stream(spark, sf_dir), BUSY))
+
+
+@query
+def burst_monitor_live(spark, sf_dir):
+    """Live: burst windows; the ones that the end of the input leaves open stay unwritten."""
+    lines = live_lines(spark, sf_dir)
+    out = fresh_path(spark, "bursts")
+    finish(jobs.to_table(jobs.burst_monitor(stream_in.valid_events(lines), BUSY),
+                         f"{out}/data", f"{out}/checkpoint", True))
+    return shown(spark.read.parquet(f"{out}/data"))
+
+
+@query
+def stream_job(spark, sf_dir):
+    """Live: the whole job in a bounded run; rows per output."""
+    lines = live_lines(spark, sf_dir)
+    root = fresh_path(spark, "job")
+    jobs.run_job(stream_in.valid_events(lines), root, bounded=True, threshold=BUSY)
+    marked = spark.read.parquet(f"{root}/marked")
+    outputs: Mapping[str, DataFrame] = {
+        "unique": marked.filter("NOT is_duplicate"), "duplicate": marked.filter("is_duplicate"),
+        "late": spark.read.parquet(f"{root}/late"),
+        "burst": spark.read.parquet(f"{root}/bursts").filter("burst_detected")}
+    counts = None
+    for name, df in outputs.items():
+        row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("output"), "row_count")
+        counts = row if counts is None else counts.unionByName(row)
+    return counts
+
+
+@query
+def tagged_output(spark, sf_dir):
+    """The text lines of the window features."""
+    return jobs.tagged_lines(
+        features.stream_features(replay.on_time(stream(spark, sf_dir))), "FEATURE")
+
+
+@query
+def feat_stream_5m(spark, sf_dir):
+    events = stream(spark, sf_dir)
+    out = features.stream_features_with_burst(
+        replay.on_time(events), replay.burst_windows(events, BUSY))
+    return shown(out.withColumn(features.STREAM_TOTAL, cents(F.col(features.STREAM_TOTAL))))
+
+
+@query
+def feat_user_unified(spark, sf_dir):
+    offline = features.user_features_90d(
+        fact(spark, sf_dir), model.dim_user(silver(spark, sf_dir, "users")))
+    events = stream(spark, sf_dir)
+    windows = features.stream_features_with_burst(
+        replay.on_time(events), replay.burst_windows(events, BUSY))
+    windows = windows.withColumn(features.STREAM_TOTAL, cents(F.col(features.STREAM_TOTAL)))
+    return rounded_features(features.unified_features(offline, windows))
+
+
+@query
+def point_in_time(spark, sf_dir):
+    """Every login with the newest finished stream window of its user at that moment."""
+    labels = stream(spark, sf_dir).select(
+        "seq", "user_id", F.col("ingested_at").alias("label_time"))
+    events = stream(spark, sf_dir)
+    windows = features.stream_features(replay.on_time(events)).select(
+        "user_id", F.col("window_end").alias("event_timestamp"),
+        F.col("window_end").alias("created_timestamp"), "count",
+        cents(F.col("total_amount")).alias("total_amount"))
+    return shown(joins.as_of(
+        labels, windows, "user_id", "label_time", "event_timestamp", "created_timestamp",
+        ["count", "total_amount"]))
+
+
+# --- Changes ----------------------------------------------------------------------------------
+
+
+@query
+def upsert(spark, sf_dir):
+    """Cleaned transactions updated with the raw failed ones, which carry later versions."""
+    current = silver(spark, sf_dir, "transactions").select(
+        "transaction_id", "ingested_at", "status", "amount")
+    updates = wallet(spark, sf_dir, "transactions").filter("status = 'failed'").select(
+        "transaction_id", F.col("ingested_at"), F.lit("reversed").alias("status"), "amount")
+    updates = dedup.keep_latest(updates, ["transaction_id"], ["ingested_at"])
+    return shown(change.upserted(current, updates, ["transaction_id"], ["ingested_at"]))
+
+
+@query
+def upsert_partitions(spark, sf_dir):
+    """The same idea in place: one quarter of a partitioned table is rewritten on disk."""
+    path = fresh_path(spark, "upserted")
+    tables.write_table(
+        silver(spark, sf_dir, "transactions").select(
+            "transaction_id", "ingested_at", "status", "amount", "event_date"),
+        path, partition_by=("event_date",))
+    current = spark.read.parquet(path)
+    updates = current.filter(F.col("event_date").between("1997-01-01", "1997-03-31")).withColumn(
+        "status", F.lit("reviewed"))
+    change.upsert_partitions(
+        current, updates, path, ["transaction_id"], ["ingested_at"], "event_date")
+    return shown(spark.read.parquet(path))
+
+
+@query
+def cdc_apply(spark, sf_dir):
+    """Envelopes as JSON text, decoded and applied."""
+    log = wallet(spark, sf_dir, "change_log")
+    row = F.struct("order_id", "account_id", "status", "amount")
+    gone = F.col("op") == "d"
+    envelope = F.to_json(F.struct(
+        "op", F.struct(F.col("position").alias("lsn")).alias("source"),
+        F.when(gone, row).alias("before"), F.when(~gone, row).alias("after")))
+    changes = change.decode_changes(
+        log.select(envelope.alias("value")),
+        "order_id string, account_id string, status string, amount double")
+    return change.apply_changes(changes, ["order_id"])
