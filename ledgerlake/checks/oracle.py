@@ -80,9 +80,12 @@ WHERE login_id IS NOT NULL AND user_id IS NOT NULL AND device_id IS NOT NULL
 _SILVER = """
 SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date) FROM silver_transactions"""
 
-for _name in ("scan_zone", "compaction_keeps_rows", "clean_transactions"):
-    oracle(_name, _SILVER, "silver_transactions")
-oracle("scan_pruned", "SELECT transaction_id FROM silver_transactions", "silver_transactions")
+oracle("clean_transactions", _SILVER, "silver_transactions")
+for _name in ("scan_zone", "compaction_keeps_rows", "clean_logins"):
+    oracle(_name, """
+SELECT * REPLACE (CAST(login_date AS VARCHAR) AS login_date) FROM silver_logins""",
+           "silver_logins")
+oracle("scan_pruned", "SELECT login_id FROM silver_logins", "silver_logins")
 oracle("bronze_normalize", "SELECT * FROM transactions", "transactions")
 
 _TABLES = ("users", "accounts", "merchants", "devices", "transactions", "balance_snapshots",
@@ -95,18 +98,20 @@ oracle("ingest_summary", " UNION ALL ".join(
     f" CAST(NULL AS VARCHAR) AS error FROM {t}"
     for t in ("merchants", "users", "login_events")), "merchants", "users", "login_events")
 oracle("partitioned_write", """
-SELECT CAST(event_date AS VARCHAR) AS event_date, count(*) AS row_count,
-  round(sum(amount), 2) AS total_amount
-FROM silver_transactions GROUP BY ALL""", "silver_transactions")
+SELECT CAST(login_date AS VARCHAR) AS login_date, count(*) AS row_count,
+  count(*) FILTER (WHERE is_success) AS success_count
+FROM silver_logins GROUP BY ALL""", "silver_logins")
 oracle("partition_prune", """
-SELECT status, count(*) AS row_count, round(sum(amount), 2) AS total_amount
-FROM silver_transactions WHERE event_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31'
-GROUP BY status""", "silver_transactions")
-oracle("catalog_register", "SELECT count(*) AS catalog_rows FROM silver_transactions",
-       "silver_transactions")
+SELECT is_success, count(*) AS row_count, count(DISTINCT user_id) AS user_count
+FROM silver_logins WHERE login_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'
+GROUP BY is_success""", "silver_logins")
+oracle("schema_merge", """
+SELECT CASE WHEN channel IS NULL THEN 'old' ELSE 'new' END AS era, channel,
+  count(*) AS row_count FROM transactions GROUP BY 1, 2""", "transactions")
+oracle("catalog_register", "SELECT count(*) AS catalog_rows FROM silver_logins", "silver_logins")
 oracle("layout_rows", """
-SELECT 'silver.transactions' AS table_name, count(*) AS row_count FROM silver_transactions""",
-       "silver_transactions")
+SELECT 'silver.login_events' AS table_name, count(*) AS row_count FROM silver_logins""",
+       "silver_logins")
 
 for _name in ("users", "accounts", "merchants", "devices"):
     oracle(f"clean_{_name}", f"SELECT * FROM {_name}", _name)
@@ -114,9 +119,6 @@ for _name in ("users", "accounts", "merchants", "devices"):
 oracle("clean_snapshots", """
 SELECT * REPLACE (CAST(snapshot_date AS VARCHAR) AS snapshot_date) FROM silver_snapshots""",
        "silver_snapshots")
-oracle("clean_logins", """
-SELECT * REPLACE (CAST(login_date AS VARCHAR) AS login_date) FROM silver_logins""",
-       "silver_logins")
 oracle("ensure_column", """
 SELECT 'UNKNOWN' AS channel, count(*) AS row_count FROM transactions""", "transactions")
 oracle("normalize_channel", """
@@ -641,7 +643,7 @@ oracle("upsert_partitions", """
 SELECT transaction_id, ingested_at,
   CASE WHEN event_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31' THEN 'reviewed'
     ELSE status END AS status,
-  amount, CAST(event_date AS VARCHAR) AS event_date
+  amount, strftime(event_date, '%Y-%m') AS event_month
 FROM silver_transactions""", "silver_transactions")
 oracle("cdc_apply", """
 SELECT order_id, account_id, status, amount FROM (

@@ -16,7 +16,7 @@ from ledgerlake.operators.enrich import enrich_transactions
 from ledgerlake.plans import gold as gold_plan
 from ledgerlake.sources import catalog, layout, tables
 from ledgerlake.sources.supplied import wallet
-from ledgerlake.sources.workspace import fresh_path
+from ledgerlake.sources.workspace import fresh_path, written
 from ledgerlake.streaming import events as stream_in
 from ledgerlake.streaming import jobs, replay
 
@@ -62,22 +62,23 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @cache
-def _prepared(application: str, sf_dir: str) -> config.Lakehouse:
+def _prepared(application: str, sf_dir: str) -> tuple[config.Lakehouse, DataFrame]:
     spark = SparkSession.active()
     lake = config.Lakehouse(fresh_path(spark, "prepared"))
-    tables.write_table(silver(spark, sf_dir, "transactions"), lake.path("silver", "transactions"),
-                       partition_by=config.TABLES["transactions"].partition_by)
+    tables.write_table(silver(spark, sf_dir, "login_events"), lake.path("silver", "login_events"),
+                       partition_by=config.TABLES["login_events"].partition_by)
     json_lines(spark, sf_dir).write.text(lake.path("bronze", "event_lines"))
-    return lake
+    return lake, tables.read_table(spark, lake, "silver", "login_events")
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> config.Lakehouse:
     """Inputs that several queries read back from disk; written once per session."""
-    return _prepared(spark.sparkContext.applicationId, sf_dir)
+    return _prepared(spark.sparkContext.applicationId, sf_dir)[0]
 
 
-def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_table(spark, prepared(spark, sf_dir), "silver", "transactions")
+def stored_logins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver logins as stored, one folder per date."""
+    return _prepared(spark.sparkContext.applicationId, sf_dir)[1]
 
 
 def live_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,12 +90,12 @@ def live_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_zone(spark, sf_dir):
-    return shown(stored_silver(spark, sf_dir))
+    return shown(stored_logins(spark, sf_dir))
 
 
 @query
 def scan_pruned(spark, sf_dir):
-    return tables.read_present(stored_silver(spark, sf_dir), "transaction_id")
+    return tables.read_present(stored_logins(spark, sf_dir), "login_id")
 
 
 @query
@@ -124,29 +125,43 @@ def ingest_summary(spark, sf_dir):
 
 @query
 def partitioned_write(spark, sf_dir):
-    return stored_silver(spark, sf_dir).groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
-        F.count(F.lit(1)).alias("row_count"), cents(F.sum("amount")).alias("total_amount"))
+    return shown(stored_logins(spark, sf_dir).groupBy("login_date").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if("is_success").alias("success_count")))
 
 
 @query
 def partition_prune(spark, sf_dir):
-    recent = stored_silver(spark, sf_dir).filter(
-        F.col("event_date").between("1997-01-01", "1997-03-31"))
-    return recent.groupBy("status").agg(
-        F.count(F.lit(1)).alias("row_count"), cents(F.sum("amount")).alias("total_amount"))
+    recent = stored_logins(spark, sf_dir).filter(
+        F.col("login_date").between("2024-01-10", "2024-01-16"))
+    return recent.groupBy("is_success").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("user_id").alias("user_count"))
+
+
+@query
+def schema_merge(spark, sf_dir):
+    """Files from before and after a schema change read as one table; old rows lack the column."""
+    path = fresh_path(spark, "evolved")
+    tx = wallet(spark, sf_dir, "transactions")
+    old = tx.filter("channel IS NULL").drop("channel")
+    tables.write_table(old, f"{path}/bronze/transactions/era=old")
+    tables.write_table(tx.filter("channel IS NOT NULL"), f"{path}/bronze/transactions/era=new")
+    merged = tables.read_table(
+        spark, config.Lakehouse(path), "bronze", "transactions", merge_schema=True)
+    return merged.groupBy("era", "channel").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query
 def catalog_register(spark, sf_dir):
-    path = prepared(spark, sf_dir).path("silver", "transactions")
-    table = "silver_transactions_" + path.split("/")[-3].rsplit("-", 1)[1]
+    path = prepared(spark, sf_dir).path("silver", "login_events")
+    table = "login_events_" + path.split("/")[-3].rsplit("-", 1)[1]
     entry = catalog.register_verified(spark, "ledgerlake_check", table, path)
     return spark.table(entry.name).agg(F.count(F.lit(1)).alias("catalog_rows"))
 
 
 @query
 def layout_report(spark, sf_dir):
-    return layout.layout_report(stored_silver(spark, sf_dir), "silver.transactions")
+    return layout.layout_report(stored_logins(spark, sf_dir), "silver.login_events")
 
 
 @query
@@ -156,7 +171,7 @@ def layout_rows(spark, sf_dir):
 
 @query
 def compaction(spark, sf_dir):
-    before = prepared(spark, sf_dir).path("silver", "transactions")
+    before = prepared(spark, sf_dir).path("silver", "login_events")
     after = fresh_path(spark, "compacted")
     layout.compact(spark, before, after)
     return layout.layout_report(spark.read.parquet(before), "before").unionByName(
@@ -166,7 +181,7 @@ def compaction(spark, sf_dir):
 @query
 def compaction_keeps_rows(spark, sf_dir):
     after = fresh_path(spark, "compacted")
-    layout.compact(spark, prepared(spark, sf_dir).path("silver", "transactions"), after)
+    layout.compact(spark, prepared(spark, sf_dir).path("silver", "login_events"), after)
     return shown(spark.read.parquet(after))
 
 
@@ -627,8 +642,9 @@ def dq_silver(spark, sf_dir):
 @query
 def dq_gold(spark, sf_dir):
     s = silver_zone(spark, sf_dir)
-    lake = config.Lakehouse(fresh_path(spark, "gold"))
-    gold = gold_plan.build_gold(spark, lake, s)
+    # The supplied rows spread over 2,400 days; a folder per day would hold a dozen rows each.
+    gold = gold_plan.build_gold(
+        spark, config.Lakehouse(fresh_path(spark, "gold")), s, partitions={})
     return dq.gold_report(s, gold)
 
 
@@ -798,14 +814,14 @@ def feat_user_unified(spark, sf_dir):
 
 @query
 def point_in_time(spark, sf_dir):
-    """Every login with the newest finished stream window of its user at that moment."""
+    """Every arrival with the newest finished stream window of its user at that moment."""
     labels = stream(spark, sf_dir).select(
         "seq", "user_id", F.col("ingested_at").alias("label_time"))
     events = stream(spark, sf_dir)
-    windows = features.stream_features(replay.on_time(events)).select(
+    windows = written(features.stream_features(replay.on_time(events)).select(
         "user_id", F.col("window_end").alias("event_timestamp"),
         F.col("window_end").alias("created_timestamp"), "count",
-        cents(F.col("total_amount")).alias("total_amount"))
+        cents(F.col("total_amount")).alias("total_amount")), "feature-table")
     return shown(joins.as_of(
         labels, windows, "user_id", "label_time", "event_timestamp", "created_timestamp",
         ["count", "total_amount"]))
@@ -827,18 +843,22 @@ def upsert(spark, sf_dir):
 
 @query
 def upsert_partitions(spark, sf_dir):
-    """The same idea in place: one quarter of a partitioned table is rewritten on disk."""
+    """The same in place: three months of a table partitioned by month are rewritten on disk."""
     path = fresh_path(spark, "upserted")
     tables.write_table(
         silver(spark, sf_dir, "transactions").select(
-            "transaction_id", "ingested_at", "status", "amount", "event_date"),
-        path, partition_by=("event_date",))
-    current = spark.read.parquet(path)
-    updates = current.filter(F.col("event_date").between("1997-01-01", "1997-03-31")).withColumn(
+            "transaction_id", "ingested_at", "status", "amount",
+            F.date_format("event_date", "yyyy-MM").alias("event_month")),
+        path, partition_by=("event_month",))
+    current = spark.read.schema(
+        "transaction_id string, ingested_at timestamp, status string, amount double,"
+        " event_month string").parquet(path)
+    updates = current.filter(F.col("event_month").between("1997-01", "1997-03")).withColumn(
         "status", F.lit("reviewed"))
     change.upsert_partitions(
-        current, updates, path, ["transaction_id"], ["ingested_at"], "event_date")
-    return shown(spark.read.parquet(path))
+        current, updates, path, ["transaction_id"], ["ingested_at"], "event_month")
+    spark.catalog.refreshByPath(path)
+    return shown(spark.read.schema(current.schema).parquet(path))
 
 
 @query

@@ -20,6 +20,7 @@ log = logging.getLogger(__name__)
 
 def build_gold(
     spark: SparkSession, lake: config.Lakehouse, silver: Mapping[str, DataFrame],
+    partitions: Mapping[str, tuple[str, ...]] = config.GOLD_PARTITIONS,
 ) -> dict[str, DataFrame]:
     """Write every Gold table and return them as read back.
 
@@ -30,7 +31,7 @@ def build_gold(
 
     def publish(name: str, df: DataFrame) -> None:
         started = time.perf_counter()
-        write_table(df, lake.path("gold", name), lake.fmt, config.GOLD_PARTITIONS[name])
+        write_table(df, lake.path("gold", name), lake.fmt, partitions.get(name, ()))
         gold[name] = read_table(spark, lake, "gold", name)
         log.info("%s written in %.2f s", name, time.perf_counter() - started)
 

@@ -24,9 +24,18 @@ class IngestError(RuntimeError):
 # --- Reading ----------------------------------------------------------------------------------
 
 
-def read_table(spark: SparkSession, lake: Lakehouse, zone: str, table: str) -> DataFrame:
-    """Scan one table of a zone. `mergeSchema` shows columns that only newer files have."""
-    return spark.read.format(lake.fmt).option("mergeSchema", "true").load(lake.path(zone, table))
+def read_table(
+    spark: SparkSession, lake: Lakehouse, zone: str, table: str, merge_schema: bool = False,
+) -> DataFrame:
+    """Scan one table of a zone.
+
+    `merge_schema` shows columns that only some Parquet files have; it opens every footer first,
+    so ask for it only after a schema change.
+    """
+    reader = spark.read.format(lake.fmt)
+    if merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    return reader.load(lake.path(zone, table))
 
 
 def read_present(df: DataFrame, column: str) -> DataFrame:

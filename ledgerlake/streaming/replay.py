@@ -66,13 +66,16 @@ def window_closings(
     point), and a window's closing is the minimum over its own and all later grid points. The grid
     has 288 points a day; minima run within a day and then over days, a few thousand per decade.
     """
-    credited = events.groupBy(
-        window_start(F.col("event_time") - interval(delay), width).alias("window_end"),
-    ).agg(F.min(_arrival()).alias("closed_at"), F.lit(False).alias("used"))
-    wanted = events.groupBy(window_end(F.col("event_time"), width).alias("window_end")).agg(
-        F.lit(True).alias("used"))
+    row_end = window_end(F.col("event_time"), width)
+    closes = window_start(F.col("event_time") - interval(delay), width)
+    nobody = F.lit(None).cast(events.select(_arrival().alias("a")).schema["a"].dataType)
+    # Each row speaks for two grid points, in one pass: the one it closes and the one it sits in.
+    points = F.array(
+        F.struct(closes.alias("window_end"), _arrival().alias("closed_at"),
+                 F.lit(False).alias("used")),
+        F.struct(row_end.alias("window_end"), nobody.alias("closed_at"), F.lit(True).alias("used")))
     grid = (
-        credited.unionByName(wanted, allowMissingColumns=True)
+        events.select(F.inline(points))
         .groupBy("window_end").agg(F.min("closed_at").alias("closed_at"),
                                    F.bool_or("used").alias("used"))
         .withColumn("day", F.to_date("window_end"))
@@ -113,9 +116,13 @@ def mark_late(
 
 
 def on_time(events: DataFrame) -> DataFrame:
-    """First copies that arrived before their window closed: what the window features count."""
+    """First copies that arrived before their window closed: what the window features count.
+
+    The first copies are written out once, since lateness looks at them twice: at three narrow
+    columns to find when windows closed, and at the rows themselves.
+    """
     unique = mark_repeats(events).filter(~F.col("is_duplicate")).drop("is_duplicate")
-    return mark_late(unique).filter(~F.col("is_late")).drop("is_late")
+    return mark_late(written(unique, "first-copies")).filter(~F.col("is_late")).drop("is_late")
 
 
 def burst_windows(
