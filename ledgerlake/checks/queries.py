@@ -155,7 +155,8 @@ def schema_merge(spark, sf_dir):
 def catalog_register(spark, sf_dir):
     path = prepared(spark, sf_dir).path("silver", "login_events")
     table = "login_events_" + path.split("/")[-3].rsplit("-", 1)[1]
-    entry = catalog.register_verified(spark, "ledgerlake_check", table, path)
+    entry = catalog.register_verified(spark, "ledgerlake_check", table, path,
+                                      database_location=fresh_path(spark, "database"))
     return spark.table(entry.name).agg(F.count(F.lit(1)).alias("catalog_rows"))
 
 

@@ -101,18 +101,15 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole == 0, F.lit(0.0)).otherwise(part.cast("double") / whole)
 
 
-def window_end(ts: Column, width: str = config.STREAM_WINDOW) -> Column:
-    """End of the epoch-aligned tumbling window that holds `ts`."""
-    seconds = _seconds(width)
-    return F.timestamp_seconds((F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)) + 1)
-                               * F.lit(seconds))
+def window_start(ts: Column, width: str = config.STREAM_WINDOW) -> Column:
+    """Start of the epoch-aligned tumbling window that holds `ts`, in whole microseconds."""
+    micros = F.unix_micros(ts)
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(_seconds(width) * 1_000_000)))
 
 
-def window_start(ts: Column, width: str = config.STREAM_WINDOW) -> Column:
-    """Start of the epoch-aligned tumbling window that holds `ts`."""
-    seconds = _seconds(width)
-    return F.timestamp_seconds(F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000))
-                               * F.lit(seconds))
+def window_end(ts: Column, width: str = config.STREAM_WINDOW) -> Column:
+    """End of the epoch-aligned tumbling window that holds `ts`."""
+    return window_start(ts, width) + interval(width)
 
 
 def _seconds(width: str) -> int:

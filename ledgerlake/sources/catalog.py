@@ -20,8 +20,9 @@ class Registration:
     registered_now: bool
 
 
-def ensure_database(spark: SparkSession, database: str) -> None:
-    spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": database})
+def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db){' LOCATION :at' if location else ''}",
+              args={"db": database, **({"at": location} if location else {})})
 
 
 def register_table(
@@ -43,10 +44,10 @@ def count_rows(spark: SparkSession, database: str, table: str) -> int:
 
 def register_verified(
     spark: SparkSession, database: str, table: str, location: str, fmt: str = "parquet",
-    expected_rows: int | None = None,
+    expected_rows: int | None = None, database_location: str | None = None,
 ) -> Registration:
     """Register if needed, then count through the catalog and compare with `expected_rows`."""
-    ensure_database(spark, database)
+    ensure_database(spark, database, database_location)
     now = register_table(spark, database, table, location, fmt)
     spark.catalog.refreshTable(f"{database}.{table}")
     rows = count_rows(spark, database, table)

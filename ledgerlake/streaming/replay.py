@@ -63,8 +63,8 @@ def window_closings(
 
     A window is closed by the first arrival whose event time lies `delay` or more past its end. So
     each event is credited to the last window it closes (a partially aggregated minimum per grid
-    point), and a window's closing is the minimum over its own and all later grid points. The grid
-    has 288 points a day; minima run within a day and then over days, a few thousand per decade.
+    point), and a window's closing is the minimum over its own and all later grid points. Only the
+    grid meets in one task for that: 288 points a day, about a million in ten years.
     """
     row_end = window_end(F.col("event_time"), width)
     closes = window_start(F.col("event_time") - interval(delay), width)
@@ -78,19 +78,11 @@ def window_closings(
         events.select(F.inline(points))
         .groupBy("window_end").agg(F.min("closed_at").alias("closed_at"),
                                    F.bool_or("used").alias("used"))
-        .withColumn("day", F.to_date("window_end"))
-    )
-    later = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
-    days = grid.groupBy("day").agg(F.min("closed_at").alias("day_first")).select(
-        "day", F.min("day_first").over(later).alias("later_first"))
-    onward = (Window.partitionBy("day").orderBy(F.desc("window_end"))
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (
-        grid.withColumn("here_first", F.min("closed_at").over(onward))
-        .join(days, "day")
-        .filter("used")
-        .select("window_end", F.least("here_first", "later_first").alias("closed_at"))
     )
+    onward = Window.orderBy(F.desc("window_end")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return grid.withColumn("closed_at", F.min("closed_at").over(onward)).filter("used").select(
+        "window_end", "closed_at")
 
 
 def mark_late(
