@@ -6,8 +6,6 @@ time. Nothing here sorts the stream as a whole or walks through one key in one t
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,35 +23,83 @@ def _arrival() -> Column:
 def mark_repeats(
     events: DataFrame, key: str = "transaction_id", ttl: str = config.DEDUP_TTL,
 ) -> DataFrame:
-    """Adds `is_duplicate`: the key was first seen at most `ttl` earlier.
+    """Adds `is_duplicate`: the key was first seen at most `ttl` earlier. Keys are not NULL.
 
     A repeat does not prolong the time to live, so after `ttl` the next arrival is new again. Keys
     whose arrivals all fit into one `ttl` (practically all) need their first arrival only, a
-    partially aggregated minimum. Longer-lived keys are settled in rounds, each taking the first
-    open arrival and its `ttl`; a round works on minima as well, so a hot key is never gathered,
-    and there are at most as many rounds as `ttl` spans in the longest-lived key.
+    partially aggregated minimum. The others go through `first_sights`.
     """
-    alive = interval(ttl)
-    clock = ARRIVAL[0]
+    clock, seq = ARRIVAL
     spans = events.groupBy(key).agg(
         F.min(_arrival()).alias("_first"), F.max(clock).alias("_last"))
-    lasting = F.col("_last") > F.col(f"_first.{clock}") + alive
-    columns = [*events.columns, "is_duplicate"]
-
+    lasting = F.col("_last") > F.col(f"_first.{clock}") + interval(ttl)
     repeat = (_arrival() != F.col("_first")).alias("is_duplicate")
-    parts = [events.join(spans.filter(~lasting), key).select(*events.columns, repeat)]
+    brief = events.join(spans.filter(~lasting), key).select(*events.columns, repeat)
+
     long_lived = spans.filter(lasting).select(key)
     if long_lived.isEmpty():
-        return parts[0].select(*columns)
-
-    rest = written(events.join(long_lived, key, "left_semi"), "open-arrivals")
-    while not rest.isEmpty():
-        firsts = rest.groupBy(key).agg(F.min(_arrival()).alias("_first"))
-        step = rest.join(firsts, key)
-        settled = F.col(clock) <= F.col(f"_first.{clock}") + alive
-        parts.append(step.filter(settled).select(*events.columns, repeat))
-        rest = written(step.filter(~settled).select(*events.columns), "open-arrivals")
-    return reduce(DataFrame.unionByName, (p.select(*columns) for p in parts))
+        return brief
+    open_events = written(events.join(long_lived, key, "left_semi"), "long-lived")
+    instants = written(
+        open_events.groupBy(key, F.unix_micros(clock).alias("_at")).agg(F.min(seq).alias("_seq")),
+        "instants")
+    firsts = first_sights(instants, key, "_at", ttl).join(instants, [key, "_at"])
+    sighted = F.coalesce(F.col("_seq") == F.col(seq), F.lit(False))
+    lasting_marked = (
+        open_events.withColumn("_at", F.unix_micros(clock)).join(firsts, [key, "_at"], "left")
+        .select(*events.columns, (~sighted).alias("is_duplicate")))
+    return brief.unionByName(lasting_marked)
+
+
+def first_sights(instants: DataFrame, key: str, at: str, ttl: str) -> DataFrame:
+    """The (key, instant) pairs that start a time to live, given all distinct pairs.
+
+    From each instant a pointer leads to the first instant more than `ttl` later; the sights are
+    what the pointers reach from a key's earliest instant. Pointers are doubled each round (one
+    step, two steps, four, ...), so a key that lives for thousands of `ttl` takes a dozen rounds.
+    Every join is on (key, instant) and every sort covers one minute of a key, so rows of one hot
+    key are spread over all tasks.
+    """
+    jumps = written(_next_after(instants, key, at, ttl), "pointers")
+    reached = instants.groupBy(key).agg(F.min(at).alias(at))
+    frontier = reached
+    while True:
+        landed = reached.join(jumps, [key, at]).select(key, F.col("_next").alias(at))
+        frontier = written(landed, "sights")
+        if frontier.isEmpty():
+            return reached
+        reached = reached.unionByName(frontier)
+        onward = jumps.select(key, F.col(at).alias("_next"), F.col("_next").alias("_later"))
+        jumps = written(
+            jumps.join(onward, [key, "_next"]).select(key, at, F.col("_later").alias("_next")),
+            "pointers")
+
+
+def _next_after(instants: DataFrame, key: str, at: str, ttl: str) -> DataFrame:
+    """For each instant the first one of the same key more than `ttl` later, where there is one."""
+    minute = F.col("_t") - F.pmod(F.col("_t"), F.lit(60_000_000))
+    lag = F.unix_micros(F.timestamp_micros(F.col(at)) + interval(ttl))
+    nothing = F.lit(None).cast("long")
+    arrivals = instants.select(key, F.col(at).alias("_t"), F.lit(1).alias("_kind"),
+                               nothing.alias(at)).withColumn("_minute", minute)
+    asked = instants.select(key, lag.alias("_t"), F.lit(0).alias("_kind"),
+                            F.col(at)).withColumn("_minute", minute)
+    # What lies beyond the minute of a question: the earliest instant of any later minute.
+    later = Window.partitionBy(key).orderBy(F.desc("_minute")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    beyond = (
+        arrivals.unionByName(asked)
+        .groupBy(key, "_minute").agg(F.min(F.when(F.col("_kind") == 1, F.col("_t"))).alias("_min"))
+        .withColumn("_t", F.min("_min").over(later)).filter("_t IS NOT NULL")
+        .select(key, "_minute", "_t", F.lit(1).alias("_kind"), nothing.alias(at)))
+    # Going back in time, a question comes before an arrival of the same instant (not "later").
+    back = Window.partitionBy(key, "_minute").orderBy(F.desc("_t"), "_kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (
+        arrivals.unionByName(asked).unionByName(beyond)
+        .withColumn("_next", F.min(F.when(F.col("_kind") == 1, F.col("_t"))).over(back))
+        .filter((F.col("_kind") == 0) & F.col("_next").isNotNull())
+        .select(key, at, "_next"))
 
 
 def window_closings(
