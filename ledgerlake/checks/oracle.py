@@ -598,10 +598,23 @@ UNION ALL SELECT 'duplicate', count(*) FROM marked WHERE is_duplicate
 UNION ALL SELECT 'late', count(*) FROM judged WHERE is_late
 UNION ALL SELECT 'burst', count(*) FROM closed_bursts WHERE burst_detected""",
        "unique_events", "judged", "closed_bursts")
-oracle("tagged_output", """
+oracle("stream_refinements_live", "SELECT * FROM stream_windows", "stream_windows")
+
+
+def event_text(tag: str, table: str, condition: str) -> str:
+    return (f"SELECT '{tag}', printf('{tag} | transaction_id=%s | user_id=%s | amount=%.2f |"
+            f" event_time=%s', transaction_id, user_id, amount,"
+            f" strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f')) FROM {table} WHERE {condition}")
+
+
+oracle("tagged_output", f"""
 SELECT 'FEATURE' AS tag, printf('user_id=%s | window=%s -> %s | count=%d | amount=%.2f', user_id,
   strftime(window_start, '%Y-%m-%dT%H:%M:%S'), strftime(window_end, '%Y-%m-%dT%H:%M:%S'),
-  count, total_amount) AS line FROM stream_windows""", "stream_windows")
+  count, total_amount) AS line FROM stream_windows
+UNION ALL SELECT 'BURST', printf('(%d,%d,%d,%s)', epoch_ms(window_start), epoch_ms(window_end),
+  event_count, CAST(burst_detected AS VARCHAR)) FROM bursts
+UNION ALL {event_text('DUPLICATE', 'marked', 'is_duplicate')}
+UNION ALL {event_text('LATE', 'judged', 'is_late')}""", "stream_windows", "bursts")
 
 block("burst_features", """
 SELECT user_id, window_start + INTERVAL 5 MINUTE AS event_timestamp,

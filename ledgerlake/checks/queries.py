@@ -789,9 +789,28 @@ def stream_job(spark, sf_dir):
 
 @query
 def tagged_output(spark, sf_dir):
-    """The text lines of the window features."""
-    return jobs.tagged_lines(
-        features.stream_features(replay.on_time(stream(spark, sf_dir))), "FEATURE")
+    """The text lines of all four outputs."""
+    events = stream(spark, sf_dir)
+    marked = written(replay.mark_repeats(events).withColumn(
+        "timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")), "marked")
+    judged = written(replay.mark_late(marked.filter("NOT is_duplicate")), "judged")
+    return (
+        jobs.tagged_lines(features.stream_features(judged.filter("NOT is_late")), "FEATURE")
+        .unionByName(jobs.tagged_lines(replay.burst_windows(events, BUSY), "BURST"))
+        .unionByName(jobs.tagged_lines(marked.filter("is_duplicate"), "DUPLICATE"))
+        .unionByName(jobs.tagged_lines(judged.filter("is_late"), "LATE")))
+
+
+@query
+def stream_refinements_live(spark, sf_dir):
+    """Live: windows as refined so far, here up to the end of the input."""
+    source, out = fresh_path(spark, "on-time"), fresh_path(spark, "refined")
+    timely = replay.on_time(stream(spark, sf_dir))
+    timely.write.parquet(source)
+    live = jobs.read_marked(spark, source, timely.schema)
+    finish(jobs.run_refining(live, f"{out}/data", f"{out}/checkpoint", bounded=True))
+    return shown(jobs.refined_features(spark, f"{out}/data").withColumn(
+        "total_amount", cents(F.col("total_amount"))))
 
 
 @query

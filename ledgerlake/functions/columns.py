@@ -147,5 +147,11 @@ def event_line(label: str, tx: Column, user: Column, amount: Column, when: Colum
         F.lit(label), tx, user, amount, when)
 
 
+def burst_line(start: Column, end: Column, count: Column, burst: Column) -> Column:
+    """Text form of one burst window: bounds in epoch milliseconds, count, verdict."""
+    return F.format_string("(%d,%d,%d,%s)", F.unix_millis(start), F.unix_millis(end), count,
+                           burst.cast("string"))
+
+
 def mebibytes(size: Column) -> Column:
     return size / F.lit(1024 * 1024)

@@ -35,7 +35,9 @@ def upsert_partitions(
         ~F.col(partition).eqNullSafe(F.col("_to")))
     if not moved.isEmpty():
         raise ValueError(f"updates move keys to another {partition}; rewrite the table instead")
-    touched = current.join(updates.select(partition).distinct(), partition, "left_semi")
+    # As many values as there are partitions; as literals they prune the scan of the table.
+    values = [r[0] for r in updates.select(partition).distinct().collect()]
+    touched = current.filter(F.col(partition).isin(values))
     ready = written(upserted(touched, updates, keys, version), "upsert")
     (ready.hint("rebalance", partition).write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition).save(path))

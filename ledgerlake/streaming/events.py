@@ -15,26 +15,26 @@ def kafka_lines(
     spark: SparkSession, servers: str, topic: str = "transactions.raw",
     starting: str = "latest", streaming: bool = True,
 ) -> DataFrame:
-    """Raw messages of a topic as one `value` string column. Needs Spark's Kafka package.
+    """Raw messages of a topic as `value` text and `arrived_at`, the time the broker took them in.
 
-    A batch read is always bounded; use `starting="earliest"` for it.
+    Needs Spark's Kafka package. A batch read is always bounded; use `starting="earliest"` for it.
     """
     reader = (spark.readStream if streaming else spark.read).format("kafka").option(
         "kafka.bootstrap.servers", servers).option("subscribe", topic)
     return reader.option("startingOffsets", starting).load().select(
-        F.col("value").cast("string").alias("value"))
+        F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrived_at"))
 
 
 def file_lines(
     spark: SparkSession, path: str, streaming: bool = True, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """JSON lines from a folder as one `value` string column, in the same shape as Kafka's."""
-    if not streaming:
-        return spark.read.text(path)
-    reader = spark.readStream.format("text")
-    if files_per_batch:
+    """JSON lines from a folder, in the same shape as Kafka's; `arrived_at` is the file's time."""
+    reader = spark.readStream if streaming else spark.read
+    reader = reader.format("text")
+    if streaming and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    return reader.load(path).select(
+        "value", F.col("_metadata.file_modification_time").alias("arrived_at"))
 
 
 def json_line(*columns: Column) -> Column:

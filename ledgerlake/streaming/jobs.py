@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake import config
-from ledgerlake.functions.columns import event_line, feature_line
+from ledgerlake.functions.columns import burst_line, event_line, feature_line
+from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.operators.features import stream_features
 from ledgerlake.streaming.dedup import STATE_STORE, TTL_MS, flag_repeats
 from ledgerlake.streaming.replay import burst_windows, mark_late
@@ -46,7 +47,7 @@ def to_table(
 
 def run_raw(lines: DataFrame, path: str, checkpoint: str, bounded: bool = False) -> StreamingQuery:
     """Pass raw messages through unchanged."""
-    return to_table(lines, path, checkpoint, bounded)
+    return to_table(lines.select("value"), path, checkpoint, bounded)
 
 
 def run_marking(
@@ -79,6 +80,29 @@ def window_features(unique: DataFrame, delay: str = config.STREAM_CLOSE_DELAY) -
     return stream_features(unique.withWatermark("event_time", delay))
 
 
+def run_refining(
+    unique: DataFrame, root: str, checkpoint: str, bounded: bool = False,
+    delay: str = config.STREAM_CLOSE_DELAY,
+) -> StreamingQuery:
+    """Write every refinement of a window as soon as it is known, for readers who cannot wait.
+
+    Each micro-batch overwrites its own folder, so running it again changes nothing;
+    `refined_features` picks the last word on each window.
+    """
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+    writer = window_features(unique, delay).writeStream.outputMode("update").foreachBatch(
+        keep).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if bounded else writer).start()
+
+
+def refined_features(spark: SparkSession, root: str) -> DataFrame:
+    """The newest state of each (user, window) that `run_refining` has written."""
+    return keep_latest(spark.read.parquet(root), ["user_id", "window_start"], ["batch"]).drop(
+        "batch")
+
+
 def burst_monitor(
     arrivals: DataFrame, threshold: int = config.BURST_THRESHOLD, clock: str = "ingested_at",
 ) -> DataFrame:
@@ -114,10 +138,13 @@ def run_late(unique: DataFrame, root: str, checkpoint: str, bounded: bool = Fals
 
 
 def tagged_lines(df: DataFrame, tag: str) -> DataFrame:
-    """The text form of an output under its tag (FEATURE, DUPLICATE, LATE)."""
+    """The text form of an output under its tag (FEATURE, BURST, DUPLICATE, LATE)."""
     if tag == "FEATURE":
         line = feature_line(F.col("user_id"), F.col("window_start"), F.col("window_end"),
                             F.col("count"), F.col("total_amount"))
+    elif tag == "BURST":
+        line = burst_line(F.col("window_start"), F.col("window_end"), F.col("event_count"),
+                          F.col("burst_detected"))
     else:
         line = event_line(tag, F.col("transaction_id"), F.col("user_id"), F.col("amount"),
                           F.col("timestamp"))

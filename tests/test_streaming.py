@@ -171,6 +171,26 @@ def test_live_windows_equal_the_batch_form(spark, tmp_path):
         map(tuple, want.collect()))
 
 
+def test_refinements_end_in_the_batch_form(spark, tmp_path):
+    rows = random_stream(9, n=120, ids=10**6, jitter_minutes=0)
+    source = feed(spark, tmp_path, [rows[i:i + 30] for i in range(0, 120, 30)])
+    events = stream_in.valid_events(stream_in.file_lines(spark, source, files_per_batch=1))
+    jobs.run_refining(events, f"{tmp_path}/out", f"{tmp_path}/cp", bounded=True).awaitTermination()
+    got = jobs.refined_features(spark, f"{tmp_path}/out")
+    want = stream_features(frame(spark, rows))
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(
+        map(tuple, want.collect()))
+
+
+def test_bursts_of_raw_messages_by_file_arrival(spark, tmp_path):
+    source = feed(spark, tmp_path, [[(i, "t", "u", 1.0, START, START)] * 3 for i in range(3)])
+    lines = stream_in.file_lines(spark, source, files_per_batch=1)
+    jobs.to_table(jobs.burst_monitor(lines, 3, "arrived_at"), f"{tmp_path}/out", f"{tmp_path}/cp",
+                  bounded=True).awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert [(r.event_count, r.burst_detected) for r in got] == [(3, True), (3, True)]
+
+
 @pytest.mark.parametrize("top, count", [(370 * SEC, 1), (370 * SEC - MIN / 60000, 2)])
 def test_live_drop_boundary(spark, tmp_path, top, count):
     def row(seq, when):
