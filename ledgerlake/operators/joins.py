@@ -61,7 +61,8 @@ def as_of(
     into slices; one row per (key, slice) carries the last feature of earlier slices forward, and
     inside a slice labels look back only at that slice's features. A (key, slice) with more than
     `rows_per_task` labels is dealt out to several tasks, each with its own copy of the slice's
-    features. Nothing is capped: features that no label can see are the only rows left out.
+    features. Nothing is capped: features that no label can see are the only rows left out. Choose
+    `slice_by` ("day", "hour", "minute") so that the features of one key in one slice fit a task.
     """
     payload = F.struct(F.col(feature_time).alias("feature_time"),
                        *[F.col(v).alias(v) for v in values])
