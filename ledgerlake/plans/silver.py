@@ -5,13 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake import config
 from ledgerlake.operators.clean import CLEANERS
 from ledgerlake.operators.quality import transaction_gate
-from ledgerlake.sources.tables import read_table, selected_tables, write_counted
+from ledgerlake.sources.tables import read_table, selected_tables, write_table
 
 log = logging.getLogger(__name__)
 
@@ -23,19 +22,18 @@ def run_silver(
 ) -> DataFrame:
     """Clean and write the tables; returns bronze, silver and removed rows per table.
 
-    Rows in and out are counted while the write runs, so a table is scanned once. Transactions
-    pass their gate before anything is written: a failing load leaves the old table in place.
+    Rows in and out are counted on the stored tables, which reads footers only. Transactions pass
+    their gate before anything is written: a failing load leaves the old table in place.
     """
     counts = []
     for table in selected_tables(names):
-        seen = Observation()
         bronze = read_table(spark, lake, "bronze", table)
-        silver = CLEANERS[table](bronze.observe(seen, F.count(F.lit(1)).alias("n")))
+        silver = CLEANERS[table](bronze)
         if table == "transactions":
-            transaction_gate(CLEANERS[table](bronze))
-        rows_out = write_counted(silver, lake.path("silver", table), fmt=lake.fmt,
-                                 partition_by=config.TABLES[table].partition_by)
-        rows_in = seen.get["n"]
+            transaction_gate(silver)
+        write_table(silver, lake.path("silver", table), lake.fmt,
+                    config.TABLES[table].partition_by)
+        rows_in, rows_out = bronze.count(), read_table(spark, lake, "silver", table).count()
         counts.append((table, rows_in, rows_out, rows_in - rows_out))
         log.info("%s: bronze %d, silver %d, removed %d", *counts[-1])
     return spark.createDataFrame(counts, QUALITY)
