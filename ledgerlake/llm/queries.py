@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import host_quality, mixing
+from ledgerlake.llm import host_quality, mixing, near_dups
 from ledgerlake.llm.sql import ORACLE  # noqa: F401
 from ledgerlake.sources.supplied import raw
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(raw(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(raw(spark, sf_dir, "documents")).drop("text_md5")
 
@@ -20,5 +24,5 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_source_mixing, op10_host_quality)
+    f.__name__: f for f in (op2_near_duplicates, op7_source_mixing, op10_host_quality)
 }

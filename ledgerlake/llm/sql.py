@@ -66,4 +66,22 @@ SELECT doc_id, size, total AS source_size, target,
 FROM e
 """
 
-ORACLE: dict[str, str] = {"op7_source_mixing": OP7, "op10_host_quality": OP10}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4]) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have FROM s a JOIN s b
+  ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * both_have >= 75 * (x.n + y.n - both_have)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id,
+  d.doc_id = min(reach.b) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+ORACLE: dict[str, str] = {"op2_near_duplicates": OP2, "op7_source_mixing": OP7, "op10_host_quality": OP10}
