@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import host_quality, mixing, near_dups
+from ledgerlake.llm import decontaminate, host_quality, mixing, near_dups
 from ledgerlake.llm.sql import ORACLE  # noqa: F401
 from ledgerlake.sources.supplied import raw
 
@@ -19,10 +19,14 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(raw(spark, sf_dir, "documents")).drop("text_md5")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(raw(spark, sf_dir, "documents"), raw(spark, sf_dir, "benchmark"))
+
+
 def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality.judge(raw(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op7_source_mixing, op10_host_quality)
+    f.__name__: f for f in (op2_near_duplicates, op7_source_mixing, op9_decontamination, op10_host_quality)
 }

@@ -4,6 +4,27 @@ from __future__ import annotations
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP9 = rf"""
+WITH d AS (SELECT doc_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+b AS (SELECT item_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM benchmark),
+i AS (SELECT DISTINCT item_id, least(10, len(ws)) AS n, unnest(list_transform(
+    range(1, greatest(2, len(ws) - 8)), lambda i: ws[i:i + 9])) AS win FROM b WHERE len(ws) > 0),
+k AS (SELECT DISTINCT n FROM i),
+pl AS (SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS p, ws FROM d, k WHERE len(ws) >= n),
+o AS (SELECT doc_id, p, q.n, item_id FROM (SELECT doc_id, p, n, ws[p:p + n - 1] AS win FROM pl) q
+  JOIN i ON q.win = i.win AND q.n = i.n),
+h AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS w FROM o)
+  GROUP BY doc_id),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM o GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
 OP10 = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, source, t, {_WORDS.format('t')} AS ws FROM d),
@@ -66,7 +87,6 @@ SELECT doc_id, size, total AS source_size, target,
 FROM e
 """
 
-_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP2 = rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
@@ -84,4 +104,5 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id,
 FROM documents d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n
 """
 
-ORACLE: dict[str, str] = {"op2_near_duplicates": OP2, "op7_source_mixing": OP7, "op10_host_quality": OP10}
+ORACLE: dict[str, str] = {"op2_near_duplicates": OP2, "op7_source_mixing": OP7,
+    "op9_decontamination": OP9, "op10_host_quality": OP10}
