@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, host_quality, mixing, near_dups
+from ledgerlake.llm import decontaminate, host_quality, mixing, near_dups, suffix_dups, warc
 from ledgerlake.llm.sql import ORACLE  # noqa: F401
 from ledgerlake.sources.supplied import raw
 
@@ -15,6 +15,14 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(raw(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(raw(spark, sf_dir, "pages"))
+
+
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dups.report(raw(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(raw(spark, sf_dir, "documents")).drop("text_md5")
 
@@ -28,5 +36,6 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op7_source_mixing, op9_decontamination, op10_host_quality)
+    f.__name__: f for f in (op2_near_duplicates, op3_warc, op4_repeated_passages, op7_source_mixing,
+              op9_decontamination, op10_host_quality)
 }

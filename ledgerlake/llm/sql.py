@@ -60,6 +60,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
+_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr({0}, (i // 4) * 5 + 1, 5))::BIGINT
+      >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1)), '')"""
+
+OP3 = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS sha FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS newest FROM h)
+SELECT page_id, payload_bytes, {_BASE32.format("sha")} AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to
+FROM m
+"""
+
+OP4 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (SELECT doc_id, x, length(x) // 2 AS n FROM d),
+w AS (SELECT doc_id, p, substr(x, 2 * p + 1, 200) AS s FROM (
+  SELECT doc_id, x, unnest(range(0, n - 99)) AS p FROM b WHERE n >= 100)),
+g AS (SELECT doc_id, p, row_number() OVER (PARTITION BY md5(s) ORDER BY doc_id, p) AS k FROM w),
+hit AS (SELECT doc_id, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000) AS q
+  FROM g WHERE k > 1),
+runs AS (SELECT doc_id, p, sum((p > q + 100)::INT) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM hit),
+span AS (SELECT doc_id, r, min(p) AS a, max(p) + 100 AS z FROM runs GROUP BY ALL),
+gaps AS (SELECT b.doc_id, x, n, a, z, coalesce(lag(z) OVER o, 0) AS before, row_number() OVER o AS k,
+    count(*) OVER (PARTITION BY b.doc_id) AS spans, sum(z - a) OVER (PARTITION BY b.doc_id) AS removed
+  FROM b JOIN span USING (doc_id) WINDOW o AS (PARTITION BY b.doc_id ORDER BY a)),
+cut AS (SELECT doc_id, max(spans) AS spans, max(removed) AS removed,
+    string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a)
+      || max(CASE WHEN k = spans THEN substr(x, 2 * z + 1) ELSE '' END) AS kept
+  FROM gaps GROUP BY doc_id)
+SELECT b.doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM b LEFT JOIN cut USING (doc_id)
+"""
+
 OP7 = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 z AS (SELECT doc_id, source, md5(t) AS h, len({_WORDS.format('t')}) AS size,
@@ -104,5 +140,7 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id,
 FROM documents d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n
 """
 
-ORACLE: dict[str, str] = {"op2_near_duplicates": OP2, "op7_source_mixing": OP7,
+ORACLE: dict[str, str] = {
+    "op2_near_duplicates": OP2, "op3_warc": OP3, "op4_repeated_passages": OP4,
+    "op7_source_mixing": OP7,
     "op9_decontamination": OP9, "op10_host_quality": OP10}
