@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import decontaminate, host_quality, mixing, near_dups, suffix_dups, warc
+from ledgerlake.llm import (decontaminate, host_quality, language_id, mixing, near_dups, suffix_dups,
+                            training_order, warc)
 from ledgerlake.llm.sql import ORACLE  # noqa: F401
 from ledgerlake.sources.supplied import raw
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.write_shards(raw(spark, sf_dir, "documents"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(raw(spark, sf_dir, "documents"))
 
@@ -27,6 +32,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(raw(spark, sf_dir, "documents")).drop("text_md5")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(raw(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(raw(spark, sf_dir, "documents"), raw(spark, sf_dir, "benchmark"))
 
@@ -35,7 +44,7 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality.judge(raw(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op3_warc, op4_repeated_passages, op7_source_mixing,
-              op9_decontamination, op10_host_quality)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_training_order, op2_near_duplicates, op3_warc, op4_repeated_passages, op7_source_mixing,
+    op8_language_id, op9_decontamination, op10_host_quality,
+)}
