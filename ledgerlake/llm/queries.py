@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import (brown_lm, decontaminate, host_quality, language_id, mixing, near_dups, suffix_dups,
+from ledgerlake.llm import (brown_lm, decontaminate, host_quality, kneser_ney, language_id,
+                            mixing, near_dups, suffix_dups,
                             training_order, warc)
 from ledgerlake.llm.sql import ORACLE  # noqa: F401
 from ledgerlake.sources.supplied import raw
@@ -28,6 +29,11 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dups.report(raw(spark, sf_dir, "documents"))
 
 
+def op5_trusted_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = raw(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
+    return kneser_ney.classify(raw(spark, sf_dir, "documents"), trusted)
+
+
 def op6_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brown_lm.score(raw(spark, sf_dir, "documents"))
 
@@ -49,7 +55,7 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_training_order, op2_near_duplicates, op3_warc, op4_repeated_passages, op6_class_lm,
-    op7_source_mixing,
+    op1_training_order, op2_near_duplicates, op3_warc, op4_repeated_passages,
+    op5_trusted_perplexity, op6_class_lm, op7_source_mixing,
     op8_language_id, op9_decontamination, op10_host_quality,
 )}
