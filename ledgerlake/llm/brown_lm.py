@@ -139,9 +139,8 @@ def _number_of(words: np.ndarray, known: np.ndarray) -> np.ndarray:
 def _bigrams(frequent):
     """(pair, n): training bigrams of the frequent words, all others being one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
+        known, end = frequent.value, 0
         size = len(known) + 1
-        end = int(_number_of(np.array([END]), known)[0])
         total = np.zeros(size * size, np.int64)
         for batch in batches:
             for _, s in _shards(batch):
@@ -210,8 +209,7 @@ def _votes(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, own, ahead = model.value
         k = len(ahead)
-        own = np.append(own, k)
-        end = own[int(_number_of(np.array([END]), known)[0])]
+        own, end = np.append(own, k), own[0]
         for batch in batches:
             for _, s in _shards(batch):
                 classes = own[_number_of(s.words, known)]
@@ -327,8 +325,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     words = written(rows.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "words")
     total = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
 
-    top = words.orderBy(F.desc("n"), "word").limit(frequent).collect()  # a fixed number of rows
-    known = np.array([r.word for r in top] or [int(END)], np.int64).view(np.uint64)
+    top = (words.filter(F.col("word") != int(END)).orderBy(F.desc("n"), "word")
+           .limit(frequent).collect())  # a fixed number of rows
+    known = np.array([int(END), *(r.word for r in top)], np.int64).view(np.uint64)
     size = len(known) + 1
     counted = (shards.mapInArrow(_bigrams(share(known)), "pair long, n long")
                .groupBy("pair").agg(F.sum("n").alias("n")).collect())  # at most size * size
@@ -356,8 +355,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
             .agg(F.collect_list(F.struct("at", "n", "class")).alias("known")))
     joined = written(shards.join(held, F.col("shard") == F.col("of"), "left").drop("of"), "shards-known")
 
-    end = int(own[int(_number_of(np.array([END]), known)[0])]) if top else k
-    size = k + 2
+    end, size = int(own[0]), k + 2
     grams, once = np.zeros(size * size), np.zeros(size * size)
     for r in (joined.mapInArrow(_class_bigrams(size, end), "pair long, n long, once long")
               .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect()):

@@ -84,12 +84,12 @@ def _runs(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for chunk in T.chunks(batch.column(2)):
+            for chunk in T.chunks(batch.column(2), min(T.CHUNK_BYTES, PIECE)):
                 # a very long text goes piece by piece; pieces overlap by a window
                 for start in range(0, max(len(chunk.data), 1), PIECE):
-                    alone = len(chunk.data) <= PIECE
-                    data = chunk.data if alone else chunk.data[start:start + PIECE + length - 1]
-                    offsets = chunk.offsets if alone else np.array([0, len(data)])
+                    data, offsets = chunk.data[start:start + PIECE + length - 1], chunk.offsets
+                    if chunk.texts == 1:
+                        offsets = np.array([0, len(data)])
                     text, first, last, names, runs = anchored_runs(data, offsets, length)
                     row = chunk.first + text
                     yield pa.RecordBatch.from_pydict({
