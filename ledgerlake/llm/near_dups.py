@@ -10,9 +10,10 @@ is one shingle). Its sketch is the k smallest values of the set, so one hash fun
    retains count and make no list. Thus passages that very many documents share make no long lists.
 3. Every document of a list is paired with the list's smallest one. Pairs whose sketches' union puts
    them far below the threshold are left out; the others are verified on full sets.
-4. Verified links give components. Documents of one list that are in different components are
-   compared further: first each with its best few, then all that are left. Documents that are
-   connected already need no further pair, so a group of n near copies costs about n pairs.
+4. Verified links give components. Documents that the lists join but no link does are compared
+   further, those outside the largest component of such a cluster with all others, in blocks and on
+   full sets. Documents that are connected already need no further pair, and one link to each other
+   component is kept, so a group of near copies gives about as many rows as it has members.
 
 Links are confirmed exactly; no list, pair or document is capped or dropped. Null text, or text
 without words, has an empty set and no links. A null id comes last and never stands for others.
@@ -41,7 +42,6 @@ LEAST_SHARED = 28
 #: Documents with at most this many shingles are compared on whole sets by their sketches.
 WHOLE = 48
 BLOCK = 1024
-BEST = 4
 _LAST = 2**63 - 1
 _PAD = np.uint64(2**64 - 1)
 
@@ -70,6 +70,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(chunk)
             yield pa.RecordBatch.from_pydict({
                 "id": ids.slice(chunk.first, chunk.texts),
+                "tie": batch.column(2).slice(chunk.first, chunk.texts),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "class": pa.array([_signature(s) for s in sets], pa.binary()),
                 "sketch": pa.array([s[:RETAINED].tobytes() for s in sets], pa.binary())})
@@ -176,64 +177,75 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int)
     return carried(sets, "set", hopeful).mapInArrow(_verified(percent), "a long, b long").distinct()
 
 
-def _candidates(best: int | None):
-    """Pairs of a block of a list and some documents outside the list's largest component."""
+def _across(percent: int):
+    """Similar pairs of a block's members and some documents outside the largest component.
+
+    One link to each other component will do, so a document adds no more rows than those.
+    """
     def run(table: pa.Table) -> pa.Table:
         stray = np.array(table.column("stray").to_pylist(), bool)
         ids, comps = (table.column(c).to_numpy() for c in ("id", "component"))
-        sketches = _padded(table.column("sketch").to_pylist())
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("set")]
+        sizes = np.array([len(s) for s in sets])
+        sketches = _padded([s[:RETAINED].tobytes() for s in sets])
+        held = (sketches != _PAD).sum(1)
         members = np.flatnonzero(~stray)
-        out: list[tuple[np.ndarray, np.ndarray]] = []
+        out: list[tuple[int, int]] = []
         for s in np.flatnonzero(stray):
-            other = members[comps[members] != comps[s]]
-            shared = np.isin(sketches[other], sketches[s][sketches[s] != _PAD]).sum(1)
-            size = np.minimum((sketches[other] != _PAD).sum(1), (sketches[s] != _PAD).sum())
-            other = other[shared * RETAINED >= LEAST_SHARED * size]
-            if not len(other):
+            near = members[(comps[members] != comps[s])
+                           & (100 * np.minimum(sizes[members], sizes[s])
+                              >= percent * np.maximum(sizes[members], sizes[s]))]
+            own = sketches[s][:held[s]]
+            at = np.minimum(np.searchsorted(own, sketches[near]), held[s] - 1)
+            shared = ((own[at] == sketches[near]) & (sketches[near] != _PAD)).sum(1)
+            near = near[shared * RETAINED >= LEAST_SHARED * np.minimum(held[near], held[s])]
+            if not len(near):
                 continue
-            like = estimate(sketches[other], np.repeat(sketches[s][None], len(other), 0))
-            other, like = other[like >= LEAST_SHARED / RETAINED], like[like >= LEAST_SHARED / RETAINED]
-            if best is not None and len(other) > best:
-                other = other[np.argpartition(-like, best)[:best]]
-            out.append((np.minimum(ids[other], ids[s]), np.maximum(ids[other], ids[s])))
-        a, b = (np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64)
-                for i in (0, 1))
-        return pa.table({"a": a, "b": b})
+            flat = np.concatenate([sets[x] for x in near])
+            at = np.minimum(np.searchsorted(sets[s], flat), sizes[s] - 1)
+            starts = np.cumsum(sizes[near]) - sizes[near]
+            common = np.add.reduceat((sets[s][at] == flat).astype(np.int64), starts)
+            ok = near[100 * common >= percent * (sizes[near] + sizes[s] - common)]
+            _, firsts = np.unique(comps[ok], return_index=True)
+            out += [(int(ids[s]), int(ids[x])) for x in ok[firsts]]
+        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()),
+                         "b": pa.array([x[1] for x in out], pa.int64())})
     return run
 
 
-def _across(lists: DataFrame, classes: DataFrame, labels: DataFrame, best: int | None) -> DataFrame:
-    """Plausible pairs of documents that share a list and are not connected yet.
+def _links_across(pairs: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between documents that some chain of lists joins, but no verified link yet.
 
-    A list is dealt out in blocks; those outside its largest component, in blocks too, meet each.
+    Documents that share a list share its hub, so they are in one component of the pairs with hubs.
+    Where such a cluster has several verified components, those outside its largest one meet all
+    others, block by block; a set travels once for each block that it meets.
     """
+    rows = (components(pairs).select(F.col("node").alias("id"), F.col("component").alias("cluster")))
+    rows = rows.union(rows.select("cluster", "cluster").distinct())
     known = labels.select(F.col("node").alias("id"), "component")
-    rows = (lists.join(known, "id", "left")
-            .withColumn("component", F.coalesce("component", "id")))
-    mixed = (rows.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-             .filter("x <> y").select("value"))
-    rows = rows.join(mixed, "value", "left_semi")
-    by_component = rows.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = (by_component.groupBy("value").agg(
+    rows = written(rows.join(known, "id", "left")
+                   .withColumn("component", F.coalesce("component", "id")), "clusters")
+    by_component = rows.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = (by_component.groupBy("cluster").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"),
-        F.sum("n").alias("n"), F.max("n").alias("most"))
-        .select("value", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+        F.sum("n").alias("n"), F.max("n").alias("most")).filter("most < n")
+        .select("cluster", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
                 F.ceil((F.col("n") - F.col("most")) / BLOCK).cast("int").alias("stray_blocks")))
-    rows = rows.join(main, "value").join(classes.select("id", "sketch"), "id")
+    rows = rows.join(main, "cluster").join(sets, "id")
 
     def block(n: str):
         return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
 
     def every(n: str):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ("value", "id", "component", "sketch")
+    columns = ("cluster", "id", "component", "set")
     members = (rows.withColumn("block", block("blocks")).withColumn("turn", every("stray_blocks"))
                .select(*columns, "block", "turn", F.lit(False).alias("stray")))
     strays = (rows.filter("component <> main").withColumn("turn", block("stray_blocks"))
               .withColumn("block", every("blocks"))
               .select(*columns, "block", "turn", F.lit(True).alias("stray")))
-    return (members.union(strays).groupBy("value", "block", "turn")
-            .applyInArrow(_candidates(best), "a long, b long").distinct())
+    return (members.union(strays).groupBy("cluster", "block", "turn")
+            .applyInArrow(_across(percent), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -242,11 +254,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     `percent` of 75 or more; the sketches are made for that.
     """
+    return _grouped(docs, doc_id, text, percent).drop("tie")
+
+
+def _grouped(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     if percent < 75:
         raise ValueError("the sketches serve similarities of 75 percent or more")
     named = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("id"),
-                        F.col(text).alias("text"))
-    rows = written(named.mapInArrow(_sketched, "id long, n long, class binary, sketch binary"),
+                        F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
+    rows = written(named.mapInArrow(_sketched, "id long, tie long, n long, class binary, sketch binary"),
                    "sketches")
     classes = written(rows.filter("n > 0").groupBy("class")
                       .agg(F.min(F.struct("id", "n", "sketch")).alias("x"))
@@ -260,27 +276,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = named.join(small_side(involved), F.col("id") == F.col("i")).select("id", "text", "class")
     sets = written(texts.mapInArrow(_set_rows, "id long, set binary"), "sets")
 
-    pairs = lists.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    tested = written(pairs, "pairs")
-    links = written(_links(tested, classes, sets, percent), "verified")
-    labels = components(links)
-    for best in (BEST, None):
-        pairs = written(_across(lists.select("value", "id"), classes, labels, best)
-                        .join(tested, ["a", "b"], "left_anti"), "more-pairs")
-        if pairs.isEmpty():
-            continue
-        tested = tested.union(pairs)
-        links = links.union(written(_links(pairs, classes, sets, percent), "more-verified"))
-        labels = components(links)
+    pairs = written(lists.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+                    .distinct(), "pairs")
+    links = written(_links(pairs, classes, sets, percent), "verified")
+    more = written(_links_across(pairs, components(links), sets, percent), "more-verified")
+    labels = components(links.union(more))
 
     reached = (classes.select("class", F.col("id").alias("node")).join(labels, "node", "left")
                .select(F.col("class").alias("of"), F.coalesce("component", "node").alias("component")))
     own = F.when(F.col("id") != _LAST, F.col("id"))
     group = F.coalesce("component", "id")
-    return (rows.select("id", "n", "class").join(reached, F.col("class") == F.col("of"), "left")
+    return (rows.select("id", "tie", "n", "class").join(reached, F.col("class") == F.col("of"), "left")
             .select(own.alias("doc_id"), F.col("n").alias("n_shingles"),
                     F.when(group != _LAST, group).alias("component_id"),
-                    (group == F.col("id")).alias("kept")))
+                    (group == F.col("id")).alias("kept"), "tie"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -289,10 +298,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Of rows that repeat such an id, one stays; rows without an id stay once per text.
     """
-    kept = (near_duplicates(docs, doc_id, text, percent).filter("kept")
-            .select(F.coalesce("doc_id", F.lit(_LAST)).alias("__kept")).distinct())
-    rows = docs.select(F.struct(*docs.columns).alias("__row"),
-                       F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("__kept"),
-                       F.when(F.col(doc_id).isNull(), F.md5(text)).alias("__other"))
-    return (rows.join(kept, "__kept", "left_semi").dropDuplicates(["__kept", "__other"])
-            .select("__row.*"))
+    kept = (_grouped(docs, doc_id, text, percent).filter("kept")
+            .select(F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.col("tie").alias("__tie"))
+            .distinct())
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.xxhash64(text).alias("__tie"),
+                       F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("__id"))
+    own = F.when(F.col("__id") == _LAST, F.col("__tie"))
+    return (rows.join(kept, ["__id", "__tie"], "left_semi").withColumn("__own", own)
+            .dropDuplicates(["__id", "__own"]).select("__row.*"))

@@ -61,7 +61,6 @@ def test_as_brute_force(documents, seed):
 
 def test_lists_in_blocks_as_brute_force(documents, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 8)
-    monkeypatch.setattr(N, "BEST", 1)
     rows, df = documents(5, 5, extra=near_copies(7, 3, 60))
     assert sorted(tuple(r) for r in N.near_duplicates(df).collect()) == brute(rows)
 
