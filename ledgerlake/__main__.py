@@ -90,15 +90,13 @@ def run(args, spark: SparkSession) -> int:
         else:
             print(json.dumps(measure.distinct_benchmark(spark, transactions, rsd=args.rsd)))
     elif args.job == "stream":
-        for query in jobs.run_job(events.valid_events(live_lines(spark, args)),
-                                  f"{args.root}/stream", args.bounded, args.threshold).values():
+        for query in jobs.run_job(live_lines(spark, args),
+                                  f"{args.root}/stream", args.bounded, args.threshold,
+                                  text_lines=True).values():
             query.awaitTermination()
     elif args.job == "burst":
-        lines = live_lines(spark, args)
-        # Every raw message counts by its arrival; a replay takes arrival from the events instead.
-        arrivals, clock = ((events.valid_events(lines), "ingested_at") if args.bounded
-                           else (lines, "arrived_at"))
-        jobs.to_table(jobs.burst_monitor(arrivals, args.threshold, clock),
+        # Every raw message counts, by its arrival.
+        jobs.to_table(jobs.burst_monitor(live_lines(spark, args), args.threshold),
                       f"{args.root}/stream/burst_monitor", f"{args.root}/stream/_checkpoints/burst",
                       args.bounded).awaitTermination()
     return 0

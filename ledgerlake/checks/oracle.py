@@ -572,9 +572,6 @@ SELECT time_bucket(INTERVAL 10 SECOND, ingested_at) AS window_start,
   time_bucket(INTERVAL 10 SECOND, ingested_at) + INTERVAL 10 SECOND AS window_end,
   count(*) AS event_count, count(*) >= 2 AS burst_detected
 FROM stream_events GROUP BY 1, 2""", "stream_events")
-block("closed_bursts", """
-SELECT * FROM bursts WHERE window_end <= (SELECT max(ingested_at) FROM stream_events)""", "bursts")
-
 oracle("stream_raw", """
 SELECT count(*) AS row_count, count(DISTINCT seq) AS distinct_messages FROM stream_events""",
        "stream_events")
@@ -587,17 +584,39 @@ oracle("stream_dedup_live", "SELECT transaction_id, seq, is_duplicate FROM marke
 oracle("stream_late", "SELECT * EXCLUDE (is_late, window_start) FROM judged WHERE is_late",
        "judged")
 oracle("stream_features", "SELECT * FROM stream_windows", "stream_windows")
-oracle("stream_features_live", """
-SELECT * FROM stream_windows WHERE window_end + INTERVAL 70 SECOND
-  <= (SELECT max(event_time) FROM judged WHERE NOT is_late)""", "stream_windows", "judged")
+oracle("stream_features_live", "SELECT * FROM stream_windows", "stream_windows")
 oracle("burst_monitor", "SELECT * FROM bursts", "bursts")
-oracle("burst_monitor_live", "SELECT * FROM closed_bursts", "closed_bursts")
+oracle("burst_monitor_live", "SELECT * FROM bursts", "bursts")
 oracle("stream_job", """
-SELECT 'unique' AS output, count(*) AS row_count FROM unique_events
-UNION ALL SELECT 'duplicate', count(*) FROM marked WHERE is_duplicate
-UNION ALL SELECT 'late', count(*) FROM judged WHERE is_late
-UNION ALL SELECT 'burst', count(*) FROM closed_bursts WHERE burst_detected""",
-       "unique_events", "judged", "closed_bursts")
+SELECT 'unique' AS output, count(*) AS row_count, NULL::DOUBLE AS total FROM unique_events
+UNION ALL SELECT 'duplicate', count(*), NULL FROM marked WHERE is_duplicate
+UNION ALL SELECT 'late', count(*), NULL FROM judged WHERE is_late
+UNION ALL SELECT 'features', (SELECT count(*) FROM stream_windows), round(sum(amount), 1)
+  FROM judged WHERE NOT is_late
+UNION ALL SELECT 'feature_events', count(*), NULL FROM judged WHERE NOT is_late
+UNION ALL SELECT 'burst', count(*), NULL FROM bursts WHERE burst_detected
+UNION ALL SELECT 'quarantine', count(*), NULL FROM (
+  SELECT (epoch_us(ingested_at) - min(epoch_us(ingested_at)) OVER ()) * 5
+    // (max(epoch_us(ingested_at)) OVER () - min(epoch_us(ingested_at)) OVER () + 1) AS round
+  FROM stream_events) WHERE round = 1""",
+       "unique_events", "judged", "stream_windows", "bursts", "stream_events")
+oracle("stream_dedup_identical", """
+SELECT transaction_id, copy > 0 AS is_duplicate FROM stream_events, range(3) c(copy)
+WHERE seq % 2 = 0 AND (copy = 0 OR seq % 134 = 0)""", "stream_events")
+block("folded", "SELECT * REPLACE ('k' || (seq % 40)::VARCHAR AS transaction_id) FROM stream_events",
+      "stream_events")
+block("folded_sights", """
+SELECT transaction_id, min({'at': ingested_at, 'seq': seq}) AS sight
+FROM folded GROUP BY transaction_id
+UNION ALL
+SELECT e.transaction_id, min({'at': e.ingested_at, 'seq': e.seq})
+FROM folded_sights s JOIN folded e ON e.transaction_id = s.transaction_id
+  AND e.ingested_at > s.sight.at + INTERVAL 30 MINUTE
+GROUP BY e.transaction_id""", "folded")
+oracle("stream_dedup_long", """
+SELECT e.transaction_id, e.seq, s.transaction_id IS NULL AS is_duplicate FROM folded e
+LEFT JOIN folded_sights s ON s.transaction_id = e.transaction_id AND s.sight.seq = e.seq""",
+       "folded_sights")
 oracle("stream_refinements_live", "SELECT * FROM stream_windows", "stream_windows")
 
 

@@ -673,6 +673,14 @@ def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream(spark, sf_dir).select(line.alias("value"))
 
 
+def as_sent(lines: DataFrame) -> DataFrame:
+    """The supplied messages carry the broker's clock and position in their own fields."""
+    return lines.withColumns({
+        "arrived_at": F.get_json_object("value", "$.ingested_at").try_cast("timestamp"),
+        "partition": F.lit("0"),
+        "position": F.get_json_object("value", "$.seq").try_cast("long")})
+
+
 def finish(query) -> None:
     query.awaitTermination()
 
@@ -724,7 +732,7 @@ def stream_dedup_live(spark, sf_dir):
     lines = live_lines(spark, sf_dir)
     out = fresh_path(spark, "marked")
     finish(jobs.run_marking(
-        stream_in.valid_events(lines), f"{out}/data", f"{out}/checkpoint", bounded=True))
+        stream_in.valid_events(as_sent(lines)), f"{out}/data", f"{out}/checkpoint", bounded=True))
     return spark.read.parquet(f"{out}/data").select("transaction_id", "seq", "is_duplicate")
 
 
@@ -741,15 +749,35 @@ def stream_features(spark, sf_dir):
     return shown(out.withColumn("total_amount", cents(F.col("total_amount"))))
 
 
+@cache
+def _job(application: str, sf_dir: str) -> str:
+    """The whole job over the raw JSON messages in five micro-batches; run once per session."""
+    spark = SparkSession.active()
+    root, source = fresh_path(spark, "job"), fresh_path(spark, "messages")
+    clock = F.get_json_object("value", "$.ingested_at").try_cast("timestamp")
+    first, last = json_lines(spark, sf_dir).agg(
+        F.min(F.unix_micros(clock)), F.max(F.unix_micros(clock))).first()
+    fifth = F.floor((F.unix_micros(clock) - F.lit(first)) * 5 / F.lit(last - first + 1))
+    rounds = written(json_lines(spark, sf_dir).withColumn("round", fifth), "rounds")
+    for i in range(5):
+        # one file a round, so that files are taken in order of arrival
+        part = rounds.filter(F.col("round") == i).select("value")
+        if i == 1:  # and messages that were cut off on the way
+            part = part.union(part.select(F.expr("substring(value, 1, length(value) - 1)")))
+        part.coalesce(1).write.mode("append").text(source)
+    lines = stream_in.file_lines(spark, source, files_per_batch=1)
+    jobs.run_job(as_sent(lines), root, bounded=True, threshold=BUSY)
+    return root
+
+
+def job_output(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return jobs.job_output(spark, _job(spark.sparkContext.applicationId, sf_dir), name, BUSY)
+
+
 @query
 def stream_features_live(spark, sf_dir):
-    """Live: windows over the on-time rows; those still open when the input ends stay unwritten."""
-    source, out = fresh_path(spark, "on-time"), fresh_path(spark, "features")
-    timely = replay.on_time(stream(spark, sf_dir))
-    timely.write.parquet(source)
-    live = jobs.window_features(jobs.read_marked(spark, source, timely.schema))
-    finish(jobs.to_table(live, f"{out}/data", f"{out}/checkpoint", True))
-    return shown(spark.read.parquet(f"{out}/data").withColumn(
+    """Live: all windows of the job, the late rows left out."""
+    return shown(job_output(spark, sf_dir, "features").withColumn(
         "total_amount", cents(F.col("total_amount"))))
 
 
@@ -760,33 +788,47 @@ def burst_monitor(spark, sf_dir):
 
 @query
 def burst_monitor_live(spark, sf_dir):
-    """Live: burst windows; the ones that the end of the input leaves open stay unwritten."""
-    lines = live_lines(spark, sf_dir)
-    out = fresh_path(spark, "bursts")
-    finish(jobs.to_table(jobs.burst_monitor(stream_in.valid_events(lines), BUSY),
-                         f"{out}/data", f"{out}/checkpoint", True))
-    return shown(spark.read.parquet(f"{out}/data"))
+    """Live: all burst windows of the job."""
+    return shown(job_output(spark, sf_dir, "bursts"))
 
 
 @query
 def stream_job(spark, sf_dir):
-    """Live: the whole job in a bounded run; rows per output."""
-    lines = live_lines(spark, sf_dir)
-    root = fresh_path(spark, "job")
-    jobs.run_job(stream_in.valid_events(lines), root, bounded=True, threshold=BUSY)
-    marked = spark.read.parquet(f"{root}/marked")
+    """Live: the whole job over raw messages; rows per output, and the windows' counts and totals."""
     outputs: Mapping[str, DataFrame] = {
-        "unique": marked.filter("NOT is_duplicate"), "duplicate": marked.filter("is_duplicate"),
-        "late": spark.read.parquet(f"{root}/late"),
-        "burst": spark.read.parquet(f"{root}/bursts").filter("burst_detected")}
+        "unique": job_output(spark, sf_dir, "marked").filter("NOT is_duplicate"),
+        "duplicate": job_output(spark, sf_dir, "marked").filter("is_duplicate"),
+        "late": job_output(spark, sf_dir, "late"),
+        "features": job_output(spark, sf_dir, "features"),
+        "feature_events": job_output(spark, sf_dir, "on_time"),
+        "burst": job_output(spark, sf_dir, "bursts").filter("burst_detected"),
+        "quarantine": job_output(spark, sf_dir, "quarantine")}
     counts = None
     for name, df in outputs.items():
-        row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("output"), "row_count")
+        total = F.sum("total_amount") if name == "features" else F.lit(None).cast("double")
+        row = df.agg(F.count(F.lit(1)).alias("row_count"), F.round(total, 1).alias("total")).select(
+            F.lit(name).alias("output"), "row_count", "total")
         counts = row if counts is None else counts.unionByName(row)
     return counts
 
 
+@query
+def stream_dedup_identical(spark, sf_dir):
+    """Messages resent exactly as they were, without any number of their own."""
+    sent = stream(spark, sf_dir).filter("seq % 2 = 0")
+    resent = sent.filter("seq % 134 = 0")
+    return replay.mark_repeats(sent.union(resent).union(resent).drop("seq")).select(
+        "transaction_id", "is_duplicate")
+
+
+@query
+def stream_dedup_long(spark, sf_dir):
+    """Few ids that return for hours: each is new again 30 minutes after it was last new."""
+    folded = stream(spark, sf_dir).withColumn(
+        "transaction_id", F.concat(F.lit("k"), (F.col("seq") % 40).cast("string")))
+    return replay.mark_repeats(folded).select("transaction_id", "seq", "is_duplicate")
+
+
 @query
 def tagged_output(spark, sf_dir):
     """The text lines of all four outputs."""
@@ -807,7 +849,7 @@ def stream_refinements_live(spark, sf_dir):
     source, out = fresh_path(spark, "on-time"), fresh_path(spark, "refined")
     timely = replay.on_time(stream(spark, sf_dir))
     timely.write.parquet(source)
-    live = jobs.read_marked(spark, source, timely.schema)
+    live = jobs.read_stored(spark, source, timely.schema)
     finish(jobs.run_refining(live, f"{out}/data", f"{out}/checkpoint", bounded=True))
     return shown(jobs.refined_features(spark, f"{out}/data").withColumn(
         "total_amount", cents(F.col("total_amount"))))

@@ -32,7 +32,8 @@ def _first_seen_processor(fields: tuple[str, ...], order: tuple[str, ...], ttl_m
                 elif first is None:
                     first = row
                 else:
-                    earlier = tuple(row[o] for o in order) < tuple(first[o] for o in order)
+                    earlier = ([(row[o] is not None, row[o]) for o in order if row[o] != first[o]]
+                               < [(first[o] is not None, first[o]) for o in order if row[o] != first[o]])
                     loser, first = (first, row) if earlier else (row, first)
                     yield out(*(loser[f] for f in fields), True)
             if first is not None:
@@ -46,14 +47,15 @@ def _first_seen_processor(fields: tuple[str, ...], order: tuple[str, ...], ttl_m
 
 
 def flag_repeats(
-    events: DataFrame, key: str = "transaction_id", order: tuple[str, ...] = ("ingested_at", "seq"),
-    ttl_ms: int = TTL_MS,
+    events: DataFrame, key: str = "transaction_id",
+    order: tuple[str, ...] = ("arrived_at", "partition", "position"), ttl_ms: int = TTL_MS,
 ) -> DataFrame:
     """Streaming: adds `is_duplicate`, with a processing-time TTL per key.
 
     Needs the RocksDB state store. `order` columns decide which copy inside one micro-batch came
-    first and must not be NULL.
+    first; NULLs come before all else. Without them any copy of a micro-batch may be the first.
     """
+    order = tuple(c for c in order if c in events.columns)
     schema = T.StructType([*events.schema.fields, T.StructField("is_duplicate", T.BooleanType())])
     return events.groupBy(key).transformWithState(
         _first_seen_processor(tuple(events.columns), tuple(order), ttl_ms),

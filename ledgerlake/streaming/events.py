@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ledgerlake import config
 from ledgerlake.functions.columns import all_of
 
+#: Where and when a message came in: name, type, and what stands for unknown.
+ARRIVAL = (("arrived_at", "timestamp", "1970-01-01 00:00:00"), ("partition", "string", ""),
+           ("position", "long", -1))
 REQUIRED = ("transaction_id", "user_id", "amount", "timestamp")
 
 
@@ -15,26 +18,34 @@ def kafka_lines(
     spark: SparkSession, servers: str, topic: str = "transactions.raw",
     starting: str = "latest", streaming: bool = True,
 ) -> DataFrame:
-    """Raw messages of a topic as `value` text and `arrived_at`, the time the broker took them in.
+    """Raw messages of a topic as `value`, and where and when the broker took them in: `arrived_at`,
+    `partition`, `position`.
 
     Needs Spark's Kafka package. A batch read is always bounded; use `starting="earliest"` for it.
     """
     reader = (spark.readStream if streaming else spark.read).format("kafka").option(
         "kafka.bootstrap.servers", servers).option("subscribe", topic)
     return reader.option("startingOffsets", starting).load().select(
-        F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrived_at"))
+        F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrived_at"),
+        F.col("partition").cast("string").alias("partition"), F.col("offset").alias("position"))
 
 
 def file_lines(
     spark: SparkSession, path: str, streaming: bool = True, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """JSON lines from a folder, in the same shape as Kafka's; `arrived_at` is the file's time."""
+    """JSON lines from a folder, in the same shape as Kafka's.
+
+    `arrived_at` is the file's time, `partition` its path, and `position` where in the file its
+    block begins; lines of one block have no order.
+    """
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("text")
     if streaming and files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path).select(
-        "value", F.col("_metadata.file_modification_time").alias("arrived_at"))
+        "value", F.col("_metadata.file_modification_time").alias("arrived_at"),
+        F.col("_metadata.file_path").alias("partition"),
+        F.col("_metadata.file_block_start").alias("position"))
 
 
 def json_line(*columns: Column) -> Column:
@@ -46,12 +57,15 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """Typed events plus the raw text and `malformed` (bad JSON, missing key, bad amount or time).
 
     Everything is read as text first, so one bad field cannot void a whole record, and amounts are
-    accepted as numbers or as numeric text.
+    accepted as numbers or as numeric text. Where the lines have them, `arrived_at`, `partition` and
+    `position` are carried along; they are the order of arrival and never NULL.
     """
+    arrival = [F.coalesce(c, F.lit(least).cast(kind)).alias(c) for c, kind, least in ARRIVAL
+               if c in lines.columns]
     schema = ", ".join(f"`{name}` string" for name in (*config.EVENT_FIELDS, "seq"))
-    fields = lines.select("value", F.from_json("value", schema).alias("e"))
+    fields = lines.select("value", *arrival, F.from_json("value", schema).alias("e"))
     typed = fields.select(
-        "value", "e.transaction_id", "e.user_id",
+        "value", *[c for c, _, _ in ARRIVAL if c in lines.columns], "e.transaction_id", "e.user_id",
         F.col("e.amount").try_cast("double").alias("amount"),
         "e.timestamp",
         F.col("e.timestamp").try_cast("timestamp").alias("event_time"),
@@ -68,4 +82,5 @@ def valid_events(lines: DataFrame) -> DataFrame:
 
 def quarantined(lines: DataFrame) -> DataFrame:
     """The raw text of records that cannot be used; keep it, a poison record must not stop a job."""
-    return parse_lines(lines).filter("malformed").select("value")
+    bad = parse_lines(lines).filter("malformed")
+    return bad.select("value", *[c for c, _, _ in ARRIVAL if c in bad.columns])

@@ -1,8 +1,10 @@
 """Live jobs built from the stream operators.
 
-`run_marking` writes every parsed event with its duplicate flag through Spark's file sink, which
-commits each micro-batch exactly once. The feature, late and duplicate branches read that table, so
-the dedup state exists once however many branches there are.
+`run_job` keeps the dedup state in one streaming query and judges each micro-batch of its output row
+by row: repeats, late rows and on-time rows go to folders of their own, on-time rows are added to
+their windows, and windows that the batch has closed are written. Each micro-batch overwrites its
+own folders and reads only those of earlier ones, so running it again changes nothing, and the
+result does not depend on how the input falls into micro-batches.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from ledgerlake.functions.columns import burst_line, event_line, feature_line
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.operators.features import stream_features
 from ledgerlake.streaming.dedup import STATE_STORE, TTL_MS, flag_repeats
+from ledgerlake.streaming.events import quarantined, valid_events
 from ledgerlake.streaming.replay import burst_windows, mark_late
 
 
@@ -61,13 +64,9 @@ def run_marking(
         return to_table(flag_repeats(events, ttl_ms=ttl_ms), path, checkpoint, bounded)
 
 
-def read_marked(
-    spark: SparkSession, path: str, schema, files_per_batch: int | None = None,
-) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+def read_stored(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A stored table as a stream, all files that are there in one micro-batch."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def window_features(unique: DataFrame, delay: str = config.STREAM_CLOSE_DELAY) -> DataFrame:
@@ -75,7 +74,7 @@ def window_features(unique: DataFrame, delay: str = config.STREAM_CLOSE_DELAY) -
 
     Spark moves the watermark between micro-batches, so a row that becomes late inside its own
     micro-batch is still counted. Unlike a watermark per source partition, Spark's is the maximum
-    over all of them; widen `delay` when one partition lags behind.
+    over all of them; widen `delay` when one partition lags behind. `run_job` has no such limits.
     """
     return stream_features(unique.withWatermark("event_time", delay))
 
@@ -104,37 +103,111 @@ def refined_features(spark: SparkSession, root: str) -> DataFrame:
 
 
 def burst_monitor(
-    arrivals: DataFrame, threshold: int = config.BURST_THRESHOLD, clock: str = "ingested_at",
+    arrivals: DataFrame, threshold: int = config.BURST_THRESHOLD, clock: str = "arrived_at",
+    delay: str = "10 seconds",
 ) -> DataFrame:
-    """Streaming burst counts over raw arrivals; empty windows emit nothing."""
-    return burst_windows(arrivals.withWatermark(clock, "0 seconds"), threshold, clock=clock)
+    """Streaming burst counts over raw arrivals; empty windows emit nothing.
+
+    A window is final `delay` after its end; an arrival may be out of order by that much.
+    """
+    return burst_windows(arrivals.withWatermark(clock, delay), threshold, clock=clock)
+
+
+def _folder(batch_id: int) -> str:
+    return f"{batch_id:012d}"
+
 
+LIVE_ARRIVAL = ("arrived_at", "partition", "position")
+_PROGRESS = "seen timestamp, arrived timestamp"
+_WINDOWS = ("user_id string, window_start timestamp, window_end timestamp, count long,"
+            " total_amount double")
+_BURSTS = "window_start timestamp, window_end timestamp, event_count long"
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    """One row per window of all its parts."""
+    keys = [c for c in parts.columns if c in ("user_id", "window_start", "window_end")]
+    return parts.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in parts.columns if c not in keys))
+
+
+def job_batch(
+    spark: SparkSession, root: str, burst_delay: str = "10 seconds",
+    delay: str = config.STREAM_CLOSE_DELAY,
+) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function over marked events (`is_duplicate`) that writes under `root`:
 
-def late_splitter(spark: SparkSession, root: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that writes late rows per micro-batch under `root`/late.
+    * `marked`, `late`, `on_time`: the rows of the batch, judged one by one;
+    * `features`, `bursts`: windows that the batch has closed. A burst window that gets an arrival
+      after that gets another row, with what is added; readers sum up;
+    * `open_features`, `open_bursts`: windows still open, as far as they have come;
+    * `progress`: the greatest event time and arrival so far, one row.
 
-    The greatest event time of earlier batches is carried in `root`/progress, one row per batch.
-    Each batch overwrites its own folders and reads only those of earlier batches, so running a
-    batch again gives the same output.
+    Only the open windows and the progress of the batch before are read back.
     """
-    def split(batch: DataFrame, batch_id: int) -> None:
-        progress = f"{root}/progress"
-        seen = None
-        if batch_id > 0:
-            seen = F.lit(spark.read.parquet(f"{progress}/batch={batch_id - 1}").first()["seen"])
-        mark_late(batch, seen_until=seen).filter("is_late").drop("is_late").write.mode(
-            "overwrite").parquet(f"{root}/late/batch={batch_id}")
-        top = F.max("event_time")
-        batch.agg((top if seen is None else F.greatest(top, seen)).alias("seen")).write.mode(
-            "overwrite").parquet(f"{progress}/batch={batch_id}")
-    return split
-
-
-def run_late(unique: DataFrame, root: str, checkpoint: str, bounded: bool = False):
-    """Write the late rows of a deduplicated stream (evidence; the windows drop them anyway)."""
-    writer = unique.writeStream.foreachBatch(late_splitter(unique.sparkSession, root)).option(
-        "checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if bounded else writer).start()
+    def step(batch: DataFrame, batch_id: int) -> None:
+        def put(df: DataFrame, name: str) -> None:
+            df.write.mode("overwrite").parquet(f"{root}/{name}/{_folder(batch_id)}")
+
+        def before(name: str, schema: str) -> DataFrame:
+            return spark.read.schema(schema).parquet(f"{root}/{name}/{_folder(batch_id - 1)}")
+
+        def windows(name: str, schema: str, parts: DataFrame, reached, after: str) -> None:
+            columns = [c.split()[0] for c in schema.split(", ")]
+            parts = parts.select(*columns)
+            if batch_id:
+                parts = parts.union(before(f"open_{name}", schema))
+            parts = _summed(parts).persist()
+            limit = F.col("window_end") + F.expr(f"INTERVAL {after}")
+            closed = F.coalesce(limit <= F.lit(reached).cast("timestamp"), F.lit(False))
+            put(parts.filter(closed).select(*columns), name)
+            put(parts.filter(~closed).select(*columns), f"open_{name}")
+            parts.unpersist()
+
+        seen, arrived = before("progress", _PROGRESS).first() if batch_id else (None, None)
+        batch = batch.persist()
+        try:
+            put(batch, "marked")
+            judged = mark_late(
+                batch.filter("NOT is_duplicate").drop("is_duplicate"), delay=delay,
+                seen_until=None if seen is None else F.lit(seen), order=LIVE_ARRIVAL).persist()
+            put(judged.filter("is_late").drop("is_late"), "late")
+            timely = judged.filter("NOT is_late").drop("is_late")
+            put(timely, "on_time")
+            newest = batch.agg(
+                F.max(F.when(~F.col("is_duplicate"), F.col("event_time"))).alias("seen"),
+                F.max("arrived_at").alias("arrived")).first()
+            now = tuple(max((x for x in pair if x is not None), default=None)
+                        for pair in ((seen, newest.seen), (arrived, newest.arrived)))
+            windows("features", _WINDOWS, stream_features(timely), now[0], delay)
+            windows("bursts", _BURSTS, burst_windows(batch, 1, clock="arrived_at"), now[1], burst_delay)
+            put(spark.createDataFrame([now], _PROGRESS), "progress")
+            judged.unpersist()
+        finally:
+            batch.unpersist()
+    return step
+
+
+def job_output(
+    spark: SparkSession, root: str, name: str, threshold: int = config.BURST_THRESHOLD,
+) -> DataFrame:
+    """All that a job has written under a name (see `job_batch`).
+
+    For `features` and `bursts` that is one row per window, those included which are still open.
+    """
+    out = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{name}")
+    if name not in ("features", "bursts"):
+        return out
+    newest = _batches(spark, f"{root}/progress")[-1]
+    out = _summed(out.unionByName(spark.read.schema(out.schema).parquet(f"{root}/open_{name}/{newest}")))
+    return out if name == "features" else out.withColumn(
+        "burst_detected", F.col("event_count") >= threshold)
+
+
+def _batches(spark: SparkSession, path: str) -> list[str]:
+    """The folders that micro-batches have completed in a folder, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return sorted(f.getPath().getName() for f in found)
 
 
 def tagged_lines(df: DataFrame, tag: str) -> DataFrame:
@@ -152,31 +225,41 @@ def tagged_lines(df: DataFrame, tag: str) -> DataFrame:
 
 
 def run_job(
-    events: DataFrame, root: str, bounded: bool = False, threshold: int = config.BURST_THRESHOLD,
+    lines: DataFrame, root: str, bounded: bool = False, threshold: int = config.BURST_THRESHOLD,
+    ttl_ms: int = TTL_MS, text_lines: bool = False,
 ) -> dict[str, StreamingQuery]:
-    """The whole job: marked events, window features, late rows and bursts under `root`.
+    """The whole job over raw messages (`value`, and where they arrived; see `parse_lines`).
 
-    A bounded run goes stage by stage; an endless one starts every query at once. Duplicates need
-    no query of their own: they are the flagged rows of the marked table.
+    Events go through `job_batch`; messages that cannot be used go to `quarantine`. With
+    `text_lines`, every output is also written as tagged text under `text`. A bounded run stops
+    after what is there now; `job_output` has the windows left open as well.
     """
-    spark = events.sparkSession
-
-    def done(query: StreamingQuery) -> StreamingQuery:
+    spark = lines.sparkSession
+    step = job_batch(spark, root)
+
+    def with_text(batch: DataFrame, batch_id: int) -> None:
+        step(batch, batch_id)
+        if text_lines:
+            for tag, name in (("FEATURE", "features"), ("BURST", "bursts"), ("LATE", "late"),
+                              ("DUPLICATE", "marked")):
+                df = spark.read.parquet(f"{root}/{name}/{_folder(batch_id)}")
+                if tag == "DUPLICATE":
+                    df = df.filter("is_duplicate")
+                elif tag == "BURST":
+                    df = df.withColumn("burst_detected", F.col("event_count") >= threshold)
+                tagged_lines(df, tag).select("line").write.mode("overwrite").text(
+                    f"{root}/text/{tag}/{_folder(batch_id)}")
+
+    queries = {}
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=STATE_STORE,
+                  spark__sql__streaming__noDataMicroBatches__enabled=str(not bounded).lower()):
+        marked = flag_repeats(valid_events(lines), ttl_ms=ttl_ms)
+        writer = marked.writeStream.foreachBatch(with_text).option(
+            "checkpointLocation", f"{root}/_checkpoints/events")
+        queries["events"] = (writer.trigger(availableNow=True) if bounded else writer).start()
+        queries["quarantine"] = to_table(
+            quarantined(lines), f"{root}/quarantine", f"{root}/_checkpoints/quarantine", bounded)
         if bounded:
-            query.awaitTermination()
-        return query
-
-    def branch(name: str) -> tuple[str, str]:
-        return f"{root}/{name}", f"{root}/_checkpoints/{name}"
-
-    schema = flag_repeats(events).schema
-    queries = {"marked": done(run_marking(events, *branch("marked"), bounded))}
-    unique = read_marked(spark, f"{root}/marked", schema).filter("NOT is_duplicate").drop(
-        "is_duplicate")
-    queries["features"] = done(
-        to_table(window_features(unique), *branch("features"), bounded))
-    queries["late"] = done(run_late(unique, root, f"{root}/_checkpoints/late", bounded))
-    queries["bursts"] = done(to_table(
-        burst_monitor(read_marked(spark, f"{root}/marked", schema), threshold),
-        *branch("bursts"), bounded))
+            for query in queries.values():
+                query.awaitTermination()
     return queries

@@ -6,6 +6,8 @@ time. Nothing here sorts the stream as a whole or walks through one key in one t
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from ledgerlake.sources.workspace import written
 ARRIVAL = ("ingested_at", "seq")
 
 
-def _arrival() -> Column:
-    return F.struct(*ARRIVAL)
+def _arrival(order: Sequence[str] = ARRIVAL) -> Column:
+    return F.struct(*order)
 
 
 def mark_repeats(
@@ -30,11 +32,19 @@ def mark_repeats(
     partially aggregated minimum. The others go through `first_sights`.
     """
     clock, seq = ARRIVAL
-    spans = events.groupBy(key).agg(
-        F.min(_arrival()).alias("_first"), F.max(clock).alias("_last"))
-    lasting = F.col("_last") > F.col(f"_first.{clock}") + interval(ttl)
-    repeat = (_arrival() != F.col("_first")).alias("is_duplicate")
-    brief = events.join(spans.filter(~lasting), key).select(*events.columns, repeat)
+    columns = events.columns
+    if seq not in columns:
+        events = events.withColumn(seq, F.lit(None).cast("long"))
+    # One row per key, stored: both branches read it.
+    spans = written(events.groupBy(key).agg(
+        F.min(_arrival()).alias("_first"), F.max(clock).alias("_last")), "spans")
+    lasting = F.coalesce(F.col("_last") > F.col(f"_first.{clock}") + interval(ttl), F.lit(False))
+    # Of rows that are alike in key and arrival, resent as they were, exactly one is the first.
+    alike = F.row_number().over(Window.partitionBy(key, *ARRIVAL).orderBy(F.lit(1)))
+    brief = (
+        events.join(spans.filter(~lasting), key).withColumn("_nth", alike)
+        .select(*columns, (~_arrival().eqNullSafe(F.col("_first")) | (F.col("_nth") > 1))
+                .alias("is_duplicate")))
 
     long_lived = spans.filter(lasting).select(key)
     if long_lived.isEmpty():
@@ -44,10 +54,12 @@ def mark_repeats(
         open_events.groupBy(key, F.unix_micros(clock).alias("_at")).agg(F.min(seq).alias("_seq")),
         "instants")
     firsts = first_sights(instants, key, "_at", ttl).join(instants, [key, "_at"])
-    sighted = F.coalesce(F.col("_seq") == F.col(seq), F.lit(False))
+    sighted = (F.col("_sight") & F.col("_seq").eqNullSafe(F.col(seq)) & (F.col("_nth") == 1))
     lasting_marked = (
-        open_events.withColumn("_at", F.unix_micros(clock)).join(firsts, [key, "_at"], "left")
-        .select(*events.columns, (~sighted).alias("is_duplicate")))
+        open_events.withColumn("_at", F.unix_micros(clock))
+        .join(firsts.withColumn("_sight", F.lit(True)), [key, "_at"], "left")
+        .withColumn("_nth", alike)
+        .select(*columns, (~F.coalesce(sighted, F.lit(False))).alias("is_duplicate")))
     return brief.unionByName(lasting_marked)
 
 
@@ -104,6 +116,7 @@ def _next_after(instants: DataFrame, key: str, at: str, ttl: str) -> DataFrame:
 
 def window_closings(
     events: DataFrame, width: str = config.STREAM_WINDOW, delay: str = config.STREAM_CLOSE_DELAY,
+    order: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
     """Per window that holds rows: `closed_at`, the arrival after which its rows are late.
 
@@ -114,10 +127,10 @@ def window_closings(
     """
     row_end = window_end(F.col("event_time"), width)
     closes = window_start(F.col("event_time") - interval(delay), width)
-    nobody = F.lit(None).cast(events.select(_arrival().alias("a")).schema["a"].dataType)
+    nobody = F.lit(None).cast(events.select(_arrival(order).alias("a")).schema["a"].dataType)
     # Each row speaks for two grid points, in one pass: the one it closes and the one it sits in.
     points = F.array(
-        F.struct(closes.alias("window_end"), _arrival().alias("closed_at"),
+        F.struct(closes.alias("window_end"), _arrival(order).alias("closed_at"),
                  F.lit(False).alias("used")),
         F.struct(row_end.alias("window_end"), nobody.alias("closed_at"), F.lit(True).alias("used")))
     grid = (
@@ -133,15 +146,15 @@ def window_closings(
 
 def mark_late(
     events: DataFrame, width: str = config.STREAM_WINDOW, delay: str = config.STREAM_CLOSE_DELAY,
-    seen_until: Column | None = None,
+    seen_until: Column | None = None, order: Sequence[str] = ARRIVAL,
 ) -> DataFrame:
     """Adds `is_late`: the row arrived after its window had been closed for good.
 
     Give it deduplicated rows. `seen_until` is the greatest event time of everything that arrived
     before this frame (a stream's carried state); windows it has already closed stay closed.
     """
-    closings = window_closings(events, width, delay)
-    late = F.coalesce(F.col("closed_at") < _arrival(), F.lit(False))
+    closings = window_closings(events, width, delay, order)
+    late = F.coalesce(F.col("closed_at") < _arrival(order), F.lit(False))
     if seen_until is not None:
         late = late | F.coalesce(F.col("window_end") + interval(delay) <= seen_until,
                                  F.lit(False))

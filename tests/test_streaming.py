@@ -79,14 +79,60 @@ def test_late_boundary(spark, top, late):
     assert got == {0: False, 1: late}
 
 
-def test_carried_progress_equals_one_long_batch(spark, tmp_path):
+def marked(spark, rows):
+    df = frame(spark, rows)
+    return df.select(*df.columns, F.col("ingested_at").alias("arrived_at"), F.lit("0").alias("partition"),
+                     F.col("seq").alias("position"), F.lit(False).alias("is_duplicate"))
+
+
+@pytest.mark.parametrize("batches", [1, 5, 20])
+def test_the_job_does_not_depend_on_batches(spark, tmp_path, batches):
     rows = sorted(random_stream(7, ids=10**6), key=lambda r: (r[5], r[0]))
-    split = jobs.late_splitter(spark, str(tmp_path))
-    for batch in range(4):
-        for _ in range(2):  # a repeated batch must not change anything
-            split(frame(spark, rows[batch * 75:(batch + 1) * 75]), batch)
-    got = {r.seq for r in spark.read.parquet(f"{tmp_path}/late").collect()}
-    assert got == {seq for seq, late in late_by_definition(rows).items() if late}
+    step = jobs.job_batch(spark, str(tmp_path))
+    size = -(-len(rows) // batches)
+    for batch in range(batches):
+        for _ in range(2 if batches == 5 else 1):  # a repeated batch must not change anything
+            step(marked(spark, rows[batch * size:(batch + 1) * size]), batch)
+    got = {r.seq for r in jobs.job_output(spark, str(tmp_path), "late").collect()}
+    late = {seq for seq, is_late in late_by_definition(rows).items() if is_late}
+    assert got == late and late
+    want = stream_features(frame(spark, [r for r in rows if r[0] not in late])).orderBy("user_id", "window_start")
+    got = jobs.job_output(spark, str(tmp_path), "features").select(*want.columns)
+    assert [(*r[:4], round(r[4], 6)) for r in got.orderBy("user_id", "window_start").collect()] == [
+        (*r[:4], round(r[4], 6)) for r in want.collect()]
+    want = replay.burst_windows(frame(spark, rows), 2)
+    got = jobs.job_output(spark, str(tmp_path), "bursts", 2).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_arrivals_out_of_order_are_counted(spark, tmp_path):
+    step = jobs.job_batch(spark, str(tmp_path))
+    for batch, second in enumerate((1, 100, 2)):
+        step(marked(spark, [(batch, f"t{batch}", "u", 1.0, START, START + second * SEC)]), batch)
+    got = {(r.event_count, r.burst_detected) for r in jobs.job_output(spark, str(tmp_path), "bursts", 2).collect()}
+    assert got == {(2, True), (1, False)}
+
+
+def test_identical_resends_have_one_first(spark):
+    rows = [(0, "a", "u", 1.0, START, START)] * 3 + [(1, "b", "u", 1.0, START, None)] * 2
+    for df in (frame(spark, rows), frame(spark, rows).drop("seq")):
+        got = sorted((r.transaction_id, r.is_duplicate) for r in replay.mark_repeats(df).collect())
+        assert got == [("a", False), ("a", True), ("a", True), ("b", False), ("b", True)]
+
+
+def test_the_live_job_sets_bad_messages_aside_and_bears_missing_clocks(spark, tmp_path):
+    rows = [(i, f"t{i}", "u", 1.0, START, START) for i in range(4)]
+    source = feed(spark, tmp_path, [rows[:2], rows[2:]])
+    good = ('{"transaction_id":"x","user_id":"u","amount":1,"timestamp":"2024-01-01T00:00:00"}\n' * 2)
+    (tmp_path / "in" / "002.json").write_text(good + "broken\n")
+    jobs.run_job(stream_in.file_lines(spark, source, files_per_batch=1), f"{tmp_path}/out", bounded=True,
+                 text_lines=True)
+    out = {n: jobs.job_output(spark, f"{tmp_path}/out", n) for n in ("marked", "features", "quarantine")}
+    assert [r.value for r in out["quarantine"].collect()] == ["broken"]
+    assert out["marked"].filter("is_duplicate").count() == 1
+    assert [r["count"] for r in out["features"].collect()] == [5]
+    text = spark.read.option("recursiveFileLookup", "true").text(f"{tmp_path}/out/text/DUPLICATE").collect()
+    assert len(text) == 1 and text[0].value.startswith("DUPLICATE | transaction_id=x")
 
 
 def test_bursts_count_raw_arrivals(spark):
@@ -183,9 +229,9 @@ def test_refinements_end_in_the_batch_form(spark, tmp_path):
 
 
 def test_bursts_of_raw_messages_by_file_arrival(spark, tmp_path):
-    source = feed(spark, tmp_path, [[(i, "t", "u", 1.0, START, START)] * 3 for i in range(3)])
+    source = feed(spark, tmp_path, [[(i, "t", "u", 1.0, START, START)] * 3 for i in range(4)])
     lines = stream_in.file_lines(spark, source, files_per_batch=1)
-    jobs.to_table(jobs.burst_monitor(lines, 3, "arrived_at"), f"{tmp_path}/out", f"{tmp_path}/cp",
+    jobs.to_table(jobs.burst_monitor(lines, 3), f"{tmp_path}/out", f"{tmp_path}/cp",
                   bounded=True).awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out").collect()
     assert [(r.event_count, r.burst_detected) for r in got] == [(3, True), (3, True)]
