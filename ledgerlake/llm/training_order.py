@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import json
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,55 +40,111 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how this family of tokenizers cuts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-_ODD_SPACE = re.compile(r" (?:\s|$)")
-_CACHED = 300_000
+#: Distinct stretches of text whose ids a task keeps at most; a few dozen bytes each.
+_KEPT = 2_000_000
+
+# Bytes that may begin white space: ASCII's, and the lead bytes of all beyond it.
+_MAY_BE_SPACE = np.zeros(256, bool)
+_MAY_BE_SPACE[[9, 10, 11, 12, 13, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 class Encoder:
-    """Byte-level BPE over the ranks of a tokenizer file; the id after the last ends a text."""
+    """Byte-level BPE over the ranks of a tokenizer file; the id after the last ends a text.
+
+    A space before anything but white space always begins a piece, so a text can be cut there into
+    stretches, mostly words, that are encoded by themselves. A task encodes each distinct stretch
+    once and looks the others up by hash, all stretches of a chunk at a time.
+    """
 
     def __init__(self, ranks: bytes):
         self._ranks = ranks
-        self._known: dict[str, list[int]] = {}
+        self._forget()
 
     def __reduce__(self):
         return Encoder, (self._ranks,)
 
+    def _forget(self) -> None:
+        self._keys = np.zeros(0, np.uint64)
+        self._starts, self._lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._pool = np.zeros(0, self.dtype)
+
     @cached_property
     def _bpe(self):
         import tiktoken
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, self._ranks.splitlines())}
         return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def _bytes(self) -> np.ndarray:
+        """How many bytes each id stands for."""
+        return np.array([len(base64.b64decode(x.split()[0])) for x in self._ranks.splitlines()])
+
     @cached_property
     def end(self) -> int:
         return len(self._ranks.splitlines())
 
-    @property
+    @cached_property
     def dtype(self) -> np.dtype:
         return np.dtype("<u2" if self.end < 2**16 else "<u4")
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of the text and the end id.
+    def encode(self, chunk: T.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id behind, and where each text's begin.
 
-        A space between two other characters always begins a piece, so what is between such spaces
-        can be encoded by itself, once for all its occurrences.
+        An empty text has none.
         """
-        if _ODD_SPACE.search(text):
-            return np.array([*self._bpe.encode_ordinary(text), self.end], self.dtype)
-        out: list[int] = []
-        known = self._known
-        parts = text.split(" ")
-        parts[1:] = [" " + p for p in parts[1:]]
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                if len(known) >= _CACHED:
-                    known.clear()
-                ids = known[part] = self._bpe.encode_ordinary(part)
-            out += ids
-        out.append(self.end)
-        return np.array(out, self.dtype)
+        data, offsets = chunk.data, chunk.offsets
+        full = np.diff(offsets) > 0
+        begins = np.zeros(len(data), bool)
+        begins[:-1] = (data[:-1] == 32) & ~_MAY_BE_SPACE[data[1:]]
+        begins[offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))] - 1] &= False
+        begins[offsets[:-1][full]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        keys, firsts, which = np.unique(T.Hasher(data, 5)(starts, ends), return_index=True,
+                                        return_inverse=True)
+        at = self._places(keys, data, starts[firsts], ends[firsts])[which]
+        lengths = self._lengths[at]
+        last = np.cumsum(lengths)
+        ids = self._pool[np.repeat(self._starts[at] - last + lengths, lengths) + np.arange(lengths.sum())]
+        sums = np.append(0, last)[np.searchsorted(starts, offsets)]
+        ids = np.insert(ids, sums[1:][full], self.end)
+        return ids, sums + np.append(0, np.cumsum(full))
+
+    def _places(self, keys, data, starts, ends) -> np.ndarray:
+        """Where the ids of each key are kept, after encoding what is new."""
+        at = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
+        new = np.flatnonzero(self._keys[at] != keys) if len(self._keys) else np.arange(len(keys))
+        if not len(new):
+            return at
+        if len(self._keys) + len(new) > _KEPT and len(self._keys):
+            self._forget()
+            return self._places(keys, data, starts, ends)
+        raw = data.tobytes()
+        texts = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+        # those that begin with their space can be encoded as one text and told apart afterwards
+        joins = np.array([len(t) > 1 and t[0] == 32 and not _MAY_BE_SPACE[t[1]] for t in texts], bool)
+        order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
+        ids, lengths = self._joined([texts[i] for i in np.flatnonzero(joins)])
+        alone = [self._bpe.encode_ordinary(texts[i].decode()) for i in np.flatnonzero(~joins)]
+        pool = np.concatenate([ids, *(np.array(x, self.dtype) for x in alone)]).astype(self.dtype)
+        lengths = np.concatenate([lengths, [len(x) for x in alone]]).astype(np.int64)
+        all_keys = np.concatenate([self._keys, keys[new][order]])
+        by_key = np.argsort(all_keys)
+        self._starts = np.concatenate([self._starts, len(self._pool) + np.cumsum(lengths) - lengths])[by_key]
+        self._lengths = np.concatenate([self._lengths, lengths])[by_key]
+        self._keys, self._pool = all_keys[by_key], np.concatenate([self._pool, pool])
+        return np.searchsorted(self._keys, keys)
+
+    def _joined(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts, and how many each has."""
+        ids, lengths = [np.zeros(0, self.dtype)], [np.zeros(0, np.int64)]
+        for at in range(0, len(parts), 20_000):
+            some = parts[at:at + 20_000]
+            own = np.array(self._bpe.encode_ordinary(b"".join(some).decode()))
+            stops = np.searchsorted(np.cumsum(self._bytes[own]), np.cumsum([len(p) for p in some])) + 1
+            ids.append(own.astype(self.dtype))
+            lengths.append(np.diff(stops, prepend=0))
+        return np.concatenate(ids), np.concatenate(lengths)
 
 
 @dataclass(frozen=True)
@@ -132,11 +187,11 @@ def slots(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
 def _counts(encoder, length: int):
     """(part, n): how many sequences each task's rows give."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, n = encoder.value.encode, 0
+        n = 0
         for batch in batches:
-            for text in batch.column(1):
-                if text := text.as_py():
-                    n += -(-len(encode(text)) // length)
+            for chunk in T.chunks(batch.column(1)):
+                _, offsets = encoder.value.encode(chunk)
+                n += int((-(-np.diff(offsets) // length)).sum())
         yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int32()),
                                           "n": pa.array([n], pa.int64())})
     return run
@@ -148,29 +203,27 @@ _SEQUENCE = ("slot long, shard int, doc_id long, position int, n_tokens int, tok
 def _sequences(encoder, starts, layout: Layout):
     """Every sequence with its slot; not padded yet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder.value.encode
         part = TaskContext.get().partitionId()
         number, last = starts.value[part]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids, positions, tokens = [], [], []
-                for doc, text in zip(*(batch.column(i).slice(at, 256).to_pylist() for i in (0, 1))):
-                    if not text:
-                        continue
-                    found = encode(text)
-                    for k in range(0, len(found), layout.length):
-                        ids.append(doc)
-                        positions.append(k // layout.length)
-                        tokens.append(found[k:k + layout.length])
-                slot = slots(np.arange(number, number + len(ids)), layout.sequences, layout.key)
-                number += len(ids)
+            for chunk in T.chunks(batch.column(1)):
+                tokens, offsets = encoder.value.encode(chunk)
+                parts = -(-np.diff(offsets) // layout.length)
+                text = np.repeat(np.arange(chunk.texts), parts)
+                position = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+                first = offsets[text] + position * layout.length
+                n_tokens = np.minimum(first + layout.length, offsets[text + 1]) - first
+                slot = slots(np.arange(number, number + len(text)), layout.sequences, layout.key)
+                number += len(text)
                 if number > last:
                     raise ValueError("the input changed between counting and writing")
+                bounds = np.append(first, offsets[-1]) * layout.width
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slot), pa.array((slot // layout.shard_slots).astype(np.int32)),
-                     pa.array(ids, pa.int64()), pa.array(positions, pa.int32()),
-                     pa.array([len(t) for t in tokens], pa.int32()),
-                     pa.array([t.tobytes() for t in tokens], pa.binary())],
+                     batch.column(0).slice(chunk.first, chunk.texts).take(pa.array(text)),
+                     pa.array(position.astype(np.int32)), pa.array(n_tokens.astype(np.int32)),
+                     pa.Array.from_buffers(pa.binary(), len(text), [
+                         None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(tokens.tobytes())])],
                     [c.split()[0] for c in _SEQUENCE.split(", ")])
         if number != last:
             raise ValueError("the input changed between counting and writing")

@@ -2,9 +2,11 @@ import base64
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 
+from ledgerlake.llm import text as T
 from ledgerlake.llm import training_order as O
 from ledgerlake.sources.workspace import fresh_path
 
@@ -23,12 +25,17 @@ def encoder():
 
 
 TRICKY = ["", " ", "a", " a", "a ", "a  b", "a \n b", "it's  we'll", "x\n\ny z", " a  b", "1 2,3 é",
-          "a" * 3000, "don't 't", "tab\t x", "a  b"]
+          "\u00a0 a \u2003b \u00e9t\u00e9 x\u3000", "a \n b\t c", "a" * 3000, "don't 't", "tab\t x", "a  b"]
 
 
 def test_encodes_as_the_tokenizer(encoder, plain, corpus):
-    for text in [*TRICKY, *(r[1] or "" for r in corpus(8))]:
-        assert encoder.encode(text).tolist() == [*plain.encode_ordinary(text), encoder.end]
+    texts = [*TRICKY, *(r[1] or "" for r in corpus(8))]
+    for _ in range(2):
+        for chunk in T.chunks(pa.array(texts), 5_000):
+            ids, offsets = encoder.encode(chunk)
+            assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [
+                [*plain.encode_ordinary(t), encoder.end] if t else []
+                for t in texts[chunk.first:chunk.first + chunk.texts]]
 
 
 @pytest.mark.parametrize("count", [1, 2, 3, 17, 256, 1000])
