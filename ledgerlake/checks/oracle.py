@@ -339,11 +339,13 @@ FROM accounts LEFT JOIN (
     "SELECT account_id, user_id,", "SELECT accounts.account_id, user_id,"),
        "accounts", "balance_snapshots")
 oracle("devices_by_user", """
-SELECT user_id, CAST(0 AS BIGINT) AS part, list(device_id ORDER BY device_id) AS device_ids
-FROM devices GROUP BY user_id""", "devices")
+SELECT user_id, n // 10000 AS part, list(device_id ORDER BY n) AS device_ids FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY device_id) - 1 AS n FROM devices)
+GROUP BY user_id, n // 10000""", "devices")
 oracle("logins_by_user", """
-SELECT user_id, CAST(0 AS BIGINT) AS part, list(login_id ORDER BY login_id) AS login_ids
-FROM login_events GROUP BY user_id""", "login_events")
+SELECT user_id, n // 10000 AS part, list(login_id ORDER BY n) AS login_ids FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY login_id) - 1 AS n FROM login_events)
+GROUP BY user_id, n // 10000""", "login_events")
 block("per_minute", """
 SELECT date_trunc('minute', ingested_at) AS minute, count(*) AS event_count
 FROM stream_events GROUP BY 1""", "stream_events")
@@ -681,3 +683,57 @@ oracle("cdc_apply", """
 SELECT order_id, account_id, status, amount FROM (
   SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY position DESC) AS rn
   FROM change_log) WHERE rn = 1 AND op <> 'd'""", "change_log")
+block("decoded", """
+SELECT * REPLACE (CASE WHEN position % 2 = 0 THEN amount ELSE -amount END AS amount) FROM change_log""",
+      "change_log")
+oracle("cdc_encoded", """
+SELECT order_id, account_id, status, amount FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY position DESC) AS rn
+  FROM decoded) WHERE rn = 1 AND op <> 'd'""", "decoded")
+oracle("cdc_quarantine", """
+SELECT 'quarantine' AS output, count(*) AS row_count FROM change_log WHERE position % 5 = 0
+UNION ALL SELECT 'applied', count(*) FROM (
+  SELECT op, row_number() OVER (PARTITION BY order_id ORDER BY position DESC) AS rn
+  FROM change_log WHERE position % 5 <> 0) WHERE rn = 1 AND op <> 'd'""", "change_log")
+oracle("upsert_partial", """
+SELECT transaction_id, ingested_at, CASE status WHEN 'failed' THEN 'reversed' ELSE status END AS status,
+  amount FROM silver_transactions""", "silver_transactions")
+oracle("upsert_null_partition", """
+SELECT transaction_id, ingested_at, nullif(channel, 'UNKNOWN') AS channel,
+  CASE WHEN transaction_id LIKE '%1' AND channel IN ('UNKNOWN', 'app') THEN 1.0 ELSE amount END AS amount
+FROM silver_transactions""", "silver_transactions")
+_VERSIONED = """
+WITH f AS (SELECT o_custkey % 20 AS k, date_trunc('month', l_shipdate)::TIMESTAMP AS at,
+    l_extendedprice AS price, row_number() OVER (PARTITION BY o_custkey % 20, date_trunc('month', l_shipdate)
+      ORDER BY nullif(l_linenumber % 4, 0) DESC NULLS LAST, l_extendedprice DESC) AS rn
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+l AS (SELECT o_orderkey, nullif(o_custkey % 20, 0) AS k, o_orderdate::TIMESTAMP AS label_time FROM orders)
+SELECT l.*, f.at AS feature_time, f.price
+FROM l ASOF LEFT JOIN (SELECT * FROM f WHERE rn = 1) f ON f.k = l.k AND l.label_time >= f.at"""
+oracle("point_in_time_versions", _VERSIONED)
+oracle("point_in_time_dealt", _VERSIONED)
+
+_FAULTY = """
+WITH r AS (SELECT nullif(o_custkey % 37, 0)::VARCHAR AS key, nullif(o_orderkey % 11, 0)::VARCHAR AS owner,
+    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS made, strftime(o_orderdate, '%Y-%m-%d') AS day,
+    o_orderpriority AS label FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY label DESC, made DESC) AS by_label,
+    row_number() OVER (PARTITION BY key ORDER BY owner DESC NULLS LAST, made DESC) AS by_owner,
+    row_number() OVER (PARTITION BY key ORDER BY owner DESC NULLS LAST, label DESC, made DESC) AS by_all
+  FROM r WHERE key IS NOT NULL)
+"""
+oracle("clean_faulty", _FAULTY + """
+SELECT 'users' AS table_name, key || '|' || label || '|' || made AS row FROM n WHERE by_label = 1
+UNION ALL SELECT 'accounts', key || '|' || owner || '|' || made FROM n WHERE by_owner = 1 AND owner IS NOT NULL
+UNION ALL SELECT 'merchants', key || '|' || label FROM n WHERE by_label = 1
+UNION ALL SELECT 'devices', key || '|' || owner || '|' || made FROM n WHERE by_owner = 1 AND owner IS NOT NULL
+UNION ALL SELECT 'login_events', key || '|' || owner || '|' || label || '|' || made || '|' || day FROM n
+  WHERE by_all = 1 AND owner IS NOT NULL""")
+oracle("missing_columns", "SELECT count(*) AS row_count, 'channel,type' AS missing FROM transactions",
+       "transactions")
+oracle("account_owners", """
+SELECT a.user_id AS owner_id, count(*) AS transaction_count
+FROM transactions t LEFT JOIN accounts a USING (account_id) GROUP BY 1""", "transactions", "accounts")
+oracle("repeatable_sample", """
+SELECT transaction_id, type, old_balance, amount, new_balance FROM transactions
+ORDER BY md5(transaction_id || '|42'), transaction_id LIMIT 20""", "transactions")

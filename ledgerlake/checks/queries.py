@@ -15,7 +15,7 @@ from ledgerlake.operators import quality as dq
 from ledgerlake.operators.enrich import enrich_transactions
 from ledgerlake.plans import gold as gold_plan
 from ledgerlake.sources import catalog, layout, tables
-from ledgerlake.sources.supplied import wallet
+from ledgerlake.sources.supplied import raw, wallet
 from ledgerlake.sources.workspace import fresh_path, written
 from ledgerlake.streaming import events as stream_in
 from ledgerlake.streaming import jobs, replay
@@ -224,6 +224,59 @@ def clean_logins(spark, sf_dir):
     return shown(silver(spark, sf_dir, "login_events"))
 
 
+def faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of small tables: keys that repeat often, and some that are missing."""
+    key = F.nullif(F.col("o_custkey") % 37, F.lit(0))
+    owner = F.nullif(F.col("o_orderkey") % 11, F.lit(0))
+    return raw(spark, sf_dir, "orders").select(
+        key.cast("string").alias("key"), owner.cast("string").alias("owner"),
+        F.col("o_orderdate").cast("timestamp").alias("at"), F.col("o_orderpriority").alias("label"))
+
+
+@query
+def clean_faulty(spark, sf_dir):
+    """The cleaners of the small tables on rows that they must drop or merge."""
+    rows = faulty(spark, sf_dir)
+    named = {
+        "users": clean.clean_users(rows.select(F.col("key").alias("user_id"), "label", F.col("at").alias("created_at"))),
+        "accounts": clean.clean_accounts(rows.select(
+            F.col("key").alias("account_id"), F.col("owner").alias("user_id"), F.col("at").alias("created_at"))),
+        "merchants": clean.clean_merchants(rows.select(F.col("key").alias("merchant_id"), "label")),
+        "devices": clean.clean_devices(rows.select(
+            F.col("key").alias("device_id"), F.col("owner").alias("user_id"), F.col("at").alias("first_seen_at"))),
+        "login_events": clean.clean_login_events(rows.select(
+            F.col("key").alias("login_id"), F.col("owner").alias("user_id"), F.col("label").alias("device_id"),
+            F.col("at").alias("login_ts")))}
+    out = None
+    for name, df in named.items():
+        row = df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *[
+            F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns]).alias("row"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def missing_columns(spark, sf_dir):
+    """What the column contract says of a table that lacks declared columns."""
+    short = wallet(spark, sf_dir, "transactions").drop("channel", "type")
+    try:
+        tables.normalize_bronze(short, "transactions")
+        said = ""
+    except tables.IngestError as error:
+        said = str(error)
+    found = [c for c in ("channel", "type") if c in said]
+    return short.agg(F.count(F.lit(1)).alias("row_count")).withColumn("missing", F.lit(",".join(found)))
+
+
+@query
+def account_owners(spark, sf_dir):
+    """Key lookup: transactions by the owner of their account."""
+    owners = wallet(spark, sf_dir, "accounts").select("account_id", F.col("user_id").alias("owner_id"))
+    tx = wallet(spark, sf_dir, "transactions").select("account_id")
+    return joins.left_lookup(tx, owners, "account_id").groupBy("owner_id").agg(
+        F.count(F.lit(1)).alias("transaction_count"))
+
+
 @query
 def ensure_column(spark, sf_dir):
     old = wallet(spark, sf_dir, "transactions").drop("channel")
@@ -936,3 +989,91 @@ def cdc_apply(spark, sf_dir):
         log.select(envelope.alias("value")),
         "order_id string, account_id string, status string, amount double")
     return change.apply_changes(changes, ["order_id"])
+
+
+def envelopes(spark: SparkSession, sf_dir: str, amount: Column) -> DataFrame:
+    """The change log as JSON text, with the amount as given."""
+    row = F.struct("order_id", "account_id", "status", amount.alias("amount"))
+    gone = F.col("op") == "d"
+    return wallet(spark, sf_dir, "change_log").select(F.to_json(F.struct(
+        "op", F.struct(F.col("position").alias("lsn")).alias("source"),
+        F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"))).alias("value"))
+
+
+_CHANGED = "order_id string, account_id string, status string, amount double"
+
+
+@query
+def cdc_encoded(spark, sf_dir):
+    """Amounts as connectors send exact decimals without further settings: base64 of signed bytes."""
+    unscaled = F.round(F.col("amount") * 100).cast("long") * F.when(F.col("position") % 2 == 0, 1).otherwise(-1)
+    sent = F.base64(F.unhex(F.lpad(F.hex(unscaled), 16, "0")))
+    tombstones = spark.createDataFrame([(None,)], "value string")
+    lines = envelopes(spark, sf_dir, sent).union(tombstones)
+    log = change.decode_changes(lines, _CHANGED, keys=["order_id"], decimals={"amount": 2})
+    return change.apply_changes(log, ["order_id"])
+
+
+@query
+def cdc_quarantine(spark, sf_dir):
+    """Envelopes cut off in transit, one in five, are set aside; the others are applied."""
+    lines = envelopes(spark, sf_dir, F.col("amount"))
+    cut = F.get_json_object("value", "$.source.lsn").cast("long") % 5 == 0
+    lines = lines.select(F.when(cut, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
+    bad = change.malformed_changes(lines, _CHANGED, keys=["order_id"])
+    good = change.apply_changes(change.decode_changes(lines, _CHANGED, keys=["order_id"]), ["order_id"])
+    return bad.agg(F.lit("quarantine").alias("output"), F.count(F.lit(1)).alias("row_count")).unionByName(
+        good.agg(F.lit("applied").alias("output"), F.count(F.lit(1)).alias("row_count")))
+
+
+@query
+def upsert_partial(spark, sf_dir):
+    """Updates without the amount leave it as it is."""
+    current = dedup.keep_latest(silver(spark, sf_dir, "transactions"), ["transaction_id"], ["ingested_at"]).select(
+        "transaction_id", "ingested_at", "status", "amount")
+    updates = current.filter("status = 'failed'").select(
+        "transaction_id", "ingested_at", F.lit("reversed").alias("status"))
+    return shown(change.upserted(current, updates, ["transaction_id"], ["ingested_at"]))
+
+
+@query
+def upsert_null_partition(spark, sf_dir):
+    """In place where a partition has no value: rows of it that no update names stay."""
+    path = fresh_path(spark, "upserted-null")
+    rows = silver(spark, sf_dir, "transactions").select("transaction_id", "ingested_at", "amount", "channel")
+    rows = rows.withColumn("channel", F.when(F.col("channel") != "UNKNOWN", F.col("channel")))
+    tables.write_table(rows, path, partition_by=("channel",))
+    current = spark.read.schema(rows.schema).parquet(path)
+    updates = current.filter("transaction_id LIKE '%1' AND (channel IS NULL OR channel = 'app')").withColumn(
+        "amount", F.lit(1.0))
+    change.upsert_partitions(current, updates, path, ["transaction_id"], ["ingested_at"], "channel",
+                             check_moves=True)
+    spark.catalog.refreshByPath(path)
+    return shown(spark.read.schema(rows.schema).parquet(path))
+
+
+def _versioned(spark: SparkSession, sf_dir: str, rows_per_task: int) -> DataFrame:
+    """Orders with the last price that their customer's line items had by then, several versions each."""
+    labels = raw(spark, sf_dir, "orders").select(
+        "o_orderkey", F.nullif(F.col("o_custkey") % 20, F.lit(0)).alias("k"),
+        F.col("o_orderdate").cast("timestamp").alias("label_time"))
+    priced = raw(spark, sf_dir, "orders").join(
+        raw(spark, sf_dir, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    made = F.nullif(F.col("l_linenumber") % 4, F.lit(0))
+    features_ = priced.select(
+        (F.col("o_custkey") % 20).alias("k"), F.date_trunc("month", "l_shipdate").cast("timestamp").alias("at"),
+        made.alias("version"), F.col("l_extendedprice").alias("price"))
+    return shown(joins.as_of(labels, features_, "k", "label_time", "at", "version", ["price"],
+                             slice_by="year", rows_per_task=rows_per_task))
+
+
+@query
+def point_in_time_versions(spark, sf_dir):
+    """Several versions of a feature at one time, missing versions and keys included."""
+    return _versioned(spark, sf_dir, 1_000_000)
+
+
+@query
+def point_in_time_dealt(spark, sf_dir):
+    """The same with each slice's labels dealt out to many tasks."""
+    return _versioned(spark, sf_dir, 3)

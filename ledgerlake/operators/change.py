@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.sources.tables import write_table
@@ -15,29 +16,38 @@ from ledgerlake.sources.workspace import written
 def upserted(
     current: DataFrame, updates: DataFrame, keys: Sequence[str], version: Sequence[str],
 ) -> DataFrame:
-    """Current rows and updates, one row per key: the greatest `version` wins, updates win ties."""
-    both = current.withColumn("_fresh", F.lit(0)).unionByName(
-        updates.withColumn("_fresh", F.lit(1)), allowMissingColumns=True)
+    """Current rows and updates, one row per key: the greatest `version` wins, updates win ties.
+
+    A column that the updates leave out keeps its current value.
+    """
+    omitted = [c for c in current.columns if c not in updates.columns]
+    if omitted:
+        updates = updates.join(current.select(*keys, *omitted), list(keys), "left")
+    both = current.withColumn("_fresh", F.lit(0)).unionByName(updates.withColumn("_fresh", F.lit(1)))
     return keep_latest(both, keys, [*version, "_fresh"]).drop("_fresh")
 
 
 def upsert_partitions(
     current: DataFrame, updates: DataFrame, path: str, keys: Sequence[str],
-    version: Sequence[str], partition: str, fmt: str = "parquet",
+    version: Sequence[str], partition: str, fmt: str = "parquet", check_moves: bool = False,
 ) -> None:
     """Upsert into a partitioned table in place, rewriting only the partitions that change.
 
-    A key must keep its partition value; an update that would move a key is refused before
-    anything is written. The new partitions are completed in the shared folder first, because a
-    plan must not overwrite what it reads.
+    A key must keep its partition value. A move between partitions that the updates touch is refused
+    before anything is written; `check_moves` looks for moves out of all others as well, which scans
+    the keys of the whole table. The updates are stored once, and the new partitions are completed in
+    the shared folder first, because a plan must not overwrite what it reads.
     """
-    moved = current.join(updates.select(*keys, F.col(partition).alias("_to")), list(keys)).filter(
+    updates = written(updates, "updates")
+    # As many values as there are partitions; as literals they prune the scan of the table.
+    values = [r[0] for r in updates.select(partition).distinct().collect()]
+    known = F.col(partition).isin([v for v in values if v is not None])
+    touched = current.filter(known | F.col(partition).isNull() if None in values else known)
+    moved = (current if check_moves else touched).join(
+        updates.select(*keys, F.col(partition).alias("_to")), list(keys)).filter(
         ~F.col(partition).eqNullSafe(F.col("_to")))
     if not moved.isEmpty():
         raise ValueError(f"updates move keys to another {partition}; rewrite the table instead")
-    # As many values as there are partitions; as literals they prune the scan of the table.
-    values = [r[0] for r in updates.select(partition).distinct().collect()]
-    touched = current.filter(F.col(partition).isin(values))
     ready = written(upserted(touched, updates, keys, version), "upsert")
     (ready.hint("rebalance", partition).write.format(fmt).mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition).save(path))
@@ -48,21 +58,73 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     write_table(written(df, "replace"), path, partition_by=partition_by)
 
 
-def decode_changes(lines: DataFrame, row_schema: str, position: str = "lsn") -> DataFrame:
+def _envelopes(
+    lines: DataFrame, row_schema: str, position: str, decimals: Mapping[str, int], micros: Sequence[str],
+) -> DataFrame:
+    """`value`, `op`, `position` and `row`, the latter with encoded columns decoded."""
+    kinds = {f.name: f.dataType for f in StructType.fromDDL(row_schema)}
+    raw = ", ".join(f"`{c}` " + ("string" if c in decimals else "bigint" if c in micros
+                                 else kind.simpleString()) for c, kind in kinds.items())
+    body = f"op string, source struct<{position}: bigint>, before struct<{raw}>, after struct<{raw}>"
+    whole = F.from_json("value", f"{body}, payload struct<{body}>")
+    event = F.when(whole["payload"].isNotNull(), whole["payload"]).otherwise(
+        F.struct(*[whole[c].alias(c) for c in ("op", "source", "before", "after")]))
+    row = F.when(F.col("e.op") == "d", F.col("e.before")).otherwise(F.col("e.after"))
+
+    def decoded(name: str) -> Column:
+        c = F.col(f"r.{name}")
+        if name in decimals:
+            c = F.coalesce(c.try_cast("double"), encoded_decimal(c, decimals[name]))
+        elif name in micros:
+            c = F.timestamp_micros(c)
+        return c.cast(kinds[name]).alias(name)
+    return (lines.select("value", event.alias("e"))
+            .select("value", "e.op", F.col(f"e.source.{position}").alias("position"), row.alias("r"))
+            .select("value", "op", "position", F.when(F.col("r").isNotNull(),
+                                                      F.struct(*map(decoded, kinds))).alias("row")))
+
+
+def encoded_decimal(text: Column, scale: int) -> Column:
+    """A number sent as the base64 text of its unscaled value, big-endian and signed, up to 8 bytes."""
+    sound = text.rlike("^[A-Za-z0-9+/]+={0,2}$") & (F.length(text) % 4 == 0)
+    raw = F.unbase64(F.when(sound, text))
+    digits = F.hex(raw)
+    negative = F.conv(F.substring(digits, 1, 1), 16, 10).cast("int") >= 8
+    # widened to 8 bytes with the sign, which conv() then reads as a signed number
+    wide = F.when(negative, F.lpad(digits, 16, "F")).otherwise(F.lpad(digits, 16, "0"))
+    value = F.conv(wide, 16, -10).cast("long").cast("double") / F.lit(10.0 ** scale)
+    return F.when(F.octet_length(raw).between(1, 8), value)
+
+
+def _usable(keys: Sequence[str]) -> Column:
+    ok = F.col("op").isin("c", "u", "d", "r") & F.col("position").isNotNull() & F.col("row").isNotNull()
+    for key in keys:
+        ok = ok & F.col(f"row.{key}").isNotNull()
+    return F.coalesce(ok, F.lit(False))
+
+
+def decode_changes(
+    lines: DataFrame, row_schema: str, position: str = "lsn", keys: Sequence[str] = (),
+    decimals: Mapping[str, int] | None = None, micros: Sequence[str] = (),
+) -> DataFrame:
     """Debezium-style envelopes (`value` text) as op, position and the row's columns.
 
     Deletes carry the row in `before`, everything else in `after`. Both the bare payload and the
-    `{"schema": ..., "payload": ...}` form are read.
+    `{"schema": ..., "payload": ...}` form are read. `decimals` (name -> scale) may come as numbers or
+    as base64 text of their unscaled bytes, and `micros` are clocks in microseconds, as connectors
+    without further settings send them. Tombstones (NULL) and what `malformed_changes` returns are
+    left out.
     """
-    body = f"op string, source struct<{position}: bigint>, before struct<{row_schema}>," \
-           f" after struct<{row_schema}>"
-    whole = F.from_json("value", f"{body}, payload struct<{body}>")
-    event = F.when(whole["payload"].isNotNull(), whole["payload"]).otherwise(
-        F.struct(*[whole[c].alias(c) for c in ("op", "source", "before", "after")]))
-    return lines.select(event.alias("e")).select(
-        F.col("e.op").alias("op"), F.col(f"e.source.{position}").alias("position"),
-        F.when(F.col("e.op") == "d", F.col("e.before")).otherwise(F.col("e.after")).alias("row"),
-    ).select("op", "position", "row.*")
+    events = _envelopes(lines, row_schema, position, decimals or {}, micros)
+    return events.filter(_usable(keys)).select("op", "position", "row.*")
+
+
+def malformed_changes(
+    lines: DataFrame, row_schema: str, position: str = "lsn", keys: Sequence[str] = (),
+) -> DataFrame:
+    """The text of envelopes that cannot be applied: no JSON, operation, position, row or key."""
+    events = _envelopes(lines, row_schema, position, {}, ())
+    return events.filter(F.col("value").isNotNull() & ~_usable(keys)).select("value")
 
 
 def apply_changes(changes: DataFrame, keys: Sequence[str], position: str = "position") -> DataFrame:

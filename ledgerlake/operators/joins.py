@@ -55,7 +55,8 @@ def as_of(
 ) -> DataFrame:
     """For every label row, the newest feature row of its key with feature_time <= label_time.
 
-    Feature rows repeated for one (key, feature_time) are settled by the greatest `version`.
+    Feature rows repeated for one (key, feature_time) are settled by the greatest `version`, NULL being
+    the least, and equal versions by the greatest values. Labels without a key or a time see nothing.
 
     Scale: a key may own a large share of all rows, so no task ever sees a whole key. Time is cut
     into slices; one row per (key, slice) carries the last feature of earlier slices forward, and
@@ -69,9 +70,13 @@ def as_of(
     settled = (
         features.filter(F.col(key).isNotNull() & F.col(feature_time).isNotNull())
         .groupBy(F.col(key).alias("_key"), F.col(feature_time).alias("_time"))
-        .agg(F.max_by(payload, F.col(version)).alias("_feature"))
+        .agg(F.max(F.struct(F.col(version).alias("version"), payload.alias("payload")))["payload"]
+             .alias("_feature"))
         .withColumn("_slice", F.date_trunc(slice_by, "_time"))
     )
+    # Labels that can see nothing stay out of the joins, where they would all share one key.
+    keyless = labels.filter(F.col(key).isNull() | F.col(label_time).isNull())
+    labels = labels.filter(F.col(key).isNotNull() & F.col(label_time).isNotNull())
     label_slice = F.date_trunc(slice_by, F.col(label_time))
 
     # One row per (key, slice): label count, and the last feature of that slice, if any.
@@ -97,11 +102,10 @@ def as_of(
 
     queries = (
         labels.withColumns({"_key": F.col(key), "_slice": label_slice})
-        .join(spine, ["_key", "_slice"], "left")
+        .join(spine, ["_key", "_slice"])
         .select(
             "_key", "_slice", F.col(label_time).alias("_time"), F.lit(1).alias("_side"), "_carry",
-            F.pmod(F.xxhash64(*labels.columns),
-                   F.coalesce(F.col("_parts"), F.lit(NULL_SPREAD))).alias("_part"),
+            F.pmod(F.xxhash64(*labels.columns), F.col("_parts")).alias("_part"),
             F.lit(None).cast(settled.schema["_feature"].dataType).alias("_feature"),
             F.struct(*labels.columns).alias("_label"))
     )
@@ -123,4 +127,6 @@ def as_of(
         .withColumn("_seen", seen)
         .filter(F.col("_side") == 1)
         .select("_label.*", "_seen.*")
+        .unionByName(keyless.select(*labels.columns, F.lit(None).cast(
+            settled.schema["_feature"].dataType).alias("_seen")).select(*labels.columns, "_seen.*"))
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config
 from ledgerlake.functions.columns import balance_consistent, ratio
+from ledgerlake.sources.workspace import written
 
 
 def rate(condition: Column) -> Column:
@@ -71,22 +72,29 @@ def latest_balance(accounts: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 
 def list_by_key(
-    df: DataFrame, key: str, value: str, name: str, list_rows: int = 100_000,
+    df: DataFrame, key: str, value: str, name: str, chunk: int = 10_000,
 ) -> DataFrame:
-    """Sorted list of values per key, as (key, part, list).
+    """Sorted values per key in chunks of `chunk`, as (key, part, list); NULL keys are left out.
 
-    Nearly every key has one list, part 0. A key with more than `list_rows` rows is dealt out by
-    hash over as many parts as it needs, so no task ever builds one unbounded array.
+    Part p holds the values at positions p * chunk and on, at every size. Positions come from a range
+    sort over (key, value): a partition numbers its own rows, and what a key has in the partitions
+    before is added. So a hot key, even one with a single value, is spread over many tasks.
     """
-    big = (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > list_rows)
-        .select(key, F.ceil(F.col("_n") / F.lit(list_rows)).alias("_parts"))
-    )
-    part = F.pmod(F.xxhash64(value), F.coalesce(F.col("_parts"), F.lit(1).cast("long")))
+    rows = df.select(key, value).filter(F.col(key).isNotNull()).withColumn(
+        "_row", F.monotonically_increasing_id())
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(rows.repartitionByRange(parts, key, value, "_row")
+                     .withColumn("_task", F.spark_partition_id()), "ranged")
+    before = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_n")).select(
+        key, "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(key, "_task").orderBy(value, "_row")) - 1
     return (
-        df.select(key, value).join(big, key, "left")
-        .groupBy(key, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(value)).alias(name))
+        ranged.withColumn("_place", place).join(offsets, [key, "_task"])
+        .groupBy(key, F.floor((F.col("_place") + F.col("_before")) / F.lit(chunk)).alias("part"))
+        .agg(F.array_sort(F.collect_list(F.struct(F.col(value).isNull(), F.col(value).alias("v"))))
+             .alias("_list"))
+        .select(key, "part", F.transform("_list", lambda x: x["v"]).alias(name))
     )
 
 
@@ -164,7 +172,8 @@ def late_rate(df: DataFrame, arrival: str = "ingested_at", event: str = "timesta
 
 def repeatable_sample(df: DataFrame, by: str, n: int = 20, seed: int = 42) -> DataFrame:
     """n rows that look random but are the same on every run: the smallest salted hashes."""
-    return df.orderBy(F.xxhash64(F.col(by), F.lit(seed)), by).limit(n)
+    drawn = F.md5(F.concat_ws("|", F.col(by).cast("string"), F.lit(str(seed))))
+    return df.orderBy(drawn, by).limit(n)
 
 
 def freshness(

@@ -11,6 +11,7 @@ from ledgerlake import config
 from ledgerlake.operators.clean import CLEANERS
 from ledgerlake.operators.quality import transaction_gate
 from ledgerlake.sources.tables import read_table, selected_tables, write_table
+from ledgerlake.sources.workspace import written
 
 log = logging.getLogger(__name__)
 
@@ -30,6 +31,8 @@ def run_silver(
         bronze = read_table(spark, lake, "bronze", table)
         silver = CLEANERS[table](bronze)
         if table == "transactions":
+            # cleaned once: the gate reads the stored rows, and those are published
+            silver = written(silver, "staged")
             transaction_gate(silver)
         write_table(silver, lake.path("silver", table), lake.fmt,
                     config.TABLES[table].partition_by)

@@ -104,13 +104,13 @@ def test_skew_profile_against_a_plain_computation(spark):
     assert got.max_median_ratio == 50.0
 
 
-def test_lists_of_a_hot_key_are_dealt_out_whole(spark):
-    rows = [("hot", i) for i in range(1000)] + [("cold", 1), ("cold", 2)]
-    out = profile.list_by_key(spark.createDataFrame(rows, "k string, v long"), "k", "v", "vs",
-                              list_rows=100).collect()
-    hot = [r for r in out if r.k == "hot"]
-    assert len(hot) > 1 and sorted(v for r in hot for v in r.vs) == list(range(1000))
-    assert [(r.part, r.vs) for r in out if r.k == "cold"] == [(0, [1, 2])]
+def test_lists_of_a_hot_key_come_in_chunks_of_one_size(spark):
+    rows = [("hot", i) for i in range(1000)] + [("cold", 1), ("cold", 2), (None, 3)] + [("same", 5)] * 250
+    out = profile.list_by_key(spark.createDataFrame(rows, "k string, v long").repartition(3), "k", "v", "vs",
+                              chunk=100).collect()
+    of = {(r.k, r.part): r.vs for r in out}
+    assert of == ({("hot", p): list(range(p * 100, p * 100 + 100)) for p in range(10)} | {("cold", 0): [1, 2]}
+                  | {("same", p): [5] * n for p, n in enumerate((100, 100, 50))})
 
 
 def test_distinct_compare_of_nothing_has_no_error(spark):

@@ -96,6 +96,10 @@ def test_upsert_in_place_touches_only_changed_partitions(spark, tmp_path):
                                        ("z", 1, "p3")]
     assert sorted(f.name for f in (tmp_path / "t" / "p=p2").iterdir()) == before
     moved = spark.createDataFrame([("c", 9, "p1")], schema)
+    with pytest.raises(ValueError, match="move"):
+        change.upsert_partitions(spark.read.schema(schema).parquet(path), moved, path, ["k"],
+                                 ["v"], "p", check_moves=True)
+    moved = spark.createDataFrame([("a", 9, "p3")], schema).union(spark.createDataFrame([("b", 9, "p1")], schema))
     with pytest.raises(ValueError, match="move"):
         change.upsert_partitions(spark.read.schema(schema).parquet(path), moved, path, ["k"],
                                  ["v"], "p")
@@ -120,3 +124,37 @@ def test_change_log_forms(spark):
     log = change.decode_changes(
         spark.createDataFrame([(v,) for v in lines], "value string"), "id string, n int")
     assert sorted(map(tuple, change.apply_changes(log, ["id"]).collect())) == [("a", 2), ("b", 7)]
+
+
+def test_as_of_settles_missing_and_equal_versions(spark, at):
+    labels = spark.createDataFrame([("a", at("10:00:00")), (None, at("10:00:00")), ("b", None)], "k string, at timestamp")
+    features = spark.createDataFrame(
+        [("a", at("09:00:00"), None, 1.0), ("a", at("09:00:00"), 2, 2.0), ("a", at("09:00:00"), 2, 3.0)],
+        "k string, ft timestamp, made int, v double")
+    got = joins.as_of(labels, features, "k", "at", "ft", "made", ["v"]).collect()
+    assert sorted((str(r.k), r.v) for r in got) == [("None", None), ("a", 3.0), ("b", None)]
+
+
+def test_upsert_keeps_rows_without_partition_and_omitted_columns(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, v int, w int, p string"
+    spark.createDataFrame([("a", 1, 5, None), ("b", 1, 6, None), ("c", 1, 7, "x")], schema).write.partitionBy(
+        "p").parquet(path)
+    current = spark.read.schema(schema).parquet(path)
+    updates = spark.createDataFrame([("a", 2, None)], "k string, v int, p string")
+    change.upsert_partitions(current, updates, path, ["k"], ["v"], "p")
+    got = sorted(map(str, map(tuple, spark.read.schema(schema).parquet(path).collect())))
+    assert got == sorted(map(str, [("a", 2, 5, None), ("b", 1, 6, None), ("c", 1, 7, "x")]))
+
+
+def test_bad_envelopes_are_set_aside_and_encoded_values_read(spark):
+    lines = ['{"op":"c","source":{"lsn":1},"after":{"id":"a","n":"AN3Q","at":1000000}}',
+             '{"op":"c","source":{"lsn":2},"after":{"id":"b","n":"/w==","at":0}}',
+             '{"op":"c","source":{"lsn":3},"after":{"id":"c","n":"12.5"}}', None,
+             '{"op":"c","source":{"lsn":4},"after":{"n":1}}', '{"op":"x","source":{"lsn":5},"after":{"id":"d"}}',
+             "cut off"]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    kind = "id string, n double, at timestamp"
+    got = change.decode_changes(df, kind, keys=["id"], decimals={"n": 2}, micros=["at"]).collect()
+    assert sorted((r.id, r.n) for r in got) == [("a", 567.84), ("b", -0.01), ("c", 12.5)]
+    bad = change.malformed_changes(df, kind, keys=["id"])
+    assert sorted(r.value for r in bad.collect()) == sorted(lines[4:])
