@@ -79,7 +79,7 @@ def run(args, spark: SparkSession) -> int:
     elif args.job == "layout":
         for zone, table in (("silver", "transactions"), ("gold", "fact_transactions"),
                             ("gold", "obt_transaction_enriched")):
-            layout_report(read_table(spark, lake, zone, table), f"{zone}.{table}").show()
+            layout_report(read_table(spark, lake, zone, table), f"{zone}.{table}", ("event_date",)).show()
     elif args.job in ("skew", "distinct"):
         transactions = read_table(spark, lake, "silver", "transactions")
         if args.job == "skew":

@@ -162,7 +162,8 @@ def catalog_register(spark, sf_dir):
 
 @query
 def layout_report(spark, sf_dir):
-    return layout.layout_report(stored_logins(spark, sf_dir), "silver.login_events")
+    return layout.layout_report(stored_logins(spark, sf_dir), "silver.login_events",
+                                config.TABLES["login_events"].partition_by)
 
 
 @query

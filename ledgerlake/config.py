@@ -11,11 +11,6 @@ TRANSACTION_STATUSES = ("success", "failed", "pending")
 CHANNELS = ("app", "web", "atm", "UNKNOWN")
 MISSING_CHANNEL = "UNKNOWN"
 CURRENCY = "VND"
-ACCOUNT_TYPES = ("wallet_vnd", "points")
-DEVICE_TYPES = ("mobile", "tablet", "desktop")
-MERCHANT_CATEGORIES = (
-    "grocery", "ecommerce", "utility", "transport", "food_delivery", "entertainment",
-)
 
 FEATURE_DAYS = 90
 BALANCE_TOLERANCE = 1e-6
@@ -23,9 +18,8 @@ TOP_KEY_SHARE = 0.05
 DEFAULT_RSD = 0.05
 
 STREAM_WINDOW = "5 minutes"
-STREAM_OUT_OF_ORDER = "10 seconds"
-STREAM_LATENESS = "60 seconds"
-# A 5-minute window is final once event time has passed its end by out-of-order + lateness.
+# A 5-minute window is final once event time has passed its end by so much: 10 seconds out of order
+# and 60 seconds late.
 STREAM_CLOSE_DELAY = "70 seconds"
 DEDUP_TTL = "30 minutes"
 BURST_WINDOW = "10 seconds"
@@ -33,7 +27,7 @@ BURST_THRESHOLD = 100
 
 FRESHNESS_MINUTES = {"offline": 60, "streaming": 5, "unified": 15}
 
-# --- Table contracts --------------------------------------------------------------------------
+# --- Table contracts: fixed values as well --------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.joins import left_lookup
+from ledgerlake.sources.workspace import written
 
 # Attributes taken from each dimension (source -> published name).
 ATTRIBUTES = {
@@ -17,6 +18,8 @@ ATTRIBUTES = {
     "date_key": {"day_of_week": "day_of_week", "month": "month", "quarter": "quarter",
                  "year": "year", "is_weekend": "is_weekend"},
 }
+#: A calendar of a century has fewer days. A larger date table is joined by a shuffle.
+CALENDAR_ROWS = 40_000
 MEASURES = ("type", "status", "channel", "currency", "amount", "old_balance", "new_balance",
             "counterparty_account_id", "timestamp", "ingested_at", "event_date")
 
@@ -28,8 +31,12 @@ def enrich_transactions(
     """Every fact row once, with the attributes of five dimensions where they exist.
 
     Dimension keys must be unique (the Gold rules check it), or fact rows would multiply. The
-    merchant key is NULL for everything but payments, hence the spread.
+    merchant key is NULL for everything but payments, hence the spread. The date table is stored and
+    counted first: a calendar is sent to all tasks, so that the wide rows are not shuffled by day.
     """
+    dates = written(dates, "calendar")
+    if dates.count() <= CALENDAR_ROWS:
+        dates = F.broadcast(dates)
     dims = dict(zip(ATTRIBUTES, (users, accounts, devices, merchants, dates), strict=True))
     wide = fact
     for key, dim in dims.items():

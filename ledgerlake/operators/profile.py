@@ -28,6 +28,11 @@ def value_shares(df: DataFrame, value: Column, name: str) -> DataFrame:
     return counts.withColumn("share", F.col("row_count") / total)
 
 
+def rate_among(rows: Column, condition: Column) -> Column:
+    """Share of the given rows for which the condition is true (NULL counts as false)."""
+    return F.avg(F.when(rows, F.coalesce(condition, F.lit(False)).cast("double")))
+
+
 def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: the share of NULLs of each column."""
     return df.agg(*[rate(F.col(c).isNull()).alias(f"{c}_null_rate") for c in columns])
@@ -38,9 +43,9 @@ def failed_rule_rates(transactions: DataFrame) -> DataFrame:
     failed = F.col("status") == "failed"
     overdrawn = (F.col("type") != "deposit") & (F.col("amount") > F.col("old_balance"))
     return transactions.agg(
-        F.avg(F.when(failed, (F.col("new_balance") == F.col("old_balance")).cast("double")))
+        rate_among(failed, F.col("new_balance") == F.col("old_balance"))
         .alias("failed_balance_kept_rate"),
-        F.avg(F.when(overdrawn, failed.cast("double"))).alias("overdrawn_failed_rate"),
+        rate_among(overdrawn, failed).alias("overdrawn_failed_rate"),
     )
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ledgerlake.functions.columns import mebibytes
 
 
-def layout_report(files: DataFrame, name: str) -> DataFrame:
-    """Files, sizes in MiB and rows of a file-based table, as one row.
+def layout_report(files: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Files, sizes in MiB, rows and partition columns of a file-based table, as one row.
 
     `files` is a plain scan: it is grouped by the hidden file metadata, so only file names and
     sizes are read beside the row counts.
@@ -26,7 +26,8 @@ def layout_report(files: DataFrame, name: str) -> DataFrame:
         F.median(size).alias("median_mib"), F.min(size).alias("min_mib"),
         F.max(size).alias("max_mib"),
         F.sum("n").alias("row_count"), F.avg("n").alias("rows_per_file"),
-    ).select(F.lit(name).alias("table_name"), "*")
+    ).select(F.lit(name).alias("table_name"),
+             F.lit(", ".join(partition_by)).alias("partition_columns"), "*")
 
 
 def compact(

@@ -53,9 +53,10 @@ def require_columns(df: DataFrame, table: str) -> None:
 
 
 def normalize_bronze(df: DataFrame, table: str) -> DataFrame:
-    """Cast the declared columns and nothing else: no fill, no filter, no new column.
+    """The rows as they came, with declared columns in their declared types.
 
-    A value that does not fit its type fails the job.
+    Bronze promises that what a source sent can be read back: rows and values are all there, and a
+    value that its type cannot hold stops the load instead of turning into NULL.
     """
     require_columns(df, table)
     return cast_columns(df, TABLES[table].kinds(), strict=True)
@@ -110,15 +111,14 @@ def write_verified(
 
 
 def selected_tables(names: Iterable[str] | None) -> list[str]:
-    """All tables, or the named ones in their given order without repeats."""
-    if names is None:
-        return list(TABLES)
-    names = list(dict.fromkeys(names))
-    unknown = sorted(set(names) - TABLES.keys())
-    if unknown:
-        raise IngestError(
-            f"unknown tables: {', '.join(unknown)}; known are {', '.join(TABLES)}")
-    return names
+    """The tables to load: all, or those asked for, each once and in that order."""
+    chosen: dict[str, bool] = {}
+    for name in TABLES if names is None else names:
+        chosen.setdefault(name, name in TABLES)
+    if not all(chosen.values()):
+        raise IngestError("unknown tables: " + ", ".join(sorted(n for n, ok in chosen.items() if not ok))
+                          + "; known are " + ", ".join(TABLES))
+    return list(chosen)
 
 
 SUMMARY = ("table_name string, source_rows long, target_rows long, catalog_rows long,"
