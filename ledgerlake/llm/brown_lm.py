@@ -3,18 +3,19 @@
 A text is its words (A-Z in lower case) and then one end; it begins as if after an end. The model is
 P(word | before) = P(class | class before) * P(word | class).
 
-1. Tasks cut the texts into shards of about a million words of whole texts and write each as numbers
+1. Tasks cut the texts into shards of about half a million words of whole texts and write each as numbers
    of its own word list. What is shuffled afterwards are rows of (shard, word), not words of text.
 2. Word counts over all training texts. The most frequent words (a fixed number) are clustered by
    exchange: each word in turn moves to the class that raises the likelihood of the class bigrams
    most. Their bigram counts come from all training texts; the clustering sees a small table.
 3. Every other word gets the class that explains its frequent neighbours best: each shard votes with
    the best class for the word's places there. Words without such neighbours share a class.
-4. Counts and classes are joined to the shards' word lists; class bigrams are counted and the texts
-   scored shard by shard. A common word is one row per shard in these joins.
+4. Class bigrams are counted over all training texts, with each shard's own best classes. A word's
+   class is the one that most of its shards' places vote for. Counts and classes are joined to the
+   shards' word lists, where a common word is one row per shard, and the texts scored shard by shard.
 
 Class transitions are smoothed towards the frequencies of classes; a word that training never saw
-takes the share of words seen once, after the same class. Emissions add 0.1 to each count.
+takes the share of words seen once. Emissions add 0.1 to each count.
 
 Null text is empty: one end. Rows that repeat count and are scored one by one. Without training
 texts every score is 0. No documents: no rows. Only the named columns are read, so others cannot
@@ -36,10 +37,11 @@ from ledgerlake.llm import text as T
 from ledgerlake.sources.workspace import written
 
 END = np.uint64(1)
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 19
 FREQUENT = 512
 CLASSES = 32
 ADD = 0.1
+_CLASS = 1024
 SMOOTH = 50.0
 
 _SHARD = ("shard long, ids array<long>, train binary, lengths binary, low binary, high binary,"
@@ -91,8 +93,8 @@ class Shard:
     train: np.ndarray
     lengths: np.ndarray
     tokens: np.ndarray
-    words: np.ndarray
-    counts: np.ndarray
+    words: np.ndarray | None
+    counts: np.ndarray | None
 
     def starts(self) -> np.ndarray:
         return np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
@@ -114,10 +116,12 @@ def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, Shard]]:
             at = batch.schema.get_field_index(name)
             return np.frombuffer(batch.column(at)[i].as_buffer(), kind)
         low, high = raw("low", np.uint16), raw("high", np.uint8)
+        listed = "words" in batch.schema.names
         yield i, Shard(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(),
                        raw("train", np.uint8).astype(bool), raw("lengths", np.int64),
                        low.astype(np.int64) | (high.astype(np.int64) << 16),
-                       raw("words", np.uint64), raw("counts", np.int64))
+                       raw("words", np.uint64) if listed else None,
+                       raw("counts", np.int64) if listed else None)
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,62 +208,72 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 12) -> np.ndarray:
     return own[:words]
 
 
+def _local_classes(s: Shard, model) -> tuple[np.ndarray, np.ndarray]:
+    """Of each word of a shard: its class, and how many frequent neighbours told so; -1 if it is given.
+
+    Frequent words have their class; others take the class that explains their neighbours best, and
+    the last one where there are none.
+    """
+    known, own, ahead = model
+    k = len(ahead)
+    classes = np.append(own, k)[_number_of(s.words, known)]
+    tokens = classes[s.tokens]
+    before = s.before(tokens, own[0])
+    after = np.append(tokens[1:], k)
+    other = (tokens == k) & s.learned()
+    score = np.zeros((len(s.words), k), np.float32)
+    weight = np.zeros(len(s.words), np.int64)
+    for near, logs in ((before, ahead), (after, ahead.T)):
+        at = np.flatnonzero(other & (near < k))
+        seen = np.bincount(s.tokens[at] * k + near[at], minlength=len(s.words) * k)
+        seen = seen.astype(np.float32).reshape(-1, k)
+        score += seen @ logs.astype(np.float32)
+        weight += np.bincount(s.tokens[at], minlength=len(s.words))
+        del seen
+    given = classes < k
+    classes = np.where(given | (weight == 0), classes, score.argmax(1))
+    return classes, np.where(given, -1, weight)
+
+
 def _votes(model):
     """(word, class, weight): the best class of each other word for its places in a shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own, ahead = model.value
-        k = len(ahead)
-        own, end = np.append(own, k), own[0]
         for batch in batches:
             for _, s in _shards(batch):
-                classes = own[_number_of(s.words, known)]
-                tokens = classes[s.tokens]
-                before = s.before(tokens, end)
-                after = np.append(tokens[1:], k)
-                other = (tokens == k) & s.learned()
-                score = np.zeros((len(s.words), k))
-                weight = np.zeros(len(s.words), np.int64)
-                for near, logs in ((before, ahead), (after, ahead.T)):
-                    at = np.flatnonzero(other & (near < k))
-                    seen = np.bincount(s.tokens[at] * k + near[at], minlength=len(s.words) * k)
-                    seen = seen.reshape(-1, k)
-                    score += seen @ logs
-                    weight += seen.sum(1)
-                at = np.flatnonzero(weight)
+                classes, weight = _local_classes(s, model.value)
+                at = np.flatnonzero(weight > 0)
                 yield pa.RecordBatch.from_pydict({
                     "word": pa.array(s.words[at].view(np.int64)),
-                    "class": pa.array(score[at].argmax(1).astype(np.int32)), "weight": pa.array(weight[at])})
+                    "class": pa.array(classes[at].astype(np.int32)), "weight": pa.array(weight[at])})
     return run
 
 
-def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and class of each word of the shard's list; `spare` is the class of unseen words."""
-    counts, classes = np.zeros(len(s.words), np.int64), np.full(len(s.words), spare)
-    rows = batch.column(batch.schema.get_field_index("known"))[i].values
-    if rows is not None and len(rows):
-        at, n, own = (rows.field(j).to_numpy() for j in range(3))
-        counts[at], classes[at] = n, own
-    return counts, classes
-
-
-def _class_bigrams(size: int, end: int):
-    """(pair, n, once): training class bigrams, and those whose second word was seen once."""
+def _class_bigrams(model, size: int):
+    """(pair, n): training class bigrams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, single = np.zeros(size * size, np.int64), np.zeros(size * size, np.int64)
+        total = np.zeros(size * size, np.int64)
         for batch in batches:
-            for i, s in _shards(batch):
-                counts, classes = _known(batch, i, s, size - 1)
+            for _, s in _shards(batch):
+                classes, _ = _local_classes(s, model.value)
                 tokens = classes[s.tokens]
-                pairs = (s.before(tokens, end) * size + tokens)[s.learned()]
-                once = (counts == 1)[s.tokens][s.learned()]
-                total += np.bincount(pairs, minlength=size * size)
-                single += np.bincount(pairs[once], minlength=size * size)
+                pairs = s.before(tokens, model.value[1][0]) * size + tokens
+                total += np.bincount(pairs[s.learned()], minlength=size * size)
         pairs = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs, pa.int64()), "n": pa.array(total[pairs]),
-                                          "once": pa.array(single[pairs])})
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs, pa.int64()), "n": pa.array(total[pairs])})
     return run
 
 
+def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int) -> tuple[np.ndarray, np.ndarray]:
+    """Count and class of each word of the shard's list; `spare` is the class of unseen words."""
+    words = int(s.tokens.max()) + 1
+    counts, classes = np.zeros(words, np.int64), np.full(words, spare)
+    rows = batch.column(batch.schema.get_field_index("known"))[i].values
+    if rows is not None and len(rows):
+        place, n = (rows.field(j).to_numpy() for j in range(2))
+        counts[place // _CLASS], classes[place // _CLASS] = n, place % _CLASS
+    return counts, classes
+
+
 @dataclass(frozen=True)
 class Model:
     transitions: np.ndarray
@@ -281,17 +295,15 @@ class Model:
         return self.transitions[before, tokens] + emit[s.tokens], base[s.tokens]
 
 
-def transitions(bigrams: np.ndarray, once: np.ndarray) -> np.ndarray:
-    """log10 of the smoothed class transitions, from training counts without unseen words."""
+def transitions(bigrams: np.ndarray, new: float) -> np.ndarray:
+    """log10 of the smoothed class transitions; `new` is the share of words that come up first."""
     total = bigrams.sum()
     if not total:
         return np.zeros(bigrams.shape)
     common = bigrams.sum(0) / total
-    new = once.sum() / total
-    after = bigrams.sum(1, keepdims=True)
-    unseen = np.clip((once.sum(1, keepdims=True) + SMOOTH * new) / (after + SMOOTH), 1e-9, 0.5)
-    out = (1 - unseen) * (bigrams + SMOOTH * common) / (after + SMOOTH)
-    out[:, -1:] = unseen
+    new = min(max(new, 1e-9), 0.5)
+    out = (1 - new) * (bigrams + SMOOTH * common) / (bigrams.sum(1, keepdims=True) + SMOOTH)
+    out[:, -1] = new
     return np.log10(np.maximum(out, 1e-300))
 
 
@@ -342,7 +354,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     ahead = table[:k, :k] + 0.5
     ahead = np.log(ahead / ahead.sum(1, keepdims=True) / (ahead.sum(0) / ahead.sum()))
 
-    votes = (shards.mapInArrow(_votes(share((known, own, ahead))), "word long, class int, weight long")
+    guide = share((known, own, ahead))
+    # dealt out by word once, for both sums
+    votes = (shards.mapInArrow(_votes(guide), "word long, class int, weight long").repartition("word")
              .groupBy("word", "class").agg(F.sum("weight").alias("weight"))
              .groupBy("word").agg(F.max_by("class", F.struct("weight", "class")).alias("voted")))
     fixed = spark.createDataFrame([(int(w), int(c)) for w, c in zip(known.view(np.int64), own)],
@@ -350,21 +364,24 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     classed = written(
         words.join(votes, "word", "left").join(F.broadcast(fixed), "word", "left")
         .select("word", "n", F.coalesce("given", "voted", F.lit(k)).alias("class")), "classed")
-    held = (rows.select("shard", "at", "word").join(classed, "word")
-            .groupBy(F.col("shard").alias("of"))
-            .agg(F.collect_list(F.struct("at", "n", "class")).alias("known")))
-    joined = written(shards.join(held, F.col("shard") == F.col("of"), "left").drop("of"), "shards-known")
-
-    end, size = int(own[0]), k + 2
-    grams, once = np.zeros(size * size), np.zeros(size * size)
-    for r in (joined.mapInArrow(_class_bigrams(size, end), "pair long, n long, once long")
-              .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect()):
-        grams[r.pair], once[r.pair] = r.n, r.once
-    class_tokens, class_words = np.zeros(size), np.zeros(size)
-    for r in classed.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+
+    size = k + 2
+    grams = np.zeros(size * size)
+    for r in (shards.mapInArrow(_class_bigrams(guide, size), "pair long, n long")
+              .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
+        grams[r.pair] = r.n
+    class_tokens, class_words, once = np.zeros(size), np.zeros(size), 0
+    for r in classed.groupBy("class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"),
+                                          F.count_if(F.col("n") == 1).alias("once")).collect():
         class_tokens[r["class"]], class_words[r["class"]] = r.n, r.v
-    model = Model(transitions(grams.reshape(size, size), once.reshape(size, size)), class_tokens,
-                  class_words, total.n or 0, total.v, end)
+        once += r.once
+    model = Model(transitions(grams.reshape(size, size), once / max(1, total.n or 0)), class_tokens,
+                  class_words, total.n or 0, total.v, int(own[0]))
+
+    place = (F.col("at").cast("long") * _CLASS + F.col("class")).alias("place")
+    held = (rows.select("shard", "at", "word").join(classed, "word").groupBy(F.col("shard").alias("of"))
+            .agg(F.collect_list(F.struct(place, "n")).alias("known")))
+    joined = shards.drop("words", "counts").join(held, F.col("shard") == F.col("of"), "left").drop("of")
     return joined.mapInArrow(_scored(share(model)),
                              "doc_id long, held_out boolean, n_tokens long, n_known long,"
                              " train_tokens long, base_score double, score double")
