@@ -10,9 +10,9 @@ P(word | before) = P(class | class before) * P(word | class).
    most. Their bigram counts come from all training texts; the clustering sees a small table.
 3. Every other word gets the class that explains its frequent neighbours best: each shard votes with
    the best class for the word's places there. Words without such neighbours share a class.
-4. Class bigrams are counted over all training texts, with each shard's own best classes. A word's
-   class is the one that most of its shards' places vote for. Counts and classes are joined to the
-   shards' word lists, where a common word is one row per shard, and the texts scored shard by shard.
+4. A word's class is the one that most of its shards' places vote for. Counts and classes are joined to
+   the shards' word lists, where a common word is one row per shard. Class bigrams are counted over all
+   training texts from that join, and the texts scored from it, shard by shard; it is not stored.
 
 Class transitions are smoothed towards the frequencies of classes; a word that training never saw
 takes the share of words seen once. Emissions add 0.1 to each count.
@@ -248,21 +248,6 @@ def _votes(model):
     return run
 
 
-def _class_bigrams(model, size: int):
-    """(pair, n): training class bigrams."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
-        for batch in batches:
-            for _, s in _shards(batch):
-                classes, _ = _local_classes(s, model.value)
-                tokens = classes[s.tokens]
-                pairs = s.before(tokens, model.value[1][0]) * size + tokens
-                total += np.bincount(pairs[s.learned()], minlength=size * size)
-        pairs = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs, pa.int64()), "n": pa.array(total[pairs])})
-    return run
-
-
 def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int) -> tuple[np.ndarray, np.ndarray]:
     """Count and class of each word of the shard's list; `spare` is the class of unseen words."""
     words = int(s.tokens.max()) + 1
@@ -274,6 +259,21 @@ def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int) -> tuple[np.ndar
     return counts, classes
 
 
+def _class_bigrams(size: int, end: int):
+    """(pair, n): training class bigrams."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in batches:
+            for i, s in _shards(batch):
+                _, classes = _known(batch, i, s, size - 1)
+                tokens = classes[s.tokens]
+                pairs = s.before(tokens, end) * size + tokens
+                total += np.bincount(pairs[s.learned()], minlength=size * size)
+        pairs = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"pair": pa.array(pairs, pa.int64()), "n": pa.array(total[pairs])})
+    return run
+
+
 @dataclass(frozen=True)
 class Model:
     transitions: np.ndarray
@@ -365,9 +365,14 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
         words.join(votes, "word", "left").join(F.broadcast(fixed), "word", "left")
         .select("word", "n", F.coalesce("given", "voted", F.lit(k)).alias("class")), "classed")
 
+    place = (F.col("at").cast("long") * _CLASS + F.col("class")).alias("place")
+    held = (rows.select("shard", "at", "word").join(classed, "word").groupBy(F.col("shard").alias("of"))
+            .agg(F.collect_list(F.struct(place, "n")).alias("known")))
+    joined = shards.drop("words", "counts").join(held, F.col("shard") == F.col("of"), "left").drop("of")
+
     size = k + 2
     grams = np.zeros(size * size)
-    for r in (shards.mapInArrow(_class_bigrams(guide, size), "pair long, n long")
+    for r in (joined.mapInArrow(_class_bigrams(size, int(own[0])), "pair long, n long")
               .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
         grams[r.pair] = r.n
     class_tokens, class_words, once = np.zeros(size), np.zeros(size), 0
@@ -377,11 +382,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
         once += r.once
     model = Model(transitions(grams.reshape(size, size), once / max(1, total.n or 0)), class_tokens,
                   class_words, total.n or 0, total.v, int(own[0]))
-
-    place = (F.col("at").cast("long") * _CLASS + F.col("class")).alias("place")
-    held = (rows.select("shard", "at", "word").join(classed, "word").groupBy(F.col("shard").alias("of"))
-            .agg(F.collect_list(F.struct(place, "n")).alias("known")))
-    joined = shards.drop("words", "counts").join(held, F.col("shard") == F.col("of"), "left").drop("of")
     return joined.mapInArrow(_scored(share(model)),
                              "doc_id long, held_out boolean, n_tokens long, n_known long,"
                              " train_tokens long, base_score double, score double")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from ledgerlake.llm import brown_lm as B
+from ledgerlake.llm import text as T
 
 
 def tokens(text):
@@ -33,6 +34,43 @@ def test_counts_and_base_as_brute_force(documents, monkeypatch, shard):
         assert r.base_score == pytest.approx(base) and r.score < 0
 
 
+def hashed(token):
+    if token is None:
+        return int(B.END.astype(np.int64))
+    data = np.frombuffer(token.encode(), np.uint8)
+    return int(T.Hasher(data)(np.array([0]), np.array([len(data)])).view(np.int64)[0])
+
+
+@pytest.mark.parametrize("shards", [1, 12])
+def test_score_as_brute_force_with_the_published_classes(documents, monkeypatch, shards):
+    tables, store = {}, B.written
+    monkeypatch.setattr(B, "written", lambda df, label: tables.setdefault(label, store(df, label)))
+    rows, df = documents(3)
+    got = sorted(B.score(df.repartition(shards), frequent=12, classes=4).collect(), key=lambda r: r.doc_id)
+    assert tables["shards"].count() == shards
+    known = {r.word: (r["class"], r.n) for r in tables["classed"].collect()}
+    size = max(c for c, _ in known.values()) + 2
+    grams, per_class, total = np.zeros((size, size)), Counter(), 0
+    for c, n in known.values():
+        per_class[c] += n + B.ADD
+        total += n
+    end = known[hashed(None)][0]
+    spelled = {t: known.get(hashed(t), (size - 1, 0)) for r in rows for t in tokens(r[1])}
+    for r in rows:
+        before = end
+        for t in tokens(r[1]) if not held(r[0]) else ():
+            grams[before, spelled[t][0]] += 1
+            before = spelled[t][0]
+    moves = B.transitions(grams, sum(n == 1 for _, n in known.values()) / total)
+    for r, row in zip(got, sorted(rows, key=lambda r: r[0])):
+        want, before = 0.0, end
+        for t in tokens(row[1]):
+            c, n = spelled[t]
+            want += moves[before, c] + (math.log10((n + B.ADD) / per_class[c]) if n else 0)
+            before = c
+        assert r.score == pytest.approx(want)
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     grams = rng.integers(0, 9, (5, 5)).astype(float)
