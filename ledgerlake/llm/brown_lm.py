@@ -6,13 +6,17 @@ P(word | before) = P(class | class before) * P(word | class).
 1. Tasks cut the texts into shards of about half a million words of whole texts and write each as numbers
    of its own word list. What is shuffled afterwards are rows of (shard, word), not words of text.
 2. Word counts over all training texts. The most frequent words (a fixed number) are clustered by
-   exchange: each word in turn moves to the class that raises the likelihood of the class bigrams
-   most. Their bigram counts come from all training texts; the clustering sees a small table.
-3. Every other word gets the class that explains its frequent neighbours best: each shard votes with
-   the best class for the word's places there. Words without such neighbours share a class.
-4. A word's class is the one that most of its shards' places vote for. Counts and classes are joined to
-   the shards' word lists, where a common word is one row per shard. Class bigrams are counted over all
-   training texts from that join, and the texts scored from it, shard by shard; it is not stored.
+   exchange on the driver: each word in turn moves to the class that raises the likelihood of the class
+   bigrams most. Their bigram counts come from all training texts; this start sees a small table.
+3. Rounds of exchange over every word that training has often enough (at least a fixed count, so they
+   grow with the input). Classes are joined to the shards' word lists, where a common word is one row per
+   shard; tasks count (word, class of its neighbour), which is summed by word. All of these words move at
+   once, each to the class that raises the likelihood most with the others as they were; tasks choose in
+   batches and see the table of class bigrams only. The new classes are written each round.
+4. Rarer words get, in the last round, the class that explains all their neighbours best. Only words
+   whose neighbours all have no class yet share a class.
+5. Counts and final classes are joined to the shards. Class bigrams are counted over all training texts
+   from that join, and the texts scored from it, shard by shard; it is not stored.
 
 Class transitions are smoothed towards the frequencies of classes; a word that training never saw
 takes the share of words seen once. Emissions add 0.1 to each count.
@@ -24,6 +28,7 @@ clash. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +45,8 @@ END = np.uint64(1)
 SHARD_TOKENS = 1 << 19
 FREQUENT = 512
 CLASSES = 32
+LEAST = 5
+ROUNDS = 3
 ADD = 0.1
 _CLASS = 1024
 SMOOTH = 50.0
@@ -116,12 +123,12 @@ def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, Shard]]:
             at = batch.schema.get_field_index(name)
             return np.frombuffer(batch.column(at)[i].as_buffer(), kind)
         low, high = raw("low", np.uint16), raw("high", np.uint8)
-        listed = "words" in batch.schema.names
+        names = batch.schema.names
         yield i, Shard(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(),
                        raw("train", np.uint8).astype(bool), raw("lengths", np.int64),
                        low.astype(np.int64) | (high.astype(np.int64) << 16),
-                       raw("words", np.uint64) if listed else None,
-                       raw("counts", np.int64) if listed else None)
+                       raw("words", np.uint64) if "words" in names else None,
+                       raw("counts", np.int64) if "counts" in names else None)
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +167,30 @@ def _x_log_x(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
+def gains(table: np.ndarray, own: np.ndarray, out: np.ndarray, into: np.ndarray, self_pairs: np.ndarray
+          ) -> np.ndarray:
+    """Of each word alone: the likelihood by class, up to a constant of the word, if the word were in it.
+
+    `own` are the words' classes now; `out` and `into` the classes after and before them, without pairs
+    of a word with itself, of which there are `self_pairs`.
+    """
+    word, diagonal = np.arange(len(own)), np.arange(len(table))
+    base = np.repeat(table[None], len(own), 0)
+    base[word, own] -= out
+    base[word, :, own] -= into
+    base[word, own, own] -= self_pairs
+    # adding the word to class b changes row b and column b only
+    was = _x_log_x(base)
+    rows, columns = _x_log_x(base + out[:, None, :]), _x_log_x(base + into[:, :, None])
+    corner = base[:, diagonal, diagonal] + out + into + self_pairs[:, None]
+    gain = ((rows - was).sum(2) + (columns - was).sum(1) - rows[:, diagonal, diagonal]
+            - columns[:, diagonal, diagonal] + was[:, diagonal, diagonal] + _x_log_x(corner))
+    left, right = base.sum(2) + into, base.sum(1) + out  # the word's neighbours keep all their places
+    outs, ins = (x.sum(1) + self_pairs for x in (out, into))
+    return (gain - (_x_log_x(left + outs[:, None]) - _x_log_x(left))
+            - (_x_log_x(right + ins[:, None]) - _x_log_x(right)))
+
+
 def exchange(bigrams: np.ndarray, classes: int, rounds: int = 12) -> np.ndarray:
     """Classes of all words but the last, which stays a class of its own.
 
@@ -182,72 +213,20 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 12) -> np.ndarray:
             self_pairs = m[w, w]
             out[a] -= self_pairs
             into[a] -= self_pairs
-            base = table.copy()
-            base[a] -= out
-            base[:, a] -= into
-            base[a, a] -= self_pairs
-            # adding the word to class b changes row b and column b only
-            rows, columns = base + out, base + into[:, None]
-            diagonal = np.arange(k)
-            corner = base[diagonal, diagonal] + out + into + self_pairs
-            gain = ((_x_log_x(rows) - _x_log_x(base)).sum(1) + (_x_log_x(columns) - _x_log_x(base)).sum(0)
-                    - _x_log_x(rows[diagonal, diagonal]) - _x_log_x(columns[diagonal, diagonal])
-                    + _x_log_x(base[diagonal, diagonal]) + _x_log_x(corner))
-            left, right = base.sum(1), base.sum(0)
-            outs, ins = out.sum() + self_pairs, into.sum() + self_pairs
-            gain -= (_x_log_x(left + outs) - _x_log_x(left)) + (_x_log_x(right + ins) - _x_log_x(right))
+            gain = gains(table, own[[w]], out[None], into[None], m[w, w][None])[0]
             b = int(np.argmax(gain[:classes]))
             if gain[b] <= gain[a] + 1e-9:
                 continue
-            base[b] += out
-            base[:, b] += into
-            base[b, b] += self_pairs
-            table, own[w], moved = base, b, moved + 1
+            for c, sign in ((a, -1), (b, 1)):
+                table[c] += sign * out
+                table[:, c] += sign * into
+                table[c, c] += sign * self_pairs
+            own[w], moved = b, moved + 1
         if not moved:
             break
     return own[:words]
 
 
-def _local_classes(s: Shard, model) -> tuple[np.ndarray, np.ndarray]:
-    """Of each word of a shard: its class, and how many frequent neighbours told so; -1 if it is given.
-
-    Frequent words have their class; others take the class that explains their neighbours best, and
-    the last one where there are none.
-    """
-    known, own, ahead = model
-    k = len(ahead)
-    classes = np.append(own, k)[_number_of(s.words, known)]
-    tokens = classes[s.tokens]
-    before = s.before(tokens, own[0])
-    after = np.append(tokens[1:], k)
-    other = (tokens == k) & s.learned()
-    score = np.zeros((len(s.words), k), np.float32)
-    weight = np.zeros(len(s.words), np.int64)
-    for near, logs in ((before, ahead), (after, ahead.T)):
-        at = np.flatnonzero(other & (near < k))
-        seen = np.bincount(s.tokens[at] * k + near[at], minlength=len(s.words) * k)
-        seen = seen.astype(np.float32).reshape(-1, k)
-        score += seen @ logs.astype(np.float32)
-        weight += np.bincount(s.tokens[at], minlength=len(s.words))
-        del seen
-    given = classes < k
-    classes = np.where(given | (weight == 0), classes, score.argmax(1))
-    return classes, np.where(given, -1, weight)
-
-
-def _votes(model):
-    """(word, class, weight): the best class of each other word for its places in a shard."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, s in _shards(batch):
-                classes, weight = _local_classes(s, model.value)
-                at = np.flatnonzero(weight > 0)
-                yield pa.RecordBatch.from_pydict({
-                    "word": pa.array(s.words[at].view(np.int64)),
-                    "class": pa.array(classes[at].astype(np.int32)), "weight": pa.array(weight[at])})
-    return run
-
-
 def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int) -> tuple[np.ndarray, np.ndarray]:
     """Count and class of each word of the shard's list; `spare` is the class of unseen words."""
     words = int(s.tokens.max()) + 1
@@ -274,6 +253,82 @@ def _class_bigrams(size: int, end: int):
     return run
 
 
+def _near(k: int, every: bool):
+    """(word, code, n): how often a word has a class before it (the code), after it (k + 1 more), or itself.
+
+    Words that the shard was not sent a class of have class k; they have rows only if `every` word has.
+    Without a word: class bigrams, the code being the pair.
+    """
+    size = k + 1
+    codes = 2 * size + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(size * size, np.int64)
+        for batch in batches:
+            for i, s in _shards(batch):
+                n, classes = _known(batch, i, s, k)
+                learned = s.learned()
+                ends = np.flatnonzero(s.words == END)[0]
+                a, b = s.before(s.tokens, ends)[learned], s.tokens[learned]
+                table += np.bincount(classes[a] * size + classes[b], minlength=size * size)
+                seen = np.bincount(b * codes + classes[a], minlength=len(s.words) * codes)
+                seen += np.bincount(a * codes + size + classes[b], minlength=len(seen))
+                seen += np.bincount(a[a == b] * codes + 2 * size, minlength=len(seen))
+                at = np.flatnonzero(seen)
+                word = at // codes
+                if not every:
+                    at, word = (x[n[word] > 0] for x in (at, word))
+                yield pa.RecordBatch.from_pydict({
+                    "word": pa.array(s.words.view(np.int64)[word]),
+                    "code": pa.array((at - word * codes).astype(np.int32)), "n": pa.array(seen[at])})
+        at = np.flatnonzero(table)
+        yield pa.RecordBatch.from_pydict({"word": pa.nulls(len(at), pa.int64()),
+                                          "code": pa.array(at.astype(np.int32)), "n": pa.array(table[at])})
+    return run
+
+
+def best_classes(table: np.ndarray, own: np.ndarray, exchanged: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The best class of each word by its counts (see `_near`), all others staying as they are.
+
+    Exchanged words go by the likelihood; others by which class explains their neighbours best. The last
+    class is that of words without neighbours in other classes.
+    """
+    k = len(table) - 1
+    ahead = table[:k, :k] + 0.5
+    ahead = np.log(ahead / ahead.sum(1, keepdims=True) / (ahead.sum(0) / ahead.sum()))
+    into, out = seen[:, :k + 1].astype(float), seen[:, k + 1:2 * k + 2].astype(float)
+    told = into[:, :k].any(1) | out[:, :k].any(1)
+    best = np.where(told, (into[:, :k] @ ahead + out[:, :k] @ ahead.T).argmax(1), own)
+    for at in np.array_split(np.flatnonzero(exchanged & told), 1 + exchanged.sum() // 256):
+        if len(at):
+            a, pairs = own[at], seen[at, -1].astype(float)
+            o, i = out[at], into[at]
+            o[np.arange(len(at)), a] -= pairs
+            i[np.arange(len(at)), a] -= pairs
+            gain = gains(table, a, o, i, pairs)
+            b = gain[:, :k].argmax(1)
+            stay = (a < k) & (gain[np.arange(len(at)), b] <= gain[np.arange(len(at)), a] + 1e-9)
+            best[at] = np.where(stay, a, b)
+    return best
+
+
+def _chosen(table):
+    """(word, class) of words with their class until now, if they are exchanged, and their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, codes = len(table.value) - 1, 2 * len(table.value) + 1
+        for batch in batches:
+            lists = batch.column(2)
+            entries = lists.flatten()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            seen = np.zeros((batch.num_rows, codes), np.int64)
+            seen[row, entries.field(0).to_numpy()] = entries.field(1).to_numpy()
+            own = batch.column(1).fill_null(-1).to_numpy()
+            best = best_classes(table.value, np.where(own < 0, k, own), own >= 0, seen)
+            yield pa.RecordBatch.from_pydict({"word": batch.column(0),
+                                              "class": pa.array(best.astype(np.int32))})
+    return run
+
+
 @dataclass(frozen=True)
 class Model:
     transitions: np.ndarray
@@ -325,8 +380,14 @@ def _scored(model):
     return run
 
 
+def _release(spark) -> None:
+    """Lets Spark drop the shuffle files of a round that is written, which it does on a collection only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT,
-          classes: int = CLASSES) -> DataFrame:
+          classes: int = CLASSES, least: int = LEAST, rounds: int = ROUNDS) -> DataFrame:
     """Per document: `doc_id`, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
@@ -348,31 +409,46 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
         bigrams[r.pair] = r.n
     own = exchange(bigrams.reshape(size, size), classes)
     k = int(own.max()) + 1
-    table = np.zeros((k + 1, k + 1))
-    every = np.append(own, k)
-    np.add.at(table, (every[:, None], every[None, :]), bigrams.reshape(size, size))
-    ahead = table[:k, :k] + 0.5
-    ahead = np.log(ahead / ahead.sum(1, keepdims=True) / (ahead.sum(0) / ahead.sum()))
 
-    guide = share((known, own, ahead))
-    # dealt out by word once, for both sums
-    votes = (shards.mapInArrow(_votes(guide), "word long, class int, weight long").repartition("word")
-             .groupBy("word", "class").agg(F.sum("weight").alias("weight"))
-             .groupBy("word").agg(F.max_by("class", F.struct("weight", "class")).alias("voted")))
     fixed = spark.createDataFrame([(int(w), int(c)) for w, c in zip(known.view(np.int64), own)],
                                   "word long, given int")
-    classed = written(
-        words.join(votes, "word", "left").join(F.broadcast(fixed), "word", "left")
-        .select("word", "n", F.coalesce("given", "voted", F.lit(k)).alias("class")), "classed")
 
-    place = (F.col("at").cast("long") * _CLASS + F.col("class")).alias("place")
-    held = (rows.select("shard", "at", "word").join(classed, "word").groupBy(F.col("shard").alias("of"))
-            .agg(F.collect_list(F.struct(place, "n")).alias("known")))
-    joined = shards.drop("words", "counts").join(held, F.col("shard") == F.col("of"), "left").drop("of")
+    def sent(classed: DataFrame, *of: str) -> DataFrame:
+        """The shards, without some columns, and of the classed words they have: place and class, n."""
+        place = (F.col("at").cast("long") * _CLASS + F.col("class")).alias("place")
+        held = (rows.select("shard", "at", "word").join(classed, "word").groupBy(F.col("shard").alias("of"))
+                .agg(F.collect_list(F.struct(place, "n")).alias("known")))
+        return shards.drop(*of).join(held, F.col("shard") == F.col("of"), "left").drop("of")
+
+    classed = written(words.join(F.broadcast(fixed), "word", "left")
+                      .filter((F.col("n") >= least) | F.col("given").isNotNull())
+                      .select("word", "n", F.coalesce("given", F.lit(k)).alias("class")), "round")
+    for r in range(rounds):
+        every = r == rounds - 1
+        # dealt out by word once, for both sums and the choice
+        near = written(sent(classed.withColumn("n", F.lit(1)), "counts")
+                       .mapInArrow(_near(k, every), "word long, code int, n long").repartition("word")
+                       .groupBy("word", "code").agg(F.sum("n").alias("n")).groupBy("word")
+                       .agg(F.collect_list(F.struct("code", "n")).alias("seen")), "near")
+        table = np.zeros((k + 1) ** 2)
+        for pairs in near.filter("word IS NULL").collect():  # one row of at most that many
+            for pair in pairs.seen:
+                table[pair.code] = pair.n
+        chosen = (near.filter("word IS NOT NULL")
+                  .join(classed.select("word", F.col("class").cast("int").alias("own")), "word", "left")
+                  .select("word", "own", "seen")
+                  .mapInArrow(_chosen(share(table.reshape(k + 1, k + 1))), "word long, class int"))
+        classed = written((words if every else classed.select("word", "n")).join(chosen, "word", "left")
+                          .select("word", "n", F.coalesce("class", F.lit(k)).alias("class")),
+                          "classed" if every else "round")
+        _release(spark)
+    end = classed.filter(F.col("word") == int(END)).first()
+    end = end["class"] if end else int(own[0])
+    joined = sent(classed, "words", "counts")
 
     size = k + 2
     grams = np.zeros(size * size)
-    for r in (joined.mapInArrow(_class_bigrams(size, int(own[0])), "pair long, n long")
+    for r in (joined.mapInArrow(_class_bigrams(size, end), "pair long, n long")
               .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
         grams[r.pair] = r.n
     class_tokens, class_words, once = np.zeros(size), np.zeros(size), 0
@@ -381,7 +457,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
         class_tokens[r["class"]], class_words[r["class"]] = r.n, r.v
         once += r.once
     model = Model(transitions(grams.reshape(size, size), once / max(1, total.n or 0)), class_tokens,
-                  class_words, total.n or 0, total.v, int(own[0]))
+                  class_words, total.n or 0, total.v, end)
     return joined.mapInArrow(_scored(share(model)),
                              "doc_id long, held_out boolean, n_tokens long, n_known long,"
                              " train_tokens long, base_score double, score double")

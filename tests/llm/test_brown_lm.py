@@ -41,10 +41,18 @@ def hashed(token):
     return int(T.Hasher(data)(np.array([0]), np.array([len(data)])).view(np.int64)[0])
 
 
+def kept_in(tables):
+    """Writes as the operator does and keeps the last table of each label."""
+    def run(df, label, store=B.written):
+        tables[label] = store(df, label)
+        return tables[label]
+    return run
+
+
 @pytest.mark.parametrize("shards", [1, 12])
 def test_score_as_brute_force_with_the_published_classes(documents, monkeypatch, shards):
-    tables, store = {}, B.written
-    monkeypatch.setattr(B, "written", lambda df, label: tables.setdefault(label, store(df, label)))
+    tables = {}
+    monkeypatch.setattr(B, "written", kept_in(tables))
     rows, df = documents(3)
     got = sorted(B.score(df.repartition(shards), frequent=12, classes=4).collect(), key=lambda r: r.doc_id)
     assert tables["shards"].count() == shards
@@ -106,3 +114,36 @@ def test_nothing_to_learn_from(spark, no_documents):
     only = next(i for i in range(100) if held(i))
     (r,) = B.score(spark.createDataFrame([(only, "a b")], "doc_id long, text string")).collect()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_words_beyond_the_frequent_ones_are_exchanged(spark, monkeypatch):
+    import random
+    rng, tables = random.Random(6), {}
+    monkeypatch.setattr(B, "written", kept_in(tables))
+    lists = [[f"{p}{i}" for i in range(40)] for p in "abc"]
+    rows = [(i, " ".join(rng.choice(lists[k % 3]) for k in range(60))) for i in range(400)]
+    B.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), frequent=4,
+            classes=4).collect()
+    found = {r.word: r["class"] for r in tables["classed"].collect()}
+    of = [{found[hashed(w)] for w in words} for words in lists]
+    assert all(len(x) == 1 for x in of) and len(set.union(*of)) == 3
+
+
+def test_each_move_raises_the_likelihood():
+    rng = np.random.default_rng(5)
+    m, own, k = rng.integers(0, 4, (30, 30)), rng.integers(0, 4, 30), 4
+
+    def table(own):
+        out = np.zeros((k + 1, k + 1))
+        np.add.at(out, (own[:, None], own[None, :]), m)
+        return out
+
+    def likelihood(t):
+        return B._x_log_x(t).sum() - B._x_log_x(t.sum(0)).sum() - B._x_log_x(t.sum(1)).sum()
+    seen = np.array([[*np.bincount(own, m[:, w], k + 1), *np.bincount(own, m[w], k + 1), m[w, w]]
+                     for w in range(30)]).astype(int)
+    best = B.best_classes(table(own), own, np.ones(30, bool), seen)
+    for w in range(30):
+        tried = [likelihood(table(np.where(np.arange(30) == w, c, own))) for c in range(k)]
+        assert tried[best[w]] == pytest.approx(max(tried))
+    assert (best != own).any()
