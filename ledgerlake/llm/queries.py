@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.llm import (brown_lm, decontaminate, host_quality, kneser_ney, language_id,
-                            mixing, near_dups, suffix_dups,
+from ledgerlake.llm import (brown_lm, conversation_trie, decontaminate, host_quality, kneser_ney,
+                            language_id, lexical_search, mixing, near_dups, packing, suffix_dups,
                             training_order, warc)
 from ledgerlake.llm.sql import ORACLE  # noqa: F401
 from ledgerlake.sources.supplied import raw
@@ -54,8 +54,21 @@ def op10_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_quality.judge(raw(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.report(raw(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(raw(spark, sf_dir, "documents"), raw(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.report(raw(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_training_order, op2_near_duplicates, op3_warc, op4_repeated_passages,
     op5_trusted_perplexity, op6_class_lm, op7_source_mixing,
     op8_language_id, op9_decontamination, op10_host_quality,
+    op11_packing, op12_lexical_search, op13_conversation_trie,
 )}

@@ -140,7 +140,60 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id,
 FROM documents d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n
 """
 
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12 = rf"""
+WITH d AS (SELECT doc_id, {_TERMS.format(_LOWER.format("coalesce(text, '')"))} AS ws FROM documents),
+f AS (SELECT * FROM d WHERE len(ws) > 0),
+g AS (SELECT count(*)::BIGINT AS docs, sum(len(ws))::BIGINT AS words FROM f),
+t AS (SELECT doc_id, n, w, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, len(ws)::BIGINT AS n, unnest(ws) AS w FROM f) GROUP BY doc_id, n, w),
+k AS (SELECT w, floor(1000 * ln((2::DOUBLE * any_value(docs) + 2) / (2::DOUBLE * count(*) + 1)))::BIGINT AS worth
+  FROM t, g GROUP BY w),
+q AS (SELECT item_id, w, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest({_TERMS.format(_LOWER.format("coalesce(text, '')"))}) AS w FROM benchmark)
+  GROUP BY item_id, w),
+s AS (SELECT item_id, doc_id, sum(times * worth * ((1000000000 * tf) //
+    (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN k USING (w) JOIN t USING (w), g GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+# one step of the common CRC-32 per bit; 3988292384 is its reversed polynomial
+_CRC32 = """xor(list_reduce(list_transform(string_split({0}, ''), lambda d: ascii(d)::BIGINT),
+  lambda a, d: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(a, d)),
+  4294967295::BIGINT), 4294967295)"""
+
+OP13 = f"""
+WITH t AS (SELECT conv_id, coalesce(text, '') AS said, coalesce(role, '') AS who, turn,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({{'d': digest, 'n': strlen(said)}} ORDER BY turn NULLS FIRST, who, digest) AS own
+  FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, own, conv_id - conv_id % 5 AS base,
+    ({_CRC32.format("conv_id::VARCHAR")} % 9)::INT AS h FROM o),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h.h], h.own[h.h + 1:]) AS path
+  FROM h LEFT JOIN o b ON b.conv_id = h.base),
+m AS (SELECT conv_id, len(path)::BIGINT AS len, depth, path[1:depth] AS node, path[1:depth - 1] AS above
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS depth FROM r)),
+n AS (SELECT node, depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CASE WHEN len = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends,
+    CASE WHEN depth > 0 THEN (count(*) - 1) * any_value(node[depth].n) ELSE 0 END AS saved
+  FROM m GROUP BY node, depth),
+c AS (SELECT above AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above, depth),
+k AS (SELECT n.*, p.conv_id AS parent_conv_id, coalesce(n_children, 0) AS n_children
+  FROM n LEFT JOIN c USING (node, depth) LEFT JOIN n p ON n.depth = p.depth + 1 AND n.above = p.node),
+s AS (SELECT node[1:d] AS node, d AS depth, sum(saved)::BIGINT AS saved_tokens,
+    count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT node, saved, n_children, unnest(range(0, depth + 1)) AS d FROM k) GROUP BY node[1:d], d)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM k JOIN s USING (node, depth)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_near_duplicates": OP2, "op3_warc": OP3, "op4_repeated_passages": OP4,
     "op7_source_mixing": OP7,
-    "op9_decontamination": OP9, "op10_host_quality": OP10}
+    "op9_decontamination": OP9, "op10_host_quality": OP10, "op12_lexical_search": OP12,
+    "op13_conversation_trie": OP13}
