@@ -695,6 +695,24 @@ SELECT 'quarantine' AS output, count(*) AS row_count FROM change_log WHERE posit
 UNION ALL SELECT 'applied', count(*) FROM (
   SELECT op, row_number() OVER (PARTITION BY order_id ORDER BY position DESC) AS rn
   FROM change_log WHERE position % 5 <> 0) WHERE rn = 1 AND op <> 'd'""", "change_log")
+block("exact_log", """
+SELECT op, order_id, account_id, status, position,
+  CASE WHEN position % 11 = 0 THEN 999999999999999999::HUGEINT
+    ELSE round(amount * 100)::HUGEINT * CASE WHEN position % 2 = 0 THEN 1 ELSE -1 END END AS cents
+FROM change_log WHERE position % 7 <> 0""", "change_log")
+_EXACT = """
+SELECT order_id, account_id, status, make_timestamp((position * 1000000)::BIGINT) AS changed_at,
+  CASE WHEN cents < 0 THEN '-' ELSE '' END || (abs(cents) // 100)::VARCHAR || '.'
+    || lpad((abs(cents) % 100)::VARCHAR, 2, '0') AS amount
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY position DESC) AS rn FROM exact_log)
+WHERE rn = 1 AND op <> 'd'"""
+oracle("cdc_typed", _EXACT, "exact_log")
+oracle("cdc_live", _EXACT, "exact_log")
+oracle("cdc_unreadable", "SELECT position FROM change_log WHERE position % 7 = 0", "change_log")
+oracle("upsert_null_key", """
+SELECT nullif(channel, 'UNKNOWN') AS channel, ingested_at, 'reversed' AS status, amount, transaction_id
+FROM silver_transactions QUALIFY row_number() OVER (
+  PARTITION BY channel ORDER BY ingested_at DESC, transaction_id DESC) = 1""", "silver_transactions")
 oracle("upsert_partial", """
 SELECT transaction_id, ingested_at, CASE status WHEN 'failed' THEN 'reversed' ELSE status END AS status,
   amount FROM silver_transactions""", "silver_transactions")

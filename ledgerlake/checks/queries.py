@@ -19,6 +19,7 @@ from ledgerlake.sources.supplied import raw, wallet
 from ledgerlake.sources.workspace import fresh_path, written
 from ledgerlake.streaming import events as stream_in
 from ledgerlake.streaming import jobs, replay
+from ledgerlake.streaming.changes import LiveTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1027,6 +1028,90 @@ def cdc_quarantine(spark, sf_dir):
         good.agg(F.lit("applied").alias("output"), F.count(F.lit(1)).alias("row_count")))
 
 
+_EXACT = "order_id string, account_id string, status string, amount decimal(18,2), changed_at timestamp"
+
+
+def typed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log with `schema` blocks: exact decimals as bytes, clocks in micro- or milliseconds.
+
+    Amounts come in as few bytes as they need, or in 8; half are negative, and some are far beyond
+    what a double holds. Every seventh cannot be read. `position` is kept beside the text.
+    """
+    log = wallet(spark, sf_dir, "change_log")
+    cents = F.round(F.col("amount") * 100).cast("long") * F.when(F.col("position") % 2 == 0, 1).otherwise(-1)
+    cents = F.when(F.col("position") % 11 == 0, F.lit(999_999_999_999_999_999)).otherwise(cents)
+    digits = F.lpad(F.hex(cents), 16, "0")
+    short = F.when(cents < 0, F.regexp_replace(digits, "^(FF)+(?=[89A-F])", "")).otherwise(
+        F.regexp_replace(digits, "^(00)+(?=[0-7])", ""))
+    sent = F.when(F.col("position") % 7 == 0, F.lit("###")).otherwise(
+        F.base64(F.unhex(F.when(F.col("position") % 3 == 0, digits).otherwise(short))))
+    fine = F.col("position") % 5 == 0
+    at = F.when(fine, F.col("position") * 1_000_000).otherwise(F.col("position") * 1000)
+    row = F.struct("order_id", "account_id", "status", sent.alias("amount"), at.alias("changed_at"))
+    gone = F.col("op") == "d"
+    payload = F.to_json(F.struct(
+        "op", F.struct(F.col("position").alias("lsn")).alias("source"),
+        F.when(gone, row).alias("before"), F.when(~gone, row).alias("after")))
+
+    def block(clock: str) -> str:
+        columns = ('[{"type":"string","field":"order_id"},{"type":"bytes","name":"%s","parameters":'
+                   '{"scale":"2","connect.decimal.precision":"18"},"field":"amount"},'
+                   '{"type":"int64","name":"%s","field":"changed_at"}]' % (change.DECIMAL, clock))
+        return ('{"type":"struct","fields":[{"type":"struct","fields":%s,"field":"before"},'
+                '{"type":"struct","fields":%s,"field":"after"}]}' % (columns, columns))
+    schema = F.when(fine, block(change.CLOCKS["micros"][0])).otherwise(block(change.CLOCKS["millis"][0]))
+    return log.select("position", F.concat(
+        F.lit('{"schema":'), schema, F.lit(',"payload":'), payload, F.lit("}")).alias("value"))
+
+
+def exact(df: DataFrame) -> DataFrame:
+    return shown(df.withColumn("amount", F.col("amount").cast("string")))
+
+
+@query
+def cdc_typed(spark, sf_dir):
+    """Decoding by the envelopes' own schema, exact to the last cent; unreadable amounts do not count."""
+    log = change.decode_changes(typed_envelopes(spark, sf_dir), _EXACT, keys=["order_id"])
+    return exact(change.apply_changes(log, ["order_id"]))
+
+
+@query
+def cdc_unreadable(spark, sf_dir):
+    """Envelopes whose amount cannot be read, by their position."""
+    bad = change.malformed_changes(typed_envelopes(spark, sf_dir), _EXACT, keys=["order_id"])
+    return bad.select(F.get_json_object("value", "$.payload.source.lsn").cast("long").alias("position"))
+
+
+@query
+def cdc_live(spark, sf_dir):
+    """The same log live, in five micro-batches that are out of order, the third of them run again.
+
+    Each round starts the job anew from its checkpoint.
+    """
+    root, sent = fresh_path(spark, "live-changes"), fresh_path(spark, "sent-changes")
+    lines = written(typed_envelopes(spark, sf_dir), "envelopes")
+    table = LiveTable(spark, root, _EXACT, ["order_id"], buckets=8)
+    for i in range(5):
+        batch = lines.filter(F.pmod(F.xxhash64("position"), F.lit(5)) == i).select("value")
+        batch.write.mode("append").text(sent)
+        stream = spark.readStream.schema("value string").option("maxFilesPerTrigger", 10_000).text(sent)
+        table.start(stream, bounded=True).awaitTermination()
+        if i == 2:
+            table.apply(batch, i)
+    return exact(table.read())
+
+
+@query
+def upsert_null_key(spark, sf_dir):
+    """Updates without the amount leave it as it is, also where the key is NULL."""
+    rows = dedup.keep_latest(silver(spark, sf_dir, "transactions"), ["transaction_id"], ["ingested_at"])
+    current = rows.select(F.nullif(F.col("channel"), F.lit("UNKNOWN")).alias("channel"), "ingested_at",
+                          "status", "amount", "transaction_id")
+    current = dedup.keep_latest(current, ["channel"], ["ingested_at", "transaction_id"])
+    updates = current.select("channel", "ingested_at", F.lit("reversed").alias("status"))
+    return shown(change.upserted(current, updates, ["channel"], ["ingested_at"]))
+
+
 @query
 def upsert_partial(spark, sf_dir):
     """Updates without the amount leave it as it is."""

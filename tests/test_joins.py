@@ -156,5 +156,5 @@ def test_bad_envelopes_are_set_aside_and_encoded_values_read(spark):
     kind = "id string, n double, at timestamp"
     got = change.decode_changes(df, kind, keys=["id"], decimals={"n": 2}, micros=["at"]).collect()
     assert sorted((r.id, r.n) for r in got) == [("a", 567.84), ("b", -0.01), ("c", 12.5)]
-    bad = change.malformed_changes(df, kind, keys=["id"])
+    bad = change.malformed_changes(df, kind, keys=["id"], decimals={"n": 2}, micros=["at"])
     assert sorted(r.value for r in bad.collect()) == sorted(lines[4:])
