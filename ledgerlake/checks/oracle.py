@@ -585,6 +585,33 @@ oracle("stream_duplicates", "SELECT * EXCLUDE (is_duplicate) FROM marked WHERE i
 oracle("stream_dedup_live", "SELECT transaction_id, seq, is_duplicate FROM marked", "marked")
 oracle("stream_late", "SELECT * EXCLUDE (is_late, window_start) FROM judged WHERE is_late",
        "judged")
+# at every arrival, and whenever a partition falls idle, the least of the partitions that are not
+block("dealt", """
+SELECT * REPLACE (CASE WHEN n = 2 THEN event_time - INTERVAL 25 MINUTE ELSE event_time END AS event_time),
+  'p' || n AS partition FROM (SELECT *, CASE WHEN seq % 4 = 3 AND ingested_at >= TIMESTAMP '2024-01-08'
+    THEN 0 ELSE seq % 4 END AS n FROM stream_events)""", "stream_events")
+block("source_progress", """
+SELECT partition, ingested_at AS instant, seq::HUGEINT AS seq, max(event_time) OVER o AS newest, ingested_at AS last_at
+FROM dealt WINDOW o AS (PARTITION BY partition ORDER BY ingested_at, seq)""", "dealt")
+block("moments", """
+SELECT instant, seq, (epoch_us(instant)::HUGEINT << 64) + seq AS key, false AS idle FROM source_progress
+UNION ALL SELECT DISTINCT instant + INTERVAL 20 MINUTE, 1::HUGEINT << 63,
+  (epoch_us(instant + INTERVAL 20 MINUTE)::HUGEINT << 64) + (1::HUGEINT << 63), true FROM source_progress
+WHERE instant + INTERVAL 20 MINUTE < (SELECT max(instant) FROM source_progress)""", "source_progress")
+block("watermark", """
+SELECT key, max(least_newest) OVER (ORDER BY key) AS mark FROM (
+  SELECT key, min(newest) AS least_newest FROM (
+    SELECT m.key, p.newest FROM (SELECT m.*, partition FROM moments m, (SELECT DISTINCT partition FROM dealt)) m
+    ASOF JOIN (SELECT *, (epoch_us(instant)::HUGEINT << 64) + seq AS key FROM source_progress) p
+      ON p.partition = m.partition AND m.key >= p.key
+    WHERE CASE WHEN m.idle THEN p.last_at + INTERVAL 20 MINUTE > m.instant ELSE p.last_at + INTERVAL 20 MINUTE >= m.instant END)
+  GROUP BY key)""", "moments")
+_LATE_BY_SOURCE = """
+SELECT d.* EXCLUDE (key, n) FROM (SELECT *, (epoch_us(ingested_at)::HUGEINT << 64) + seq AS key FROM dealt) d
+ASOF JOIN watermark w ON d.key > w.key
+WHERE w.mark >= time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 370 SECOND"""
+for _name in ("stream_late_partitions", "stream_late_partitions_live"):
+    oracle(_name, _LATE_BY_SOURCE, "watermark")
 oracle("stream_features", "SELECT * FROM stream_windows", "stream_windows")
 oracle("stream_features_live", "SELECT * FROM stream_windows", "stream_windows")
 oracle("burst_monitor", "SELECT * FROM bursts", "bursts")

@@ -18,7 +18,7 @@ from ledgerlake.sources import catalog, layout, tables
 from ledgerlake.sources.supplied import raw, wallet
 from ledgerlake.sources.workspace import fresh_path, written
 from ledgerlake.streaming import events as stream_in
-from ledgerlake.streaming import jobs, replay
+from ledgerlake.streaming import jobs, replay, watermarks
 from ledgerlake.streaming.changes import LiveTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -798,6 +798,44 @@ def stream_late(spark, sf_dir):
     return shown(late.drop("is_late"))
 
 
+#: The supplied stream is thin: a partition's rows come minutes apart, so idleness is scaled likewise.
+_IDLE = "20 minutes"
+
+
+def dealt_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream from four source partitions: one is slow, and one falls silent after a week."""
+    silent = (F.col("seq") % 4 == 3) & (F.col("ingested_at") >= F.lit("2024-01-08").cast("timestamp"))
+    number = F.when(silent, 0).otherwise(F.col("seq") % 4)
+    slow = F.when(number == 2, F.col("event_time") - F.expr("INTERVAL 25 minutes")).otherwise(F.col("event_time"))
+    return stream(spark, sf_dir).withColumns({"partition": F.concat(F.lit("p"), number), "event_time": slow})
+
+
+@query
+def stream_late_partitions(spark, sf_dir):
+    """Late rows by the least watermark of the partitions that are not idle."""
+    marked, _ = watermarks.mark_late_by_source(dealt_stream(spark, sf_dir), idle=_IDLE)
+    return shown(marked.filter("is_late").drop("is_late"))
+
+
+@query
+def stream_late_partitions_live(spark, sf_dir):
+    """The same live in five micro-batches, each of which starts anew from the checkpoint."""
+    root, sent = fresh_path(spark, "late-live"), fresh_path(spark, "late-sent")
+    events = written(dealt_stream(spark, sf_dir), "dealt")
+    first, last = events.agg(F.min(F.unix_micros("ingested_at")), F.max(F.unix_micros("ingested_at"))).first()
+    fifth = F.floor((F.unix_micros("ingested_at") - F.lit(first)) * 5 / F.lit(last - first + 1))
+    step = watermarks.late_batch(spark, root, idle=_IDLE)
+    for i in range(5):
+        events.filter(fifth == i).write.mode("append").parquet(sent)
+        arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 10_000).parquet(sent)
+        arriving.writeStream.foreachBatch(step).option("checkpointLocation", f"{root}/_checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+        if i == 3:
+            step(events.filter(fifth == i), i)
+    marked = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/marked")
+    return shown(marked.filter("is_late").drop("is_late"))
+
+
 @query
 def stream_features(spark, sf_dir):
     out = features.stream_features(replay.on_time(stream(spark, sf_dir)))

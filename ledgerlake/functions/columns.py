@@ -104,7 +104,7 @@ def ratio(part: Column, whole: Column) -> Column:
 def window_start(ts: Column, width: str = config.STREAM_WINDOW) -> Column:
     """Start of the epoch-aligned tumbling window that holds `ts`, in whole microseconds."""
     micros = F.unix_micros(ts)
-    return F.timestamp_micros(micros - F.pmod(micros, F.lit(_seconds(width) * 1_000_000)))
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(seconds(width) * 1_000_000)))
 
 
 def window_end(ts: Column, width: str = config.STREAM_WINDOW) -> Column:
@@ -112,7 +112,7 @@ def window_end(ts: Column, width: str = config.STREAM_WINDOW) -> Column:
     return window_start(ts, width) + interval(width)
 
 
-def _seconds(width: str) -> int:
+def seconds(width: str) -> int:
     amount, unit = width.split()
     return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
