@@ -281,6 +281,11 @@ SELECT count(*) AS row_count, avg(CAST(CAST(merchant_id IS NOT NULL AND merchant
   WHERE r <= k) AS INTEGER) AS DOUBLE)) AS member_rate
 FROM transactions WHERE type = 'payment'""", "transactions")
 
+oracle("top_share_members", """
+SELECT l_orderkey FROM (SELECT l_orderkey, row_number() OVER (ORDER BY count(*) DESC, l_orderkey) AS r,
+    greatest(1, ceil(count(*) OVER () * CAST(0.05 AS DOUBLE))) AS k FROM lineitem GROUP BY l_orderkey)
+WHERE r <= k""")
+
 # --- Profiles ---------------------------------------------------------------------------------
 
 oracle("distinct_exact", """
@@ -294,6 +299,14 @@ oracle("cardinality_within_bound", " UNION ALL ".join(
     f" FROM transactions" for c in ("transaction_id", "account_id", "merchant_id", "type")),
        "transactions")
 
+oracle("cardinality_incremental", " UNION ALL ".join(
+    f"SELECT '{days}' AS days, '{c}' AS column_name, count(DISTINCT {c}) AS exact_distinct,"
+    f" true AS within_bound, {once} AS as_one_pass FROM transactions WHERE {rows}"
+    for days, once, rows in (("all", "true", "true"),
+                             ("1995", "NULL::BOOLEAN", "year(timestamp) = 1995"))
+    for c in ("transaction_id", "account_id", "merchant_id", "type")),
+       "transactions")
+
 
 def _removed(table: str, cleaned: str) -> str:
     return (f"SELECT '{table}' AS table_name, b AS bronze_rows, s AS silver_rows,"

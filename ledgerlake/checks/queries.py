@@ -464,9 +464,13 @@ def top_merchants(spark, sf_dir):
 @query
 def top_share(spark, sf_dir):
     payments = wallet(spark, sf_dir, "transactions").filter("type = 'payment'")
-    distinct = payments.agg(F.count_distinct("merchant_id")).first()[0]
-    leaders = profile.top_keys(payments, "merchant_id", profile.top_key_count(distinct))
-    return profile.member_rate(payments, "merchant_id", leaders)
+    return profile.member_rate(payments, "merchant_id", profile.top_members(payments, "merchant_id"))
+
+
+@query
+def top_share_members(spark, sf_dir):
+    """The keys themselves, among very many that have equally many rows."""
+    return profile.top_members(raw(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
 # --- Profiles ---------------------------------------------------------------------------------
@@ -515,6 +519,37 @@ def cardinality_within_bound(spark, sf_dir):
         (off <= 3 * config.DEFAULT_RSD * F.col("exact_distinct")).alias("within_bound"))
 
 
+@query
+def cardinality_incremental(spark, sf_dir):
+    """Sketches stored by three loads, one of them repeated; reports over all time and over one year.
+
+    The supplied rows span years, so a sketch is kept per month. No report reads the transactions
+    again. `as_one_pass`: the same as merging a sketch over all rows at once.
+    """
+    tx = wallet(spark, sf_dir, "transactions").withColumn("day", F.trunc("timestamp", "month"))
+    path = fresh_path(spark, "sketches")
+    for low, high in (("1990-01-01", "1994-12-31"), ("1995-01-01", "1996-12-31"), ("1997-01-01", "2030-12-31"),
+                      ("1995-01-01", "1996-12-31")):
+        load = tx.filter(F.col("day").between(F.to_date(F.lit(low)), F.to_date(F.lit(high))))
+        profile.add_sketches(profile.daily_sketches(load, CARDINALITY_COLUMNS, "day"), path)
+    stored = spark.read.schema("column_name string, sketch binary, day date").parquet(path)
+    at_once = profile.daily_sketches(tx.withColumn("day", F.to_date(F.lit("2000-01-01"))), CARDINALITY_COLUMNS, "day")
+
+    def judged(name, rows, report):
+        exact = rows.agg(*[F.count_distinct(c).alias(c) for c in CARDINALITY_COLUMNS]).unpivot(
+            [], list(CARDINALITY_COLUMNS), "column_name", "exact_distinct")
+        off = F.abs(F.col("approx_distinct") - F.col("exact_distinct"))
+        return report.join(exact, "column_name").select(
+            F.lit(name).alias("days"), "column_name", "exact_distinct",
+            (off <= 3 * config.DEFAULT_RSD * F.col("exact_distinct")).alias("within_bound"), "approx_distinct")
+    whole = judged("all", tx, profile.distinct_between(stored)).join(
+        profile.distinct_between(at_once.unionByName(at_once)).withColumnRenamed("approx_distinct", "_once"), "column_name").withColumn(
+        "as_one_pass", F.col("_once") == F.col("approx_distinct")).drop("_once")
+    year = judged("1995", tx.filter("year(day) = 1995"),
+                  profile.distinct_between(stored, "1995-01-01", "1995-12-31")).withColumn("as_one_pass", F.lit(None).cast("boolean"))
+    return whole.unionByName(year).drop("approx_distinct")
+
+
 @query
 def table_quality(spark, sf_dir):
     bronze = {t: wallet(spark, sf_dir, t) for t in config.TABLES}

@@ -233,3 +233,55 @@ def cardinality_report(
     """Approximate distinct count of several columns from one scan, one row per column."""
     sketches = df.agg(*[F.approx_count_distinct(c, _checked(rsd)).alias(c) for c in columns])
     return sketches.unpivot([], list(columns), "column_name", "approx_distinct")
+
+
+def top_members(df: DataFrame, key: str, share: float = config.TOP_KEY_SHARE) -> DataFrame:
+    """The most frequent keys, a `share` of all of them (one at least); equal counts go by key.
+
+    The histogram of counts says which counts are wholly in and how many of the keys at the cut are.
+    Only those are ranked, in ranges of the key whose sizes are added up, so that no task sorts all of
+    them and nothing is collected. The histogram is sent to all tasks; see `skew_profile` for its bound.
+    """
+    counts = written(key_counts(df, key, "c"), "key-counts")
+    histogram = counts.groupBy("c").agg(F.count(F.lit(1)).alias("keys"))
+    above = F.coalesce(F.sum("keys").over(
+        Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wanted = F.greatest(F.lit(1).cast("long"), F.ceil(F.sum("keys").over(Window.partitionBy()) * F.lit(share)))
+    cuts = histogram.withColumn("_left", wanted - above).filter("_left > 0").select("c", "keys", "_left")
+    chosen = counts.join(F.broadcast(cuts), "c")
+    whole = chosen.filter("keys <= _left").select(key)
+    tied = written(chosen.filter("keys > _left").select(key, "_left").repartitionByRange(key)
+                   .withColumn("_task", F.spark_partition_id()), "tied")
+    before = F.coalesce(F.sum("_n").over(
+        Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = tied.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", before.alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_task").orderBy(key))
+    ranked = tied.withColumn("_place", place).join(offsets, "_task")
+    return whole.unionByName(ranked.filter("_place + _before <= _left").select(key))
+
+
+def daily_sketches(df: DataFrame, columns: Sequence[str], day: str, lg_k: int = 12) -> DataFrame:
+    """`day`, `column_name` and a mergeable sketch of the column's distinct values on that day.
+
+    NULLs do not count. Sketches have a bounded size, 2^lg_k bytes or so, whatever the rows.
+    """
+    # a sketch is taken of text, so that any column type can be counted
+    by_day = df.groupBy(F.col(day).cast("date").alias("day")).agg(
+        *[F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(c) for c in columns])
+    return by_day.unpivot(["day"], list(columns), "column_name", "sketch")
+
+
+def add_sketches(sketches: DataFrame, path: str) -> None:
+    """Store the sketches of some days; days that are there already are replaced, others untouched."""
+    (sketches.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(path))
+
+
+def distinct_between(sketches: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Approximate distinct values per column over a range of days, both included, from stored sketches."""
+    if first is not None:
+        sketches = sketches.filter(F.col("day") >= F.to_date(F.lit(first)))
+    if last is not None:
+        sketches = sketches.filter(F.col("day") <= F.to_date(F.lit(last)))
+    return sketches.groupBy("column_name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct"))
