@@ -22,9 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlake.llm import text as T
 from ledgerlake.llm.fm_index import FMIndex
+from ledgerlake.llm.rows import whole_row
 from ledgerlake.sources.workspace import written
 
 WINDOW = 10
@@ -164,9 +166,8 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         .mapInArrow(_windows, "item string, words binary").distinct(), "phrases")
     blocks = max(1, -(-phrases.count() // block_windows))
     dealt = phrases.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
-    kind = docs.schema[key].dataType.simpleString()
-    state = (f"key {kind}, text string, n_words long, spans array<struct<first:long,last:long>>,"
-             " items array<string>")
+    spans = StructType.fromDDL("n_words long, spans array<struct<first:long,last:long>>, items array<string>")
+    state = StructType([StructField("key", docs.schema[key].dataType), StructField("text", StringType()), *spans])
     found = docs.select(F.col(key).alias("key"), F.col(text).alias("text"),
                         F.lit(0).cast("long").alias("n_words"),
                         F.expr("cast(array() as array<struct<first:long,last:long>>)").alias("spans"),
@@ -194,6 +195,6 @@ def report(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                item_text: str = "text") -> DataFrame:
     """The documents without a hit, with all their columns."""
-    flat = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"))
+    flat = docs.select(whole_row(docs).alias("__row"), F.col(text).alias("__text"))
     found = contamination(flat, items, "__row", "__text", item_id, item_text)
     return found.filter(F.size("spans") == 0).select("key.*")

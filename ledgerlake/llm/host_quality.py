@@ -21,8 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerlake.llm import text as T
+from ledgerlake.llm.rows import whole_row
 from ledgerlake.sources.workspace import written
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -101,8 +103,8 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def with_measures(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """The `keep` columns and the measures of each text as `__n_words` and so on."""
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep),
-                        *(f"__{m} bigint" for m in MEASURES)])
+    schema = StructType([*(StructField(c, docs.schema[c].dataType) for c in keep),
+                         *(StructField(f"__{m}", LongType()) for m in MEASURES)])
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(_measured, schema)
 
 
@@ -178,7 +180,7 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source",
     The texts are measured twice, once for the hosts and once on the way through, which is less
     work than sending them through a join on their ids.
     """
-    flat = docs.select(F.struct(*docs.columns).alias("__row"), F.col(host).alias("__host"),
+    flat = docs.select(whole_row(docs).alias("__row"), F.col(host).alias("__host"),
                        F.col(text).alias("__t"))
     measured = with_measures(flat.drop("__row"), "__t", ("__host",))
     verdicts = host_verdicts(measured, rules)

@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.rows import whole_row
 from ledgerlake.sources.workspace import written
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -114,7 +115,7 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: s
              .groupBy(F.col("doc_id").alias("__id"), F.col("text_md5").alias("__md5"))
              .agg(F.count(F.lit(1)).alias("__n"), F.max("size").alias("__size"),
                   F.sum("taken").alias("__taken")))
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(doc_id).alias("__i"),
+    rows = docs.select(whole_row(docs).alias("__row"), F.col(doc_id).alias("__i"),
                        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("__m"))
     repeats = Window.partitionBy("__i", "__m").orderBy(F.lit(1))
     joined = rows.join(taken, F.col("__i").eqNullSafe(F.col("__id"))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import text as T
 from ledgerlake.llm.graph import components
+from ledgerlake.llm.rows import whole_row
 from ledgerlake.llm.sizes import small_side
 from ledgerlake.sources.workspace import written
 
@@ -301,7 +302,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = (_grouped(docs, doc_id, text, percent).filter("kept")
             .select(F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.col("tie").alias("__tie"))
             .distinct())
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.xxhash64(text).alias("__tie"),
+    rows = docs.select(whole_row(docs).alias("__row"), F.xxhash64(text).alias("__tie"),
                        F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("__id"))
     own = F.when(F.col("__id") == _LAST, F.col("__tie"))
     return (rows.join(kept, ["__id", "__tie"], "left_semi").withColumn("__own", own)

@@ -115,24 +115,42 @@ def _letters(seed: int) -> np.ndarray:
 
 
 @cache
-def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of a number, and of its inverse, for one chunk; longer texts take them in blocks."""
     p = _odd(seed + 1000)
+    n = CHUNK_BYTES + 1
     up, down = np.full(n, p, np.uint64), np.full(n, pow(p, -1, 2**64), np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
 
 
 class Hasher:
-    """64-bit hashes of any byte ranges of one array, by a rolling polynomial."""
+    """64-bit hashes of any byte ranges of one array, by a rolling polynomial: 8 bytes of memory a byte."""
 
     def __init__(self, data: np.ndarray, seed: int = 0):
-        n = max(CHUNK_BYTES, 1 << int(len(data)).bit_length()) + 1
-        up, self._down = _powers(seed, n)
+        up, self._down = _powers(seed)
+        self._block = len(up) - 1
+        block_up = pow(_odd(seed + 1000), self._block, 2**64)
+        blocks = -(-len(data) // self._block)
+        self._down_blocks = np.array(
+            [pow(block_up, -k, 2**64) for k in range(blocks + 1)], np.uint64)
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_letters(seed)[data] * up[:len(data)], out=self._sums[1:])
+        letters = _letters(seed)
+        for k in range(blocks):
+            low, high = k * self._block, min((k + 1) * self._block, len(data))
+            own = self._sums[low + 1:high + 1]
+            terms = letters[data[low:high]] * up[:high - low]
+            if k:
+                terms *= np.uint64(pow(block_up, k, 2**64))
+            np.cumsum(terms, out=own)
+            own += self._sums[low]
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._sums[ends] - self._sums[starts]) * self._down[starts])
+        if len(self._down_blocks) <= 2:
+            down = self._down[starts]
+        else:
+            down = self._down[starts % self._block] * self._down_blocks[starts // self._block]
+        return mix((self._sums[ends] - self._sums[starts]) * down)
 
 
 def window_hashes(tokens: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
