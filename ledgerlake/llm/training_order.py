@@ -13,7 +13,8 @@ times, as a stored table does; where it does not, the counts disagree and the jo
 is run again writes the same bytes under the same name, by a file of its own that is then renamed.
 
 A null or empty text has no sequence. Rows that repeat have sequences of their own. No documents: no
-shards. Only the named columns are read, so others cannot clash.
+shards. Very long texts are encoded whole, a chunk of their own, with about 40 bytes of memory for each
+of their bytes in that task. Only the named columns are read, so others cannot clash.
 """
 
 from __future__ import annotations
@@ -34,15 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import text as T
+from ledgerlake.llm.memory import Memory
 from ledgerlake.sources.workspace import fresh_path, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how this family of tokenizers cuts a text into pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Distinct stretches of text whose ids a task keeps at most; a few dozen bytes each.
-_KEPT = 2_000_000
-
 # Bytes that may begin white space: ASCII's, and the lead bytes of all beyond it.
 _MAY_BE_SPACE = np.zeros(256, bool)
 _MAY_BE_SPACE[[9, 10, 11, 12, 13, 32, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -58,15 +57,13 @@ class Encoder:
 
     def __init__(self, ranks: bytes):
         self._ranks = ranks
-        self._forget()
 
     def __reduce__(self):
         return Encoder, (self._ranks,)
 
-    def _forget(self) -> None:
-        self._keys = np.zeros(0, np.uint64)
-        self._starts, self._lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._pool = np.zeros(0, self.dtype)
+    @cached_property
+    def _memory(self) -> Memory:
+        return Memory(self.dtype)
 
     @cached_property
     def _bpe(self):
@@ -87,11 +84,8 @@ class Encoder:
     def dtype(self) -> np.dtype:
         return np.dtype("<u2" if self.end < 2**16 else "<u4")
 
-    def encode(self, chunk: T.Chunk) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each with the end id behind, and where each text's begin.
-
-        An empty text has none.
-        """
+    def _entries(self, chunk: T.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """The entry of every stretch, and the number of stretches before each text."""
         data, offsets = chunk.data, chunk.offsets
         full = np.diff(offsets) > 0
         begins = np.zeros(len(data), bool)
@@ -100,27 +94,31 @@ class Encoder:
         begins[offsets[:-1][full]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
-        keys, firsts, which = np.unique(T.Hasher(data, 5)(starts, ends), return_index=True,
-                                        return_inverse=True)
-        at = self._places(keys, data, starts[firsts], ends[firsts])[which]
-        lengths = self._lengths[at]
-        last = np.cumsum(lengths)
-        ids = self._pool[np.repeat(self._starts[at] - last + lengths, lengths) + np.arange(lengths.sum())]
-        sums = np.append(0, last)[np.searchsorted(starts, offsets)]
-        ids = np.insert(ids, sums[1:][full], self.end)
+        raw = data.tobytes()
+        entry = self._memory.entries(
+            T.Hasher(data, 5)(starts, ends),
+            lambda at: self._fresh([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
+        return entry, np.searchsorted(starts, offsets)
+
+    def lengths(self, chunk: T.Chunk) -> np.ndarray:
+        """How many ids each text has, the end id included."""
+        entry, stretches = self._entries(chunk)
+        sums = np.append(0, np.cumsum(self._memory.lengths(entry)))[stretches]
+        return np.diff(sums) + (np.diff(chunk.offsets) > 0)
+
+    def encode(self, chunk: T.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id behind, and where each text's begin.
+
+        An empty text has none.
+        """
+        entry, stretches = self._entries(chunk)
+        full = np.diff(chunk.offsets) > 0
+        sums = np.append(0, np.cumsum(self._memory.lengths(entry)))[stretches]
+        ids = np.insert(self._memory.ids(entry), sums[1:][full], self.end)
         return ids, sums + np.append(0, np.cumsum(full))
 
-    def _places(self, keys, data, starts, ends) -> np.ndarray:
-        """Where the ids of each key are kept, after encoding what is new."""
-        at = np.minimum(np.searchsorted(self._keys, keys), max(len(self._keys) - 1, 0))
-        new = np.flatnonzero(self._keys[at] != keys) if len(self._keys) else np.arange(len(keys))
-        if not len(new):
-            return at
-        if len(self._keys) + len(new) > _KEPT and len(self._keys):
-            self._forget()
-            return self._places(keys, data, starts, ends)
-        raw = data.tobytes()
-        texts = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+    def _fresh(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new stretches, one after the other, and how many each has."""
         # those that begin with their space can be encoded as one text and told apart afterwards
         joins = np.array([len(t) > 1 and t[0] == 32 and not _MAY_BE_SPACE[t[1]] for t in texts], bool)
         order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
@@ -128,12 +126,10 @@ class Encoder:
         alone = [self._bpe.encode_ordinary(texts[i].decode()) for i in np.flatnonzero(~joins)]
         pool = np.concatenate([ids, *(np.array(x, self.dtype) for x in alone)]).astype(self.dtype)
         lengths = np.concatenate([lengths, [len(x) for x in alone]]).astype(np.int64)
-        all_keys = np.concatenate([self._keys, keys[new][order]])
-        by_key = np.argsort(all_keys)
-        self._starts = np.concatenate([self._starts, len(self._pool) + np.cumsum(lengths) - lengths])[by_key]
-        self._lengths = np.concatenate([self._lengths, lengths])[by_key]
-        self._keys, self._pool = all_keys[by_key], np.concatenate([self._pool, pool])
-        return np.searchsorted(self._keys, keys)
+        back = np.argsort(order)
+        starts, lengths = (np.cumsum(lengths) - lengths)[back], lengths[back]
+        last = np.cumsum(lengths)
+        return pool[np.repeat(starts - last + lengths, lengths) + np.arange(lengths.sum())], lengths
 
     def _joined(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all parts, and how many each has."""
@@ -190,8 +186,7 @@ def _counts(encoder, length: int):
         n = 0
         for batch in batches:
             for chunk in T.chunks(batch.column(1)):
-                _, offsets = encoder.value.encode(chunk)
-                n += int((-(-np.diff(offsets) // length)).sum())
+                n += int((-(-encoder.value.lengths(chunk) // length)).sum())
         yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int32()),
                                           "n": pa.array([n], pa.int64())})
     return run
@@ -247,24 +242,36 @@ def _writer(folder: str, layout: Layout, pad: bytes):
                 fs.move(temporary, f"{path}/{_shard_name(shard)}")
 
         for batch in batches:
-            rows = []
-            for slot, of, doc, position, n, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-                if of != shard:
+            slot, of, n = (batch.column(i).to_numpy() for i in (0, 1, 4))
+            if not len(slot):
+                continue
+            tokens = batch.column(5)
+            places = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset:tokens.offset + len(slot) + 1]
+            raw = memoryview(tokens.buffers()[2])
+            padded = np.tile(np.frombuffer(pad, np.uint8), (len(slot), 1))
+            padded[np.arange(layout.stride) < (n * layout.width)[:, None]] = np.frombuffer(
+                raw, np.uint8)[places[0]:places[-1]]
+            # one write for each run of slots that goes to the same shard
+            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in zip(edges, edges[1:]):
+                if of[a] != shard:
                     close()
-                    shard, due = of, of * layout.shard_slots
-                    temporary = f"{path}/_{_shard_name(of)}.{uuid.uuid4().hex}"
+                    shard, due = int(of[a]), int(of[a]) * layout.shard_slots
+                    temporary = f"{path}/_{_shard_name(shard)}.{uuid.uuid4().hex}"
                     out = fs.open_output_stream(temporary, compression=None)
-                if slot != due:
-                    raise ValueError(f"slot {due} is missing or taken twice")
-                due += 1
-                out.write(tokens + pad[len(tokens):])
-                rows.append((slot, _shard_name(of), (slot - of * layout.shard_slots) * layout.stride,
-                             doc, position, n, zlib.crc32(tokens)))
-            kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
-            columns = [c.split() for c in _PLACED.split(", ")]
+                if (slot[a:b] != np.arange(due, due + b - a)).any():
+                    raise ValueError(f"a slot from {due} on is missing or taken twice")
+                due += b - a
+                out.write(padded[a:b].tobytes())
+            names = pa.array([_shard_name(s) for s in of[edges[:-1]].tolist()])
+            run_of = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+            at = places.tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(columns)],
-                [name for name, _ in columns])
+                [batch.column(0), names.take(pa.array(run_of)),
+                 pa.array((slot - of.astype(np.int64) * layout.shard_slots) * layout.stride),
+                 *(batch.column(i) for i in (2, 3, 4)),
+                 pa.array([zlib.crc32(raw[a:b]) for a, b in zip(at, at[1:])], pa.int64())],
+                [c.split()[0] for c in _PLACED.split(", ")])
         close()
     return run
 
