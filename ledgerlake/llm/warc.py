@@ -200,9 +200,14 @@ def _records(found: list[dict], with_payload: bool) -> pa.RecordBatch:
 
 
 def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records that the index rows name. A revisit has the digest and length, but no payload."""
+    """The records that the index rows name. A revisit has the digest and length, but no payload.
+
+    There are as many tasks as the records' bytes need, however small the index is.
+    """
     region = F.floor(F.col("offset") / REGION_BYTES)
-    dealt = (index.repartition("archive", region).sortWithinPartitions("archive", "offset")
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // REGION_BYTES), index.sparkSession.sparkContext.defaultParallelism)
+    dealt = (index.repartition(int(tasks), "archive", region).sortWithinPartitions("archive", "offset")
              .select("archive", "offset", "length"))
     return dealt.mapInArrow(_reader(with_payload), _READ + (", payload binary" if with_payload else ""))
 
