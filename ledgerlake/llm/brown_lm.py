@@ -9,14 +9,14 @@ P(word | before) = P(class | class before) * P(word | class).
    exchange on the driver: each word in turn moves to the class that raises the likelihood of the class
    bigrams most. Their bigram counts come from all training texts; this start sees a small table.
 3. Rounds of exchange over every word that training has often enough (at least a fixed count, so they
-   grow with the input). Classes are joined to the shards' word lists, where a common word is one row per
-   shard; tasks count (word, class of its neighbour), which is summed by word. All of these words move at
+   grow with the input). Classes are sent to all tasks, or joined to the shards' word lists where they
+   are too many; tasks count (word, class of its neighbour), which is summed by word. All of these words move at
    once, each to the class that raises the likelihood most with the others as they were; tasks choose in
    batches and see the table of class bigrams only. The new classes are written each round.
 4. Rarer words get, in the last round, the class that explains all their neighbours best. Only words
    whose neighbours all have no class yet share a class.
-5. Counts and final classes are joined to the shards. Class bigrams are counted over all training texts
-   from that join, and the texts scored from it, shard by shard; it is not stored.
+5. Counts and final classes are sent or joined to the shards likewise. Class bigrams are counted over all
+   training texts, and the texts scored, shard by shard.
 
 Class transitions are smoothed towards the frequencies of classes; a word that training never saw
 takes the share of words seen once. Emissions add 0.1 to each count.
@@ -28,9 +28,9 @@ clash. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import text as T
+from ledgerlake.sources.folders import drop
 from ledgerlake.sources.workspace import written
 
 END = np.uint64(1)
@@ -47,6 +48,8 @@ FREQUENT = 512
 CLASSES = 32
 LEAST = 5
 ROUNDS = 3
+#: Words whose classes are sent to all tasks: 4 million of 18 bytes. More are joined to the shards.
+LOOKUP_WORDS = 4_000_000
 ADD = 0.1
 _CLASS = 1024
 SMOOTH = 50.0
@@ -227,8 +230,25 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 12) -> np.ndarray:
     return own[:words]
 
 
-def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and class of each word of the shard's list; `spare` is the class of unseen words."""
+class Lookup(NamedTuple):
+    """Count and class of a bounded number of words, sorted."""
+    words: np.ndarray
+    counts: np.ndarray
+    classes: np.ndarray
+
+
+def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int, lookup) -> tuple[np.ndarray, np.ndarray]:
+    """Count and class of each word of the shard's list; `spare` is the class of unseen words.
+
+    They come from the lookup that all tasks have, or else with the shard itself.
+    """
+    if lookup is not None:
+        held = lookup.value
+        if not len(held.words):
+            return np.zeros(len(s.words), np.int64), np.full(len(s.words), spare)
+        at = np.minimum(np.searchsorted(held.words, s.words), len(held.words) - 1)
+        hit = held.words[at] == s.words
+        return np.where(hit, held.counts[at], 0), np.where(hit, held.classes[at], spare).astype(np.int64)
     words = int(s.tokens.max()) + 1
     counts, classes = np.zeros(words, np.int64), np.full(words, spare)
     rows = batch.column(batch.schema.get_field_index("known"))[i].values
@@ -238,13 +258,13 @@ def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int) -> tuple[np.ndar
     return counts, classes
 
 
-def _class_bigrams(size: int, end: int):
+def _class_bigrams(size: int, end: int, lookup):
     """(pair, n): training class bigrams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         for batch in batches:
             for i, s in _shards(batch):
-                _, classes = _known(batch, i, s, size - 1)
+                _, classes = _known(batch, i, s, size - 1, lookup)
                 tokens = classes[s.tokens]
                 pairs = s.before(tokens, end) * size + tokens
                 total += np.bincount(pairs[s.learned()], minlength=size * size)
@@ -253,7 +273,7 @@ def _class_bigrams(size: int, end: int):
     return run
 
 
-def _near(k: int, every: bool):
+def _near(k: int, every: bool, lookup):
     """(word, code, n): how often a word has a class before it (the code), after it (k + 1 more), or itself.
 
     Words that the shard was not sent a class of have class k; they have rows only if `every` word has.
@@ -266,21 +286,20 @@ def _near(k: int, every: bool):
         table = np.zeros(size * size, np.int64)
         for batch in batches:
             for i, s in _shards(batch):
-                n, classes = _known(batch, i, s, k)
+                n, classes = _known(batch, i, s, k, lookup)
                 learned = s.learned()
                 ends = np.flatnonzero(s.words == END)[0]
                 a, b = s.before(s.tokens, ends)[learned], s.tokens[learned]
                 table += np.bincount(classes[a] * size + classes[b], minlength=size * size)
-                seen = np.bincount(b * codes + classes[a], minlength=len(s.words) * codes)
-                seen += np.bincount(a * codes + size + classes[b], minlength=len(seen))
-                seen += np.bincount(a[a == b] * codes + 2 * size, minlength=len(seen))
-                at = np.flatnonzero(seen)
+                left, right = (slice(None),) * 2 if every else (n[a] > 0, n[b] > 0)
+                same = a[left][a[left] == b[left]]
+                keys = np.concatenate([b[right] * codes + classes[a[right]],
+                                       a[left] * codes + size + classes[b[left]], same * codes + 2 * size])
+                at, seen = np.unique(keys, return_counts=True)
                 word = at // codes
-                if not every:
-                    at, word = (x[n[word] > 0] for x in (at, word))
                 yield pa.RecordBatch.from_pydict({
                     "word": pa.array(s.words.view(np.int64)[word]),
-                    "code": pa.array((at - word * codes).astype(np.int32)), "n": pa.array(seen[at])})
+                    "code": pa.array((at - word * codes).astype(np.int32)), "n": pa.array(seen)})
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_pydict({"word": pa.nulls(len(at), pa.int64()),
                                           "code": pa.array(at.astype(np.int32)), "n": pa.array(table[at])})
@@ -362,12 +381,12 @@ def transitions(bigrams: np.ndarray, new: float) -> np.ndarray:
     return np.log10(np.maximum(out, 1e-300))
 
 
-def _scored(model):
+def _scored(model, lookup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in batches:
             for i, s in _shards(batch):
-                counts, classes = _known(batch, i, s, len(m.transitions) - 1)
+                counts, classes = _known(batch, i, s, len(m.transitions) - 1, lookup)
                 score, base = m.scores(s, counts, classes)
                 starts = s.starts()
                 yield pa.RecordBatch.from_pydict({
@@ -380,14 +399,15 @@ def _scored(model):
     return run
 
 
-def _release(spark) -> None:
-    """Lets Spark drop the shuffle files of a round that is written, which it does on a collection only."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def _dropped(df: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        drop(df.sparkSession, folder)
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT,
-          classes: int = CLASSES, least: int = LEAST, rounds: int = ROUNDS) -> DataFrame:
+          classes: int = CLASSES, least: int = LEAST, rounds: int = ROUNDS,
+          lookup_words: int = LOOKUP_WORDS) -> DataFrame:
     """Per document: `doc_id`, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
@@ -413,21 +433,31 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     fixed = spark.createDataFrame([(int(w), int(c)) for w, c in zip(known.view(np.int64), own)],
                                   "word long, given int")
 
-    def sent(classed: DataFrame, *of: str) -> DataFrame:
-        """The shards, without some columns, and of the classed words they have: place and class, n."""
+    def sent(classed: DataFrame, *of: str) -> tuple[DataFrame, object]:
+        """The shards, and a lookup of the classed words for all tasks.
+
+        More words than `lookup_words` come with the shards instead: of those that a shard has, place and
+        class, n. The shards are then without some columns.
+        """
+        if classed.count() <= lookup_words:
+            held = classed.select("word", "n", "class").toArrow()
+            words = held["word"].to_numpy().view(np.uint64)
+            order = np.argsort(words)
+            return shards, share(Lookup(words[order], held["n"].to_numpy()[order],
+                                        held["class"].to_numpy()[order].astype(np.int16)))
         place = (F.col("at").cast("long") * _CLASS + F.col("class")).alias("place")
         held = (rows.select("shard", "at", "word").join(classed, "word").groupBy(F.col("shard").alias("of"))
                 .agg(F.collect_list(F.struct(place, "n")).alias("known")))
-        return shards.drop(*of).join(held, F.col("shard") == F.col("of"), "left").drop("of")
+        return shards.drop(*of).join(held, F.col("shard") == F.col("of"), "left").drop("of"), None
 
     classed = written(words.join(F.broadcast(fixed), "word", "left")
                       .filter((F.col("n") >= least) | F.col("given").isNotNull())
                       .select("word", "n", F.coalesce("given", F.lit(k)).alias("class")), "round")
     for r in range(rounds):
         every = r == rounds - 1
-        # dealt out by word once, for both sums and the choice
-        near = written(sent(classed.withColumn("n", F.lit(1)), "counts")
-                       .mapInArrow(_near(k, every), "word long, code int, n long").repartition("word")
+        told, lookup = sent(classed.withColumn("n", F.lit(1)), "counts")
+        # summed on the map side before it meets by word, where a word has a bounded number of codes
+        near = written(told.mapInArrow(_near(k, every, lookup), "word long, code int, n long")
                        .groupBy("word", "code").agg(F.sum("n").alias("n")).groupBy("word")
                        .agg(F.collect_list(F.struct("code", "n")).alias("seen")), "near")
         table = np.zeros((k + 1) ** 2)
@@ -438,17 +468,18 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
                   .join(classed.select("word", F.col("class").cast("int").alias("own")), "word", "left")
                   .select("word", "own", "seen")
                   .mapInArrow(_chosen(share(table.reshape(k + 1, k + 1))), "word long, class int"))
-        classed = written((words if every else classed.select("word", "n")).join(chosen, "word", "left")
+        before, classed = classed, written((words if every else classed.select("word", "n")).join(chosen, "word", "left")
                           .select("word", "n", F.coalesce("class", F.lit(k)).alias("class")),
                           "classed" if every else "round")
-        _release(spark)
+        _dropped(near)
+        _dropped(before)
     end = classed.filter(F.col("word") == int(END)).first()
     end = end["class"] if end else int(own[0])
-    joined = sent(classed, "words", "counts")
+    joined, lookup = sent(classed, "words", "counts")
 
     size = k + 2
     grams = np.zeros(size * size)
-    for r in (joined.mapInArrow(_class_bigrams(size, end), "pair long, n long")
+    for r in (joined.mapInArrow(_class_bigrams(size, end, lookup), "pair long, n long")
               .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
         grams[r.pair] = r.n
     class_tokens, class_words, once = np.zeros(size), np.zeros(size), 0
@@ -458,6 +489,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
         once += r.once
     model = Model(transitions(grams.reshape(size, size), once / max(1, total.n or 0)), class_tokens,
                   class_words, total.n or 0, total.v, end)
-    return joined.mapInArrow(_scored(share(model)),
+    return joined.mapInArrow(_scored(share(model), lookup),
                              "doc_id long, held_out boolean, n_tokens long, n_known long,"
                              " train_tokens long, base_score double, score double")

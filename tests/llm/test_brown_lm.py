@@ -147,3 +147,26 @@ def test_each_move_raises_the_likelihood():
         tried = [likelihood(table(np.where(np.arange(30) == w, c, own))) for c in range(k)]
         assert tried[best[w]] == pytest.approx(max(tried))
     assert (best != own).any()
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_a_sent_lookup_and_a_join_score_alike(documents, monkeypatch, least):
+    monkeypatch.setattr(B, "SHARD_TOKENS", 300)
+    _, df = documents(12)
+    both = [sorted((tuple(r) for r in B.score(df, frequent=20, classes=4, least=least, lookup_words=n).collect()), key=str)
+            for n in (10**6, 0)]
+    assert both[0] == both[1]
+
+
+def test_superseded_tables_are_deleted(documents, tmp_path, spark, monkeypatch):
+    _, df = documents(13)
+    labels = {}
+    real = B.written
+    monkeypatch.setattr(B, "written", lambda x, label: labels.setdefault((label, len(labels)), real(x, label)))
+    B.score(df, frequent=10, classes=3).collect()
+    gone = [k[0] for k, t in labels.items() if k[0] in ("near", "round")]
+    assert len(gone) == 6
+    from ledgerlake.sources.folders import names
+    for (label, _), table in labels.items():
+        folder = {f.rsplit("/", 1)[0] for f in table.inputFiles()}.pop()
+        assert bool(names(spark, folder)) == (label not in ("near", "round"))
