@@ -15,6 +15,7 @@ from ledgerlake.sources.layout import layout_report
 from ledgerlake.sources.supplied import wallet
 from ledgerlake.sources.tables import ingest, read_table
 from ledgerlake.streaming import events, jobs
+from ledgerlake.streaming.topics import topic_lines
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -41,8 +42,15 @@ def arguments() -> argparse.ArgumentParser:
     distinct = job.add_parser("distinct", help="exact against approximate distinct count")
     distinct.add_argument("--rsd", type=float, default=config.DEFAULT_RSD)
 
+    topic = job.add_parser("topic", help="read a topic from its first to its last message and count")
+    topic.add_argument("--servers", help="Kafka bootstrap servers")
+    topic.add_argument("--topic", default="transactions.raw")
+    topic.add_argument("--segments", help="folder of exported segments, in place of Kafka")
+    topic.add_argument("--starting", default="earliest", help="earliest, latest or offsets as JSON")
+
     for name in ("stream", "burst"):
         live = job.add_parser(name)
+        live.add_argument("--segments", help="folder of exported topic segments, in place of Kafka")
         live.add_argument("--servers", help="Kafka bootstrap servers")
         live.add_argument("--topic", default="transactions.raw")
         live.add_argument("--lines", help="folder of JSON lines, in place of Kafka")
@@ -54,6 +62,8 @@ def arguments() -> argparse.ArgumentParser:
 def live_lines(spark: SparkSession, args):
     if args.lines:
         return events.file_lines(spark, args.lines)
+    if args.segments:
+        return topic_lines(spark, args.segments, "earliest", streaming=True)
     return events.kafka_lines(spark, args.servers, args.topic)
 
 
@@ -89,6 +99,10 @@ def run(args, spark: SparkSession) -> int:
                 spark, transactions, merchants, args.mode, explain=True)))
         else:
             print(json.dumps(measure.distinct_benchmark(spark, transactions, rsd=args.rsd)))
+    elif args.job == "topic":
+        lines = (topic_lines(spark, args.segments, args.starting) if args.segments else
+                 events.kafka_lines(spark, args.servers, args.topic, args.starting, streaming=False))
+        events.topic_report(lines).show(truncate=False)
     elif args.job == "stream":
         for query in jobs.run_job(live_lines(spark, args),
                                   f"{args.root}/stream", args.bounded, args.threshold,

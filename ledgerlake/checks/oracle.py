@@ -625,6 +625,13 @@ ASOF JOIN watermark w ON d.key > w.key
 WHERE w.mark >= time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 370 SECOND"""
 for _name in ("stream_late_partitions", "stream_late_partitions_live"):
     oracle(_name, _LATE_BY_SOURCE, "watermark")
+block("topic", """
+SELECT (seq % 3)::VARCHAR AS partition, seq // 3 AS position, ingested_at AS arrived_at, transaction_id
+FROM stream_events""", "stream_events")
+oracle("topic_bounded", """
+SELECT * FROM topic WHERE position >= CASE partition WHEN '0' THEN 100 WHEN '2' THEN 7 ELSE 0 END
+  AND (partition <> '1' OR position < 500)""", "topic")
+oracle("topic_resume", "SELECT * FROM topic", "topic")
 oracle("stream_features", "SELECT * FROM stream_windows", "stream_windows")
 oracle("stream_features_live", "SELECT * FROM stream_windows", "stream_windows")
 oracle("burst_monitor", "SELECT * FROM bursts", "bursts")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake import config
@@ -20,6 +20,7 @@ from ledgerlake.sources.workspace import fresh_path, written
 from ledgerlake.streaming import events as stream_in
 from ledgerlake.streaming import jobs, replay, watermarks
 from ledgerlake.streaming.changes import LiveTable
+from ledgerlake.streaming.topics import export_topic, topic_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -833,6 +834,41 @@ def stream_late(spark, sf_dir):
     return shown(late.drop("is_late"))
 
 
+def topic_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplied messages in three partitions, offsets counting up in each."""
+    value = stream_in.json_line("transaction_id", "user_id", "amount", F.col("event_time").alias("timestamp"), "seq")
+    return stream(spark, sf_dir).select(
+        (F.col("seq") % 3).cast("string").alias("partition"), F.floor(F.col("seq") / 3).alias("offset"),
+        F.col("ingested_at").alias("arrived_at"), value.alias("value"))
+
+
+def _told(lines: DataFrame) -> DataFrame:
+    return shown(lines.select("partition", "position", "arrived_at",
+                              F.get_json_object("value", "$.transaction_id").alias("transaction_id")))
+
+
+@query
+def topic_bounded(spark, sf_dir):
+    """A bounded read of exported segments: from given offsets up to given ones, per partition."""
+    path = fresh_path(spark, "topic")
+    export_topic(topic_messages(spark, sf_dir), path)
+    return _told(topic_lines(spark, path, '{"0": 100, "2": 7}', '{"1": 500}'))
+
+
+@query
+def topic_resume(spark, sf_dir):
+    """The topic live while segments are added; stopped after each round and resumed from its checkpoint."""
+    path, out, checkpoint = (fresh_path(spark, x) for x in ("topic", "resumed", "resumed-checkpoint"))
+    messages = written(topic_messages(spark, sf_dir), "messages")
+    third = F.floor(F.col("offset") * 3 / (F.max("offset").over(Window.partitionBy("partition")) + 1))
+    rounds = written(messages.withColumn("round", third), "rounds")
+    for i in range(3):
+        export_topic(rounds.filter(F.col("round") == i), path)
+        jobs.to_table(topic_lines(spark, path, "earliest", streaming=True), out, checkpoint, bounded=True
+                      ).awaitTermination()
+    return _told(spark.read.parquet(out))
+
+
 #: The supplied stream is thin: a partition's rows come minutes apart, so idleness is scaled likewise.
 _IDLE = "20 minutes"
 

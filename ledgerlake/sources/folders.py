@@ -22,3 +22,9 @@ def names(spark: SparkSession, path: str) -> list[str]:
 def drop(spark: SparkSession, path: str) -> None:
     fs, folder = _of(spark, path)
     fs.delete(folder, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as every reader understands it."""
+    fs, folder = _of(spark, path)
+    return fs.makeQualified(folder).toString().replace("file:/", "file:///", 1).replace("file://///", "file:///", 1)

@@ -84,3 +84,12 @@ def quarantined(lines: DataFrame) -> DataFrame:
     """The raw text of records that cannot be used; keep it, a poison record must not stop a job."""
     bad = parse_lines(lines).filter("malformed")
     return bad.select("value", *[c for c, _, _ in ARRIVAL if c in bad.columns])
+
+
+def topic_report(lines: DataFrame) -> DataFrame:
+    """Per partition of a bounded read: messages, those that cannot be used, distinct ids, first and last offset."""
+    parsed = parse_lines(lines)
+    return parsed.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_if("malformed").alias("malformed"),
+        F.count_distinct("transaction_id").alias("transactions"),
+        F.min("position").alias("first_position"), F.max("position").alias("last_position"))
