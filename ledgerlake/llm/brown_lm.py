@@ -127,7 +127,8 @@ def _shards(batch: pa.RecordBatch) -> Iterator[tuple[int, Shard]]:
             return np.frombuffer(batch.column(at)[i].as_buffer(), kind)
         low, high = raw("low", np.uint16), raw("high", np.uint8)
         names = batch.schema.names
-        yield i, Shard(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(),
+        ids = batch.column(names.index("ids"))[i].as_py() if "ids" in names else []
+        yield i, Shard(batch.column(0)[i].as_py(), ids,
                        raw("train", np.uint8).astype(bool), raw("lengths", np.int64),
                        low.astype(np.int64) | (high.astype(np.int64) << 16),
                        raw("words", np.uint64) if "words" in names else None,
@@ -143,6 +144,37 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "word": pa.array(s.words.view(np.int64)), "n": pa.array(s.counts)})
 
 
+#: Rows that a task hands to Spark at once.
+_SLICE = 1 << 16
+#: Counts of several shards that a task sums before it hands them on.
+_HELD = 1 << 20
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every key once, and the sum of its values."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[begins], np.add.reduceat(n[order], begins)
+
+
+def _slices(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_pydict(columns)
+    for at in range(0, whole.num_rows, _SLICE):
+        yield whole.slice(at, _SLICE)
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n): training places of the words, summed over the shards of a batch."""
+    for batch in batches:
+        words, n = (np.frombuffer(b"".join(batch.column(batch.schema.get_field_index(c)).to_pylist()), kind)
+                    for c, kind in (("words", np.uint64), ("counts", np.int64)))
+        words, n = _summed(words[n > 0], n[n > 0])
+        yield from _slices(word=words.view(np.int64), n=n)
+
+
 def _number_of(words: np.ndarray, known: np.ndarray) -> np.ndarray:
     """The place of each word in `known`, or how many those are."""
     order = np.argsort(known)
@@ -237,18 +269,21 @@ class Lookup(NamedTuple):
     classes: np.ndarray
 
 
+def _looked_up(held: Lookup, words: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray]:
+    if not len(held.words):
+        return np.zeros(len(words), np.int64), np.full(len(words), spare)
+    at = np.minimum(np.searchsorted(held.words, words), len(held.words) - 1)
+    hit = held.words[at] == words
+    return np.where(hit, held.counts[at], 0), np.where(hit, held.classes[at], spare).astype(np.int64)
+
+
 def _known(batch: pa.RecordBatch, i: int, s: Shard, spare: int, lookup) -> tuple[np.ndarray, np.ndarray]:
     """Count and class of each word of the shard's list; `spare` is the class of unseen words.
 
     They come from the lookup that all tasks have, or else with the shard itself.
     """
     if lookup is not None:
-        held = lookup.value
-        if not len(held.words):
-            return np.zeros(len(s.words), np.int64), np.full(len(s.words), spare)
-        at = np.minimum(np.searchsorted(held.words, s.words), len(held.words) - 1)
-        hit = held.words[at] == s.words
-        return np.where(hit, held.counts[at], 0), np.where(hit, held.classes[at], spare).astype(np.int64)
+        return _looked_up(lookup.value, s.words, spare)
     words = int(s.tokens.max()) + 1
     counts, classes = np.zeros(words, np.int64), np.full(words, spare)
     rows = batch.column(batch.schema.get_field_index("known"))[i].values
@@ -282,8 +317,20 @@ def _near(k: int, every: bool, lookup):
     size = k + 1
     codes = 2 * size + 1
 
+    def rows(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        """Summed over some shards: words have one number in all of them."""
+        if not held:
+            return
+        words, number = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        first = np.cumsum([0, *(len(h[0]) for h in held)])
+        keys, seen = _summed(np.concatenate([number[at + h[1] // codes] * codes + h[1] % codes
+                                             for at, h in zip(first, held)]),
+                             np.concatenate([h[2] for h in held]))
+        yield from _slices(word=words.view(np.int64)[keys // codes], code=(keys % codes).astype(np.int32), n=seen)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(size * size, np.int64)
+        held = []
         for batch in batches:
             for i, s in _shards(batch):
                 n, classes = _known(batch, i, s, k, lookup)
@@ -295,11 +342,11 @@ def _near(k: int, every: bool, lookup):
                 same = a[left][a[left] == b[left]]
                 keys = np.concatenate([b[right] * codes + classes[a[right]],
                                        a[left] * codes + size + classes[b[left]], same * codes + 2 * size])
-                at, seen = np.unique(keys, return_counts=True)
-                word = at // codes
-                yield pa.RecordBatch.from_pydict({
-                    "word": pa.array(s.words.view(np.int64)[word]),
-                    "code": pa.array((at - word * codes).astype(np.int32)), "n": pa.array(seen)})
+                held.append((s.words, *np.unique(keys, return_counts=True)))
+                if sum(len(h[1]) for h in held) >= _HELD:
+                    yield from rows(held)
+                    held = []
+        yield from rows(held)
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_pydict({"word": pa.nulls(len(at), pa.int64()),
                                           "code": pa.array(at.astype(np.int32)), "n": pa.array(table[at])})
@@ -331,19 +378,25 @@ def best_classes(table: np.ndarray, own: np.ndarray, exchanged: np.ndarray, seen
     return best
 
 
-def _chosen(table):
-    """(word, class) of words with their class until now, if they are exchanged, and their counts."""
+def _chosen(table, lookup):
+    """(word, n, class): the best class of words by their counts, and how often training has them.
+
+    The class until now, of words that are exchanged, is in the lookup, or else in a column of its own.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, codes = len(table.value) - 1, 2 * len(table.value) + 1
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(1)
             entries = lists.flatten()
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             seen = np.zeros((batch.num_rows, codes), np.int64)
             seen[row, entries.field(0).to_numpy()] = entries.field(1).to_numpy()
-            own = batch.column(1).fill_null(-1).to_numpy()
+            if lookup is not None:
+                _, own = _looked_up(lookup.value, batch.column(0).to_numpy().view(np.uint64), -1)
+            else:
+                own = batch.column(2).fill_null(-1).to_numpy()
             best = best_classes(table.value, np.where(own < 0, k, own), own >= 0, seen)
-            yield pa.RecordBatch.from_pydict({"word": batch.column(0),
+            yield pa.RecordBatch.from_pydict({"word": batch.column(0), "n": seen[:, :k + 1].sum(1),
                                               "class": pa.array(best.astype(np.int32))})
     return run
 
@@ -415,14 +468,15 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     shards = written(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"),
                                  train.alias("train")).mapInArrow(_sharded, _SHARD), "shards")
     rows = shards.mapInArrow(_word_rows, "shard long, at int, word long, n long")
-    words = written(rows.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "words")
+    words = written(shards.select("words", "counts").mapInArrow(_word_counts, "word long, n long")
+                    .groupBy("word").agg(F.sum("n").alias("n")), "words")
     total = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
 
     top = (words.filter(F.col("word") != int(END)).orderBy(F.desc("n"), "word")
            .limit(frequent).collect())  # a fixed number of rows
     known = np.array([int(END), *(r.word for r in top)], np.int64).view(np.uint64)
     size = len(known) + 1
-    counted = (shards.mapInArrow(_bigrams(share(known)), "pair long, n long")
+    counted = (shards.drop("ids", "counts").mapInArrow(_bigrams(share(known)), "pair long, n long")
                .groupBy("pair").agg(F.sum("n").alias("n")).collect())  # at most size * size
     bigrams = np.zeros(size * size)
     for r in counted:
@@ -443,7 +497,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
             held = classed.select("word", "n", "class").toArrow()
             words = held["word"].to_numpy().view(np.uint64)
             order = np.argsort(words)
-            return shards, share(Lookup(words[order], held["n"].to_numpy()[order],
+            return shards.drop("counts"), share(Lookup(words[order], held["n"].to_numpy()[order],
                                         held["class"].to_numpy()[order].astype(np.int16)))
         place = (F.col("at").cast("long") * _CLASS + F.col("class")).alias("place")
         held = (rows.select("shard", "at", "word").join(classed, "word").groupBy(F.col("shard").alias("of"))
@@ -457,20 +511,19 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
         every = r == rounds - 1
         told, lookup = sent(classed.withColumn("n", F.lit(1)), "counts")
         # summed on the map side before it meets by word, where a word has a bounded number of codes
-        near = written(told.mapInArrow(_near(k, every, lookup), "word long, code int, n long")
+        near = written(told.drop("ids").mapInArrow(_near(k, every, lookup), "word long, code int, n long")
                        .groupBy("word", "code").agg(F.sum("n").alias("n")).groupBy("word")
                        .agg(F.collect_list(F.struct("code", "n")).alias("seen")), "near")
         table = np.zeros((k + 1) ** 2)
         for pairs in near.filter("word IS NULL").collect():  # one row of at most that many
             for pair in pairs.seen:
                 table[pair.code] = pair.n
-        chosen = (near.filter("word IS NOT NULL")
-                  .join(classed.select("word", F.col("class").cast("int").alias("own")), "word", "left")
-                  .select("word", "own", "seen")
-                  .mapInArrow(_chosen(share(table.reshape(k + 1, k + 1))), "word long, class int"))
-        before, classed = classed, written((words if every else classed.select("word", "n")).join(chosen, "word", "left")
-                          .select("word", "n", F.coalesce("class", F.lit(k)).alias("class")),
-                          "classed" if every else "round")
+        named = near.filter("word IS NOT NULL").select("word", "seen")
+        if lookup is None:
+            named = named.join(classed.select("word", F.col("class").cast("int").alias("own")), "word", "left")
+        before, classed = classed, written(
+            named.mapInArrow(_chosen(share(table.reshape(k + 1, k + 1)), lookup), "word long, n long, class int"),
+            "classed" if every else "round")
         _dropped(near)
         _dropped(before)
     end = classed.filter(F.col("word") == int(END)).first()
@@ -479,7 +532,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
 
     size = k + 2
     grams = np.zeros(size * size)
-    for r in (joined.mapInArrow(_class_bigrams(size, end, lookup), "pair long, n long")
+    for r in (joined.drop("ids").mapInArrow(_class_bigrams(size, end, lookup), "pair long, n long")
               .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
         grams[r.pair] = r.n
     class_tokens, class_words, once = np.zeros(size), np.zeros(size), 0
