@@ -3,7 +3,7 @@
 A text is its words (A-Z in lower case) and then one end; it begins as if after an end. The model is
 P(word | before) = P(class | class before) * P(word | class).
 
-1. Tasks cut the texts into shards of about half a million words of whole texts and write each as numbers
+1. Tasks cut the texts into shards of about a hundred thousand words of whole texts and write each as numbers
    of its own word list. What is shuffled afterwards are rows of (shard, word), not words of text.
 2. Word counts over all training texts. The most frequent words (a fixed number) are clustered by
    exchange on the driver: each word in turn moves to the class that raises the likelihood of the class
@@ -43,7 +43,7 @@ from ledgerlake.sources.folders import drop
 from ledgerlake.sources.workspace import written
 
 END = np.uint64(1)
-SHARD_TOKENS = 1 << 19
+SHARD_TOKENS = 1 << 17
 FREQUENT = 512
 CLASSES = 32
 LEAST = 5
@@ -147,7 +147,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 #: Rows that a task hands to Spark at once.
 _SLICE = 1 << 16
 #: Counts of several shards that a task sums before it hands them on.
-_HELD = 1 << 20
+_HELD = 1 << 19
 
 
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
