@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ ANCHOR = 24
 #: Places of one name that a task ranks at most.
 PLACES = 4096
 PIECE = 4 << 20
+#: Windows that a task expands at once, those of one name always together.
+WINDOWS = 1 << 18
 _LAST = 2**63 - 1
 _PLACE = np.uint64(2**24 - 1)
 _PLACED = "id long, tie int, first long, last long, name long, run long"
@@ -148,8 +151,8 @@ def _windows(length: int):
     """(id, tie, first, name, run): the windows of the open runs, each by itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 5_000):
-                table = pa.Table.from_batches([batch.slice(at, 5_000)])
+            for at in range(0, batch.num_rows, 1_000):
+                table = pa.Table.from_batches([batch.slice(at, 1_000)])
                 row, number, names = _each_window(table, length)
                 of = {c: table.column(c).to_numpy()[row] for c in ("id", "tie", "first", "name")}
                 yield pa.RecordBatch.from_pydict(
@@ -174,6 +177,18 @@ def _ranked(length: int):
             "id": of["id"][at], "tie": of["tie"][at], "first": of["first"][at] + number[begin],
             "last": of["first"][at] + number[end] + length})
 
+    def blocks(table: pa.Table) -> Iterator[pa.Table]:
+        """Rows of whole names, of a bounded number of windows or one name's."""
+        names = table.column("name").to_numpy()
+        begins = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1], [True]]))
+        sizes = pc.binary_length(table.column("bytes")).to_numpy() - (length - 1)
+        before = np.concatenate([[0], np.cumsum(sizes)])[begins]
+        at = 0
+        while at < len(begins) - 1:
+            end = max(at + 1, int(np.searchsorted(before, before[at] + WINDOWS, "right")) - 1)
+            yield table.slice(begins[at], begins[end] - begins[at])
+            at = end
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
@@ -184,10 +199,10 @@ def _ranked(length: int):
                 continue
             whole = int(np.searchsorted(names, names[-1]))  # the last name may go on in the next batch
             if whole:
-                yield repeats(held.slice(0, whole))
+                yield from map(repeats, blocks(held.slice(0, whole)))
                 held = held.slice(whole)
         if held is not None and held.num_rows:
-            yield repeats(held)
+            yield from map(repeats, blocks(held))
     return run
 
 
