@@ -51,3 +51,13 @@ def test_sliding_min():
     for n, width in ((10, 3), (7, 7), (50, 8), (64, 8), (5, 1)):
         x = rng.integers(0, 100, n).astype(np.uint64)
         assert S._sliding_min(x, width).tolist() == [x[i:i + width].min() for i in range(n - width + 1)]
+
+
+@pytest.mark.parametrize("places, windows, shuffled", [(1, 1 << 18, False), (4096, 50, True)])
+def test_many_places_small_blocks_and_shuffled_sides(documents, monkeypatch, places, windows, shuffled):
+    monkeypatch.setattr(S, "PLACES", places)
+    monkeypatch.setattr(S, "WINDOWS", windows)
+    if shuffled:
+        monkeypatch.setattr(S, "small_side", lambda df: df)
+    rows, df = documents(5)
+    assert sorted(tuple(r) for r in S.report(df, length=40).collect()) == brute([r[:2] for r in rows], 40)
