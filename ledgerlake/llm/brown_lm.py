@@ -10,9 +10,10 @@ P(word | before) = P(class | class before) * P(word | class).
    bigrams most. Their bigram counts come from all training texts; this start sees a small table.
 3. Rounds of exchange over every word that training has often enough (at least a fixed count, so they
    grow with the input). Classes are sent to all tasks, or joined to the shards' word lists where they
-   are too many; tasks count (word, class of its neighbour), which is summed by word. All of these words move at
-   once, each to the class that raises the likelihood most with the others as they were; tasks choose in
-   batches and see the table of class bigrams only. The new classes are written each round.
+   are too many; tasks count (word, class of its neighbour), sum that over their shards and pack it in
+   blocks by a hash of the word; all blocks of a bucket of words meet in one task. All of these words move
+   at once, each to the class that raises the likelihood most with the others as they were; tasks choose
+   in batches and see the table of class bigrams only. The new classes are written each round.
 4. Rarer words get, in the last round, the class that explains all their neighbours best. Only words
    whose neighbours all have no class yet share a class.
 5. Counts and final classes are sent or joined to the shards likewise. Class bigrams are counted over all
@@ -148,6 +149,8 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SLICE = 1 << 16
 #: Counts of several shards that a task sums before it hands them on.
 _HELD = 1 << 19
+#: Words of which a task chooses the classes at once, and of which a bucket holds about eight times as many.
+_CHOSEN = 1 << 12
 
 
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,26 +311,60 @@ def _class_bigrams(size: int, end: int, lookup):
     return run
 
 
-def _near(k: int, every: bool, lookup):
-    """(word, code, n): how often a word has a class before it (the code), after it (k + 1 more), or itself.
-
-    Words that the shard was not sent a class of have class k; they have rows only if `every` word has.
-    Without a word: class bigrams, the code being the pair.
+class Counted(NamedTuple):
+    """Counts of words by code: each word once, its class (-1: none), and keys of word's number and code."""
+    words: np.ndarray
+    own: np.ndarray
+    keys: np.ndarray
+    n: np.ndarray
+
+
+def _merged(held: list[Counted], codes: int) -> Counted:
+    """Summed over parts in which words have numbers of their own; a word's class is the same in all."""
+    words, number = np.unique(np.concatenate([h.words for h in held]), return_inverse=True)
+    own = np.empty(len(words), np.int16)
+    own[number] = np.concatenate([h.own for h in held])
+    first = np.cumsum([0, *(len(h.words) for h in held)])
+    keys, n = _summed(np.concatenate([number[at + h.keys // codes] * codes + h.keys % codes
+                                      for at, h in zip(first, held)]), np.concatenate([h.n for h in held]))
+    return Counted(words, own, keys, n)
+
+
+#: The counted words of a bucket: words, classes, numbers of codes, and then codes and counts of all of them.
+_BLOCK = {"words": np.uint64, "own": np.int16, "sizes": np.uint16, "codes": np.uint16, "counts": np.int64}
+_NEAR = "bucket int, code int, n long, " + ", ".join(f"{c} binary" for c in _BLOCK)
+
+
+def _blocks(c: Counted, codes: int, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket of words, by their hash."""
+    sizes = np.bincount(c.keys // codes, minlength=len(c.words))
+    bucket = (T.mix(c.words) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    order = order[sizes[order] > 0]
+    last = np.cumsum(sizes)
+    moved = sizes[order]
+    place = np.repeat(last[order] - np.cumsum(moved), moved) + np.arange(moved.sum())
+    own = (c.words[order], c.own[order], moved, (c.keys % codes)[place], c.n[place])
+    begins = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) > 0])[:len(order)])
+    of_words = np.append(begins, len(order))
+    of_codes = np.concatenate([[0], np.cumsum(moved)])[of_words]
+    columns = [pa.array(bucket[order][begins], pa.int32()), pa.nulls(len(begins), pa.int32()),
+               pa.nulls(len(begins), pa.int64())]
+    for values, kind, at in zip(own, _BLOCK.values(), (of_words,) * 3 + (of_codes,) * 2):
+        values = values.astype(kind)
+        columns.append(pa.array([values[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()))
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "code", "n", *_BLOCK])
+
+
+def _near(k: int, every: bool, lookup, buckets: int):
+    """Blocks of how often a word has a class before it (the code), after it (k + 1 more), or itself.
+
+    Words that the shard was not sent a class of have class k; they are counted only if `every` word is.
+    Without a bucket: class bigrams, the code being the pair.
     """
     size = k + 1
     codes = 2 * size + 1
 
-    def rows(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        """Summed over some shards: words have one number in all of them."""
-        if not held:
-            return
-        words, number = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        first = np.cumsum([0, *(len(h[0]) for h in held)])
-        keys, seen = _summed(np.concatenate([number[at + h[1] // codes] * codes + h[1] % codes
-                                             for at, h in zip(first, held)]),
-                             np.concatenate([h[2] for h in held]))
-        yield from _slices(word=words.view(np.int64)[keys // codes], code=(keys % codes).astype(np.int32), n=seen)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(size * size, np.int64)
         held = []
@@ -342,14 +379,17 @@ def _near(k: int, every: bool, lookup):
                 same = a[left][a[left] == b[left]]
                 keys = np.concatenate([b[right] * codes + classes[a[right]],
                                        a[left] * codes + size + classes[b[left]], same * codes + 2 * size])
-                held.append((s.words, *np.unique(keys, return_counts=True)))
-                if sum(len(h[1]) for h in held) >= _HELD:
-                    yield from rows(held)
+                held.append(Counted(s.words, np.where(n > 0, classes, -1).astype(np.int16),
+                                    *np.unique(keys, return_counts=True)))
+                if sum(len(h.keys) for h in held) >= _HELD:
+                    yield _blocks(_merged(held, codes), codes, buckets)
                     held = []
-        yield from rows(held)
+        if held:
+            yield _blocks(_merged(held, codes), codes, buckets)
         at = np.flatnonzero(table)
-        yield pa.RecordBatch.from_pydict({"word": pa.nulls(len(at), pa.int64()),
-                                          "code": pa.array(at.astype(np.int32)), "n": pa.array(table[at])})
+        none = {c: pa.nulls(len(at), pa.binary()) for c in _BLOCK}
+        yield pa.RecordBatch.from_pydict({"bucket": pa.nulls(len(at), pa.int32()), "code": at.astype(np.int32),
+                                          "n": table[at], **none})
     return run
 
 
@@ -378,26 +418,37 @@ def best_classes(table: np.ndarray, own: np.ndarray, exchanged: np.ndarray, seen
     return best
 
 
-def _chosen(table, lookup):
-    """(word, n, class): the best class of words by their counts, and how often training has them.
+def _chosen(table):
+    """(word, n, class): the best class of the words of whole buckets, and how often training has them."""
+    k = len(table.value) - 1
+    codes = 2 * k + 3
+
+    def counted(batch: pa.RecordBatch, i: int) -> Counted:
+        words, own, sizes, of, n = (
+            np.frombuffer(batch.column(batch.schema.get_field_index(c))[i].as_buffer(), kind)
+            for c, kind in _BLOCK.items())
+        return Counted(words, own, np.repeat(np.arange(len(words)), sizes) * codes + of, n)
 
-    The class until now, of words that are exchanged, is in the lookup, or else in a column of its own.
-    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, codes = len(table.value) - 1, 2 * len(table.value) + 1
+        held, whole = [], 0
         for batch in batches:
-            lists = batch.column(1)
-            entries = lists.flatten()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            seen = np.zeros((batch.num_rows, codes), np.int64)
-            seen[row, entries.field(0).to_numpy()] = entries.field(1).to_numpy()
-            if lookup is not None:
-                _, own = _looked_up(lookup.value, batch.column(0).to_numpy().view(np.uint64), -1)
-            else:
-                own = batch.column(2).fill_null(-1).to_numpy()
+            for i in range(batch.num_rows):
+                held.append(counted(batch, i))
+                if sum(len(h.keys) for h in held) >= 2 * whole + _HELD:
+                    held = [_merged(held, codes)]
+                    whole = len(held[0].keys)
+        if not held:
+            return
+        c = _merged(held, codes)
+        for at in range(0, len(c.words), _CHOSEN):
+            words = c.words[at:at + _CHOSEN]
+            part = slice(*np.searchsorted(c.keys, [at * codes, (at + len(words)) * codes]))
+            seen = np.zeros((len(words), codes), np.int64)
+            seen.reshape(-1)[c.keys[part] - at * codes] = c.n[part]
+            own = c.own[at:at + _CHOSEN].astype(np.int64)
             best = best_classes(table.value, np.where(own < 0, k, own), own >= 0, seen)
-            yield pa.RecordBatch.from_pydict({"word": batch.column(0), "n": seen[:, :k + 1].sum(1),
-                                              "class": pa.array(best.astype(np.int32))})
+            yield pa.RecordBatch.from_pydict({"word": words.view(np.int64), "n": seen[:, :k + 1].sum(1),
+                                              "class": best.astype(np.int32)})
     return run
 
 
@@ -507,22 +558,19 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     classed = written(words.join(F.broadcast(fixed), "word", "left")
                       .filter((F.col("n") >= least) | F.col("given").isNotNull())
                       .select("word", "n", F.coalesce("given", F.lit(k)).alias("class")), "round")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total.v // (8 * _CHOSEN) + 1)
     for r in range(rounds):
         every = r == rounds - 1
         told, lookup = sent(classed.withColumn("n", F.lit(1)), "counts")
-        # summed on the map side before it meets by word, where a word has a bounded number of codes
-        near = written(told.drop("ids").mapInArrow(_near(k, every, lookup), "word long, code int, n long")
-                       .groupBy("word", "code").agg(F.sum("n").alias("n")).groupBy("word")
-                       .agg(F.collect_list(F.struct("code", "n")).alias("seen")), "near")
+        # summed on the map side; words then meet in buckets, each word with a bounded number of codes
+        near = written(told.drop("ids").mapInArrow(_near(k, every, lookup, buckets), _NEAR), "near")
         table = np.zeros((k + 1) ** 2)
-        for pairs in near.filter("word IS NULL").collect():  # one row of at most that many
-            for pair in pairs.seen:
-                table[pair.code] = pair.n
-        named = near.filter("word IS NOT NULL").select("word", "seen")
-        if lookup is None:
-            named = named.join(classed.select("word", F.col("class").cast("int").alias("own")), "word", "left")
+        for pair in (near.filter("bucket IS NULL").groupBy("code").agg(F.sum("n").alias("n"))
+                     .collect()):  # at most that many
+            table[pair.code] = pair.n
         before, classed = classed, written(
-            named.mapInArrow(_chosen(share(table.reshape(k + 1, k + 1)), lookup), "word long, n long, class int"),
+            near.filter("bucket IS NOT NULL").repartition(buckets, "bucket").mapInArrow(
+                _chosen(share(table.reshape(k + 1, k + 1))), "word long, n long, class int"),
             "classed" if every else "round")
         _dropped(near)
         _dropped(before)
