@@ -220,7 +220,8 @@ FROM users LEFT JOIN (
   FROM silver_transactions
   WHERE timestamp >= (SELECT max(timestamp) - INTERVAL 90 DAY FROM silver_transactions)
   GROUP BY user_id) USING (user_id)""", "silver_transactions", "users")
-oracle("feat_user_90d", "SELECT * FROM offline_features", "offline_features")
+for _name in ("feat_user_90d", "feat_user_90d_incremental"):
+    oracle(_name, "SELECT * FROM offline_features", "offline_features")
 
 block("merchant_metrics", """
 SELECT merchant_id, count(*) AS n, round(sum(amount), 2) AS total,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config
 from ledgerlake.functions import columns as X
-from ledgerlake.operators import change, clean, dedup, features, joins, merchants, model, profile
+from ledgerlake.operators import change, clean, dedup, features, incremental, joins, merchants, model, profile
 from ledgerlake.operators import quality as dq
 from ledgerlake.operators.enrich import enrich_transactions
 from ledgerlake.plans import gold as gold_plan
@@ -408,6 +408,19 @@ def feat_user_90d(spark, sf_dir):
         fact(spark, sf_dir), model.dim_user(silver(spark, sf_dir, "users"))))
 
 
+@query
+def feat_user_90d_incremental(spark, sf_dir):
+    """The same from stored daily partials, after all days but two, the day before the last twice, and the last."""
+    rows = written(fact(spark, sf_dir), "fact")
+    users = written(model.dim_user(silver(spark, sf_dir, "users")), "users")
+    path, out = fresh_path(spark, "partials"), None
+    ago = F.datediff(rows.agg(F.max(F.to_date("timestamp"))).scalar(), F.to_date("timestamp"))
+    for days in (ago >= 2, ago == 1, ago == 1, ago == 0):
+        so_far = rows if out is not None else rows.filter(days)
+        out = written(incremental.refresh_user_features(path, rows.filter(days), so_far, users, out), "features")
+    return rounded_features(out)
+
+
 def rounded_merchants(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "avg_amount": mean_cents(F.col("avg_amount"), F.col("transaction_count")),
