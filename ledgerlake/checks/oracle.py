@@ -85,6 +85,12 @@ for _name in ("scan_zone", "compaction_keeps_rows", "clean_logins"):
     oracle(_name, """
 SELECT * REPLACE (CAST(login_date AS VARCHAR) AS login_date) FROM silver_logins""",
            "silver_logins")
+oracle("compaction_selective", """
+SELECT l_returnflag, count(*) AS n, round(sum(CAST(l_extendedprice AS DOUBLE)), 2) AS total,
+  count(*) FILTER (WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1995-03-31'
+    AND l_extendedprice BETWEEN 0 AND 20000) AS selected,
+  true AS large_kept, true AS fewer_files, true AS pruned
+FROM lineitem GROUP BY l_returnflag""")
 oracle("scan_pruned", "SELECT login_id FROM silver_logins", "silver_logins")
 oracle("bronze_normalize", "SELECT * FROM transactions", "transactions")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Mapping
 from functools import cache
 
@@ -15,6 +16,7 @@ from ledgerlake.operators import quality as dq
 from ledgerlake.operators.enrich import enrich_transactions
 from ledgerlake.plans import gold as gold_plan
 from ledgerlake.sources import catalog, layout, tables
+from ledgerlake.sources.compaction import compact_small, file_name, manifest, read_live
 from ledgerlake.sources.supplied import raw, wallet
 from ledgerlake.sources.workspace import fresh_path, written
 from ledgerlake.streaming import events as stream_in
@@ -189,6 +191,37 @@ def compaction_keeps_rows(spark, sf_dir):
     return shown(spark.read.parquet(after))
 
 
+@query
+def compaction_selective(spark, sf_dir):
+    """Half of the order lines in one file per flag, half in small files, of which only those are rewritten.
+
+    `selected`: rows of one quarter and price range, from fewer files than are live.
+    """
+    root = fresh_path(spark, "selective")
+    rows = raw(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_shipdate").cast("date").alias("l_shipdate"),
+        F.col("l_extendedprice").cast("double").alias("l_extendedprice"))
+    even = F.col("l_orderkey") % 2 == 0
+    for part, n in ((rows.filter(even), 1), (rows.filter(~even), 40)):
+        part.repartition(n).write.mode("append").partitionBy("l_returnflag").parquet(f"{root}/data")
+    per_file = spark.read.parquet(f"{root}/data").select(file_name().alias("file"),
+                                                         F.col("_metadata.file_size").alias("size")).distinct()
+    before = {r.file: r.size for r in per_file.collect()}  # at most 41 files a flag
+    small = max(before.values()) // 4
+    compact_small(spark, root, ("l_shipdate", "l_extendedprice"), ("l_returnflag",), small, small)
+    live = {r.file for r in manifest(spark, root).select("file").collect()}
+    within = {"l_shipdate": (datetime.date(1995, 1, 1), datetime.date(1995, 3, 31)), "l_extendedprice": (0.0, 20000.0)}
+    few = read_live(spark, root, within)
+    selected = few.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("selected"))
+    return (read_live(spark, root).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), cents(F.sum("l_extendedprice")).alias("total"))
+        .join(selected, "l_returnflag", "left").select(
+            "l_returnflag", "n", "total", F.coalesce("selected", F.lit(0)).alias("selected"),
+            F.lit(live & before.keys() == {f for f, size in before.items() if size >= small}).alias("large_kept"),
+            F.lit(len(live) < len(before)).alias("fewer_files"),
+            F.lit(len(few.inputFiles()) < len(live)).alias("pruned")))
+
+
 # --- Cleaning and columns ---------------------------------------------------------------------
 
 
