@@ -29,8 +29,10 @@ def curve(columns: Sequence[str], bounds: Sequence[Sequence]) -> Column:
     """A place on the Z curve: the bits of each column's quantile, in turn. NULL comes first."""
     number = F.lit(0).cast("long")
     for i, (name, cuts) in enumerate(zip(columns, bounds)):
-        below = [F.when(F.col(name) > F.lit(cut), 1).otherwise(0) for cut in cuts]
-        rank = reduce(lambda a, b: a + b, below, F.lit(0)).cast("long")
+        if not cuts:
+            continue
+        below = F.filter(F.array(*[F.lit(cut) for cut in cuts]), lambda cut: F.col(name) > cut)
+        rank = F.size(below).cast("long")
         for bit in range(BITS):
             one = F.shiftright(rank, bit).bitwiseAND(F.lit(1).cast("long"))
             number = number + F.shiftleft(one, bit * len(columns) + i)
