@@ -1,10 +1,10 @@
 """Live jobs built from the stream operators.
 
-`run_job` keeps the dedup state in one streaming query and judges each micro-batch of its output row
-by row: repeats, late rows and on-time rows go to folders of their own, on-time rows are added to
-their windows, and windows that the batch has closed are written. Each micro-batch overwrites its
-own folders and reads only those of earlier ones, so running it again changes nothing, and the
-result does not depend on how the input falls into micro-batches.
+`run_job` flags the repeats of each micro-batch of one streaming query and judges it row by row: repeats,
+late rows and on-time rows go to folders of their own, on-time rows are added to their windows, and
+windows that the batch has closed are written. Each micro-batch overwrites its own folders and reads only
+those of earlier ones, so running it again changes nothing, and the result does not depend on how the
+input falls into micro-batches.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ledgerlake import config
 from ledgerlake.functions.columns import burst_line, event_line, feature_line
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.operators.features import stream_features
-from ledgerlake.streaming.dedup import STATE_STORE, TTL_MS, flag_repeats
+from ledgerlake.streaming.dedup import TTL_MS, Seen, timed
 from ledgerlake.streaming.events import quarantined, valid_events
 from ledgerlake.streaming.replay import burst_windows, mark_late
 
@@ -56,12 +56,19 @@ def run_raw(lines: DataFrame, path: str, checkpoint: str, bounded: bool = False)
 def run_marking(
     events: DataFrame, path: str, checkpoint: str, bounded: bool = False, ttl_ms: int = TTL_MS,
 ) -> StreamingQuery:
-    """Deduplicate and write all events with `is_duplicate`."""
-    spark = events.sparkSession
-    # TTL timers would keep a bounded run alive with empty batches.
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=STATE_STORE,
-                  spark__sql__streaming__noDataMicroBatches__enabled=str(not bounded).lower()):
-        return to_table(flag_repeats(events, ttl_ms=ttl_ms), path, checkpoint, bounded)
+    """Deduplicate and write all events with `is_duplicate`, a folder `batch=` for each micro-batch.
+
+    The keys that were seen are kept beside the checkpoint.
+    """
+    seen = Seen(events.sparkSession, f"{checkpoint}/seen", ttl_ms=ttl_ms)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        out = f"{path}/batch={batch_id}"
+        seen.flagged(batch, batch_id).write.mode("overwrite").parquet(out)
+        seen.remember(batch, batch.sparkSession.read.parquet(out), batch_id)
+
+    writer = timed(events).writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if bounded else writer).start()
 
 
 def read_stored(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -235,10 +242,11 @@ def run_job(
     after what is there now; `job_output` has the windows left open as well.
     """
     spark = lines.sparkSession
-    step = job_batch(spark, root)
+    step, seen = job_batch(spark, root), Seen(spark, f"{root}/seen", ttl_ms=ttl_ms)
 
-    def with_text(batch: DataFrame, batch_id: int) -> None:
-        step(batch, batch_id)
+    def whole(batch: DataFrame, batch_id: int) -> None:
+        step(seen.flagged(batch, batch_id), batch_id)
+        seen.remember(batch, spark.read.parquet(f"{root}/marked/{_folder(batch_id)}"), batch_id)
         if text_lines:
             for tag, name in (("FEATURE", "features"), ("BURST", "bursts"), ("LATE", "late"),
                               ("DUPLICATE", "marked")):
@@ -250,16 +258,12 @@ def run_job(
                 tagged_lines(df, tag).select("line").write.mode("overwrite").text(
                     f"{root}/text/{tag}/{_folder(batch_id)}")
 
-    queries = {}
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=STATE_STORE,
-                  spark__sql__streaming__noDataMicroBatches__enabled=str(not bounded).lower()):
-        marked = flag_repeats(valid_events(lines), ttl_ms=ttl_ms)
-        writer = marked.writeStream.foreachBatch(with_text).option(
-            "checkpointLocation", f"{root}/_checkpoints/events")
-        queries["events"] = (writer.trigger(availableNow=True) if bounded else writer).start()
-        queries["quarantine"] = to_table(
-            quarantined(lines), f"{root}/quarantine", f"{root}/_checkpoints/quarantine", bounded)
-        if bounded:
-            for query in queries.values():
-                query.awaitTermination()
+    writer = timed(valid_events(lines)).writeStream.foreachBatch(whole).option(
+        "checkpointLocation", f"{root}/_checkpoints/events")
+    queries = {"events": (writer.trigger(availableNow=True) if bounded else writer).start(),
+               "quarantine": to_table(quarantined(lines), f"{root}/quarantine",
+                                      f"{root}/_checkpoints/quarantine", bounded)}
+    if bounded:
+        for query in queries.values():
+            query.awaitTermination()
     return queries

@@ -258,3 +258,33 @@ def test_tagged_lines(spark):
     row = jobs.tagged_lines(df, "LATE").first()
     assert tuple(row) == ("LATE", "LATE | transaction_id=t1 | user_id=u1 | amount=2.00 |"
                                   " event_time=2024-01-01T00:00:00")
+
+
+def test_seen_keys_by_time_and_batches_run_again(spark, tmp_path):
+    from ledgerlake.streaming.dedup import CLOCK, Seen
+    seen = Seen(spark, str(tmp_path), ttl_ms=10_000)
+
+    def step(batch_id, second, *ids):
+        rows = [(key, i, START + second * SEC) for i, key in enumerate(ids)]
+        batch = spark.createDataFrame(rows, f"transaction_id string, position long, {CLOCK} timestamp")
+        out = seen.flagged(batch, batch_id).collect()
+        seen.remember(batch, spark.createDataFrame(out, "transaction_id string, position long, is_duplicate boolean"),
+                      batch_id)
+        return [r.transaction_id for r in sorted(out, key=lambda r: r.position) if not r.is_duplicate]
+
+    assert step(0, 0, "a", "a", None, None) == ["a", None]
+    assert step(1, 4, "a", "b") == ["b"]
+    assert step(1, 4, "a", "b") == ["b"]  # run again
+    assert step(2, 9, None, "b", "c") == ["c"]
+    assert step(3, 10, "a", "b", "a") == ["a"]  # new again after ten seconds, though it came at four
+    assert step(4, 14, "a", "b") == ["b"]
+    assert step(5, 14) == []
+
+
+def test_the_live_job_sends_no_row_through_python(spark, tmp_path):
+    rows = [(i, f"t{i % 20}", "u", 1.0, START + i * SEC, START + i * SEC) for i in range(60)]
+    source = feed(spark, tmp_path, [rows[:25], rows[25:]])
+    queries = jobs.run_job(stream_in.file_lines(spark, source, files_per_batch=1), f"{tmp_path}/out", bounded=True)
+    assert not queries["events"].lastProgress["stateOperators"]
+    marked = jobs.job_output(spark, f"{tmp_path}/out", "marked")
+    assert {r.seq for r in marked.filter("NOT is_duplicate").collect()} == set(range(20))
