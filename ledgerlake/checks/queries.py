@@ -29,6 +29,8 @@ QUERIES: dict[str, Query] = {}
 
 # The supplied stream never has 100 arrivals in ten seconds; two is its busy level.
 BUSY = 2
+#: Lines of a large file of `compaction_selective`.
+LINES_A_FILE = 1_000_000
 
 
 def query(fn: Query) -> Query:
@@ -193,8 +195,9 @@ def compaction_keeps_rows(spark, sf_dir):
 
 @query
 def compaction_selective(spark, sf_dir):
-    """Half of the order lines in one file per flag, half in small files, of which only those are rewritten.
+    """Half of the order lines in large files, half in small files, of which only those are rewritten.
 
+    There is a large file per flag for every `LINES_A_FILE` lines, so that no task writes more than that.
     `selected`: rows of one quarter and price range, from fewer files than are live.
     """
     root = fresh_path(spark, "selective")
@@ -202,11 +205,12 @@ def compaction_selective(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_returnflag", F.col("l_shipdate").cast("date").alias("l_shipdate"),
         F.col("l_extendedprice").cast("double").alias("l_extendedprice"))
     even = F.col("l_orderkey") % 2 == 0
-    for part, n in ((rows.filter(even), 1), (rows.filter(~even), 40)):
+    large = 1 + rows.filter(even).count() // LINES_A_FILE
+    for part, n in ((rows.filter(even), large), (rows.filter(~even), 40 * large)):
         part.repartition(n).write.mode("append").partitionBy("l_returnflag").parquet(f"{root}/data")
     per_file = spark.read.parquet(f"{root}/data").select(file_name().alias("file"),
                                                          F.col("_metadata.file_size").alias("size")).distinct()
-    before = {r.file: r.size for r in per_file.collect()}  # at most 41 files a flag
+    before = {r.file: r.size for r in per_file.collect()}  # at most 41 files a flag and LINES_A_FILE lines
     small = max(before.values()) // 4
     compact_small(spark, root, ("l_shipdate", "l_extendedprice"), ("l_returnflag",), small, small)
     live = {r.file for r in manifest(spark, root).select("file").collect()}

@@ -29,3 +29,15 @@ def test_cardinality_reads_the_tables_once(spark, folder):
     assert not [f for f in out.inputFiles() if "lineitem" in f]
     exact = {r.column_name: r.exact_distinct for r in out.filter("days = 'all'").collect()}
     assert exact == {"transaction_id": 400, "account_id": 9, "merchant_id": 5, "type": 5}
+
+
+def test_large_files_hold_a_bounded_number_of_lines(spark, folder, monkeypatch):
+    written, compact = [], queries.compact_small
+    monkeypatch.setattr(queries, "LINES_A_FILE", 100)
+    monkeypatch.setattr(queries, "compact_small", lambda spark, root, *args: (
+        written.append(spark.read.parquet(f"{root}/data").filter("l_orderkey % 2 = 0").groupBy(
+            queries.file_name()).count().agg({"count": "max"}).first()[0]),
+        compact(spark, root, *args)))
+    out = queries.compaction_selective(spark, folder).collect()
+    assert sum(r.n for r in out) == 400 and all(r.large_kept for r in out)
+    assert written and written[0] <= 100 // 3 + 3
