@@ -61,7 +61,8 @@ def refresh_user_features(
     loaded = written(daily_partials(load), "load")
     replaced = stored_partials(spark, path).join(loaded.select("day").distinct(), "day", "left_semi")
     touched = written(replaced.select("user_id").union(loaded.select("user_id")).distinct(), "touched")
-    (loaded.repartition("day", F.pmod(F.xxhash64("user_id"), F.lit(16))).write.mode("overwrite")
+    # days share tasks, a large one is split: a file or a few per day, not sixteen
+    (loaded.hint("rebalance", "day").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
 
     held = names(spark, path)

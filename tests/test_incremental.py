@@ -75,3 +75,13 @@ def test_no_time_at_all_is_an_error(spark, transactions, tmp_path):
     with pytest.raises(ValueError):
         incremental.refresh_user_features(
             str(tmp_path / "partials"), none, none, spark.createDataFrame([], "user_id string"))
+
+
+def test_a_day_is_not_cut_into_many_files(spark, tmp_path, at):
+    import glob
+    rows = [(f"u{i}", None, "success", 1.0, at("10:00:00", day=1 + i % 2)) for i in range(64)]
+    fact = spark.createDataFrame(rows, "user_id string, merchant_id string, status string, amount double,"
+                                       " timestamp timestamp")
+    out = incremental.refresh_user_features(str(tmp_path), fact, fact, fact.select("user_id").distinct())
+    assert out.count() == 64
+    assert [len(glob.glob(f"{day}/*.parquet")) for day in glob.glob(f"{tmp_path}/day=*")] == [1, 1]
