@@ -91,3 +91,36 @@ def test_discounts():
     assert K.discounts(0, 1, 1, 1) == (0.5, 0.5, 0.5)
     one, two, three = K.discounts(100, 40, 20, 10)
     assert 0 < one < two < three < 3
+
+
+@pytest.mark.parametrize("buckets", [1, 40])
+def test_all_trusted_texts_are_trained_on_in_buckets(spark, documents, monkeypatch, buckets):
+    """Counts by bucket, frequent words dealt out, give what the model of all trusted texts gives."""
+    rows, df = documents(5, 60, extra=[(None, None, None, None, None, None, None, None)] * 2)
+    text = {i: t for i, t, *_ in rows}
+    trusted = spark.createDataFrame([(r[0],) for r in rows[:50]], "doc_id long")
+    monkeypatch.setattr(K, "BUCKET_BYTES", 1 + sum(len((t or "").encode()) for t in text.values()) // buckets)
+    fifth = {r.id for r in df.select("doc_id").distinct().selectExpr(
+        "doc_id AS id", "pmod(xxhash64(doc_id), 5) AS f").collect() if r.f == 0}
+    learned = [r[1] for r in rows[:50] if r[0] is not None and r[0] not in fifth]
+    brute = Brute(learned)
+    out = K.classify(df, trusted, sent_bytes=0, slices=2)
+    got = out.collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
+    for r in got:
+        assert r.n_tokens == len(tokens(text[r.doc_id])) - 2
+        assert r.log10_prob == pytest.approx(brute.log10(text[r.doc_id]), rel=1e-4)
+    whole = {str(r.doc_id): r for r in K.classify(df, trusted).collect()}
+    for r in got:
+        assert r.log10_prob == pytest.approx(whole[str(r.doc_id)].log10_prob, rel=1e-4)
+        assert r.kept == whole[str(r.doc_id)].kept
+    assert K.Buckets.of(np.array([0, 0, 50, 30, 5, 5, 10]), 40).dealt(np.arange(9)).sum() == 3
+
+
+def test_texts_beyond_five_hundred_of_a_language_are_trained_on(spark):
+    rows = [(i, f"common words every time only{i}", "en") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = K.classify(df, df.select("doc_id"))
+    held = {r.doc_id for r in df.filter("pmod(xxhash64(doc_id), 5) = 0").collect()}
+    worst = max(-r.log10_prob for r in out.collect() if r.doc_id not in held)
+    assert worst < min(-r.log10_prob for r in out.collect() if r.doc_id in held)
