@@ -115,3 +115,16 @@ def test_a_batch_that_failed_halfway_is_not_seen(spark, tmp_path, monkeypatch):
     table.apply(frame(spark, [line(2, "a", 2)]), 1)
     assert [r.n for r in table.read().collect()] == [Decimal("2.00")]
     assert LiveTable(spark, str(tmp_path / "new"), ROW, ["id"]).read().collect() == []
+
+
+def test_a_batch_writes_what_it_brings_until_folders_are_merged(spark, tmp_path):
+    root = str(tmp_path / "t")
+    table = LiveTable(spark, root, ROW, ["id"], buckets=6, kept=1)
+    for i in range(4):
+        table.apply(frame(spark, [line(10 + i, f"k{i}", i + 1), line(i + 1, "k0", 90 + i)]), i)
+    held = [spark.read.schema(table.stored).parquet(f"{root}/rows/{n}").count() for n in names(spark, f"{root}/rows")]
+    assert held == [1, 2, 2, 2]
+    for i in range(4, 30):
+        table.apply(frame(spark, [line(10 + i, f"k{i % 5}", i + 1)]), i)
+        assert len(names(spark, f"{root}/rows")) <= 6
+    assert {r.id: int(r.n) for r in table.read().collect()} == {f"k{i}": 26 + i for i in range(5)}
