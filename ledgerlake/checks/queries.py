@@ -421,13 +421,14 @@ def fact_snapshots(spark, sf_dir):
 
 @query
 def obt(spark, sf_dir):
+    rows = written(fact(spark, sf_dir), "fact")  # read for its keys, its days and its rows
     return shown(enrich_transactions(
-        fact(spark, sf_dir),
+        rows,
         model.dim_user(silver(spark, sf_dir, "users")),
         model.dim_account(silver(spark, sf_dir, "accounts")),
         model.dim_device(silver(spark, sf_dir, "devices")),
         model.dim_merchant(silver(spark, sf_dir, "merchants")),
-        dates(spark, sf_dir)))
+        model.dim_date(rows, silver(spark, sf_dir, "login_events"), silver(spark, sf_dir, "balance_snapshots"))))
 
 
 # --- Features and merchant analytics ----------------------------------------------------------

@@ -127,3 +127,33 @@ def test_latest_balance_fills_missing_accounts(spark):
                                   "account_id string, snapshot_date string, closing_balance double")
     assert {r.account_id: r.balance for r in
             profile.latest_balance(accounts, snaps).collect()} == {"a": 2.0, "b": 0.0}
+
+
+def test_wide_rows_are_shuffled_once_for_large_dimensions(spark, transactions):
+    rows = [{"transaction_id": str(i), "user_id": u, "account_id": a, "device_id": d}
+            for i, (u, a, d) in enumerate([("u1", "a1", "d1"), ("u1", "a1", "d1"), (None, "a1", None),
+                                           ("u2", None, "d1"), (None, None, None), ("u1", "zz", "d2")])]
+    fact = model.fact_transactions(transactions(*rows, rows[0]))
+    stamp = dt.datetime(2024, 1, 1)
+    dims = (spark.createDataFrame([("u1", True, stamp), ("u2", False, stamp), (None, True, stamp)],
+                                  "user_id string, kyc_verified boolean, created_at timestamp"),
+            spark.createDataFrame([("a1", "points", "VND", stamp)], "account_id string, account_type string,"
+                                  " currency string, created_at timestamp"),
+            spark.createDataFrame([("d1", "mobile", "x", stamp), ("d2", "tablet", "y", stamp)],
+                                  "device_id string, device_type string, os string, first_seen_at timestamp"),
+            spark.createDataFrame([("m1", "Shop", "grocery")],
+                                  "merchant_id string, merchant_name string, category string"))
+    days = model.dim_date(fact, fact.selectExpr("timestamp AS login_ts"), fact.selectExpr("timestamp AS snapshot_date"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = enrich_transactions(fact, *dims, days)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted((r.transaction_id, r.kyc_verified, r.account_type, r.device_type) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == [("0", True, "points", "mobile")] * 2 + [
+        ("1", True, "points", "mobile"), ("2", None, "points", None), ("3", False, None, "mobile"),
+        ("4", None, None, None), ("5", True, None, "tablet")]
+    joins = [n for n in plan.split("\n") if "Join LeftOuter" in n]
+    assert len(joins) == 6 and sum("strategy=broadcast" in n for n in joins) == 2
