@@ -786,7 +786,7 @@ def dq_silver(spark, sf_dir):
 
 @query
 def dq_gold(spark, sf_dir):
-    s = silver_zone(spark, sf_dir)
+    s = {t: written(df, t) for t, df in silver_zone(spark, sf_dir).items()}  # built from, and then counted
     # The supplied rows spread over 2,400 days; a folder per day would hold a dozen rows each.
     gold = gold_plan.build_gold(
         spark, config.Lakehouse(fresh_path(spark, "gold")), s, partitions={})
