@@ -30,13 +30,14 @@ clash. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import text as T
@@ -51,6 +52,10 @@ LEAST = 5
 ROUNDS = 3
 #: Words whose classes are sent to all tasks: 4 million of 18 bytes. More are joined to the shards.
 LOOKUP_WORDS = 4_000_000
+#: Texts, shards and blocks that a task gets at once; a larger one comes alone.
+BATCH_BYTES = 2 << 20
+#: Rows that Spark reads at once.
+BATCH_ROWS = 8
 ADD = 0.1
 _CLASS = 1024
 SMOOTH = 50.0
@@ -170,12 +175,21 @@ def _slices(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n): training places of the words, summed over the shards of a batch."""
+    """(word, n): training places of the words, summed over several shards of a task."""
+    def summed(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        words, n = _summed(*(np.concatenate(part) for part in zip(*held)))
+        return _slices(word=words.view(np.int64), n=n)
+
+    held = []
     for batch in batches:
         words, n = (np.frombuffer(b"".join(batch.column(batch.schema.get_field_index(c)).to_pylist()), kind)
                     for c, kind in (("words", np.uint64), ("counts", np.int64)))
-        words, n = _summed(words[n > 0], n[n > 0])
-        yield from _slices(word=words.view(np.int64), n=n)
+        held.append((words[n > 0], n[n > 0]))
+        if sum(len(w) for w, _ in held) >= _HELD:
+            yield from summed(held)
+            held = []
+    if held:
+        yield from summed(held)
 
 
 def _number_of(words: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -365,6 +379,11 @@ def _near(k: int, every: bool, lookup, buckets: int):
     size = k + 1
     codes = 2 * size + 1
 
+    def packed(held: list[Counted]) -> pa.RecordBatch:
+        merged = _merged(held, codes)
+        held.clear()
+        return _blocks(merged, codes, buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(size * size, np.int64)
         held = []
@@ -382,10 +401,9 @@ def _near(k: int, every: bool, lookup, buckets: int):
                 held.append(Counted(s.words, np.where(n > 0, classes, -1).astype(np.int16),
                                     *np.unique(keys, return_counts=True)))
                 if sum(len(h.keys) for h in held) >= _HELD:
-                    yield _blocks(_merged(held, codes), codes, buckets)
-                    held = []
+                    yield packed(held)
         if held:
-            yield _blocks(_merged(held, codes), codes, buckets)
+            yield packed(held)
         at = np.flatnonzero(table)
         none = {c: pa.nulls(len(at), pa.binary()) for c in _BLOCK}
         yield pa.RecordBatch.from_pydict({"bucket": pa.nulls(len(at), pa.int32()), "code": at.astype(np.int32),
@@ -509,10 +527,34 @@ def _dropped(df: DataFrame) -> None:
         drop(df.sparkSession, folder)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Few texts, shards or blocks at once in reading, in batches for Python and in pages of written files.
+
+    By default these count rows, thousands or a hundred at least: of shards, all that a task has.
+    """
+    of = {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+          "spark.sql.parquet.columnarReaderBatchSize": BATCH_ROWS, "parquet.page.size.row.check.min": 1}
+    before = {k: spark.conf.get(k, None) for k in of}
+    try:
+        for k, v in of.items():
+            spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT,
           classes: int = CLASSES, least: int = LEAST, rounds: int = ROUNDS,
           lookup_words: int = LOOKUP_WORDS) -> DataFrame:
     """Per document: `doc_id`, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`."""
+    with _small_batches(docs.sparkSession):
+        return written(_scores(docs, doc_id, text, frequent, classes, least, rounds, lookup_words), "scores")
+
+
+def _scores(docs: DataFrame, doc_id: str, text: str, frequent: int, classes: int, least: int, rounds: int,
+            lookup_words: int) -> DataFrame:
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     train = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 10 != 0

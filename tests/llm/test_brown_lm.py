@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import brown_lm as B
@@ -170,3 +171,38 @@ def test_superseded_tables_are_deleted(documents, tmp_path, spark, monkeypatch):
     for (label, _), table in labels.items():
         folder = {f.rsplit("/", 1)[0] for f in table.inputFiles()}.pop()
         assert bool(names(spark, folder)) == (label not in ("near", "round"))
+
+
+def test_tasks_get_shards_in_batches_of_bounded_size(documents, spark, monkeypatch):
+    """Of a few bytes here, so that each shard comes alone; the session's options are put back."""
+    monkeypatch.setattr(B, "BATCH_BYTES", 100, raising=False)
+
+    def one_by_one(real):
+        def made(*of):
+            run = real(*of)
+
+            def checked(batches):
+                def seen():
+                    for batch in batches:
+                        assert batch.num_rows == 1
+                        yield batch
+                return run(seen())
+            return checked
+        return made
+    for step in ("_bigrams", "_near", "_chosen", "_class_bigrams", "_scored"):
+        monkeypatch.setattr(B, step, one_by_one(getattr(B, step)))
+    options = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize",
+               "parquet.page.size.row.check.min")
+    before = [spark.conf.get(o, None) for o in options]
+    rows, df = documents(14)
+    assert B.score(df.repartition(12), frequent=12, classes=4).count() == len(rows)
+    assert [spark.conf.get(o, None) for o in options] == before
+
+
+def test_words_are_summed_over_batches():
+    def batch(words, counts):
+        return pa.RecordBatch.from_pydict({"words": [np.array(words, np.uint64).tobytes()],
+                                           "counts": [np.array(counts, np.int64).tobytes()]})
+    (got,) = B._word_counts(iter([batch([5, 7, 9], [1, 2, 0]), batch([7, 5], [4, 1])]))
+    assert got.to_pydict() == {"word": [5, 7], "n": [2, 6]}
+    assert not list(B._word_counts(iter([])))
