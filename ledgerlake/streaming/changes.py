@@ -6,6 +6,9 @@ last changes of its keys, in a folder of its own, and then publishes a manifest
 every bucket. When there would be more folders than buckets, a batch merges them all into its own. So
 batches write about as much as they bring, and readers keep the last change of a key. Readers go by the newest manifest and so see whole
 batches only; running a batch again starts from the manifest before it and gives the same table.
+
+A line may carry a schema block, which makes its text many times the size of the row. So text is kept
+compressed, and only of changes that could not be applied; what a batch stores for itself goes when the batch ends.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ledgerlake.operators.change import read_changes
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.sources.folders import drop, names
-from ledgerlake.sources.workspace import written
+from ledgerlake.sources.workspace import fresh_path
 
 BUCKETS = 64
 #: Manifests kept; what only older ones name is deleted.
@@ -59,10 +62,19 @@ class LiveTable:
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch of lines (`value`): usable changes into the table, the others to `quarantine`."""
-        folder = f"{batch_id:020d}"
         read = read_changes(batch.select("value"), self.kinds, keys=self.keys, **self.reading)
-        read = written(read.withColumn("value", F.when(~F.col("usable"), F.col("value"))), "changes")
-        read.filter("not usable").select("value").write.mode("overwrite").text(f"{self.root}/quarantine/{folder}")
+        read = read.withColumn("value", F.when(~F.col("usable"), F.col("value")))
+        path = fresh_path(self.spark, "changes")
+        try:
+            read.write.parquet(path)
+            self._add(read.sparkSession.read.schema(read.schema).parquet(path), batch_id)
+        finally:
+            drop(self.spark, path)
+
+    def _add(self, read: DataFrame, batch_id: int) -> None:
+        folder = f"{batch_id:020d}"
+        (read.filter("not usable").select("value").write.mode("overwrite").option("compression", "gzip")
+         .text(f"{self.root}/quarantine/{folder}"))
         changes = read.filter("usable").select(
             F.col("op").alias("_op"), F.col("position").alias("_position"), "row.*")
         before = self._manifest(batch_id)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import change
 from ledgerlake.sources.folders import names
+from ledgerlake.sources.workspace import shared_folder
 from ledgerlake.streaming.changes import LiveTable
 
 ROW = "id string, n decimal(18,2), at timestamp"
@@ -128,3 +129,18 @@ def test_a_batch_writes_what_it_brings_until_folders_are_merged(spark, tmp_path)
         table.apply(frame(spark, [line(10 + i, f"k{i % 5}", i + 1)]), i)
         assert len(names(spark, f"{root}/rows")) <= 6
     assert {r.id: int(r.n) for r in table.read().collect()} == {f"k{i}": 26 + i for i in range(5)}
+
+
+def test_a_batch_leaves_rows_and_compressed_text(spark, tmp_path, monkeypatch):
+    before, root = names(spark, f"{shared_folder(spark)}/ledgerlake"), str(tmp_path / "t")
+    table = LiveTable(spark, root, ROW, ["id"], buckets=2)
+    lines = [line(i, f"k{i}", "###", about="fields " * 50) for i in range(200)]
+    table.apply(frame(spark, [*lines, line(200, "a", 2)]).coalesce(1), 0)
+    with monkeypatch.context() as m:
+        m.setattr(table, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            table.apply(frame(spark, [line(201, "a", 3)]), 1)
+    assert names(spark, f"{shared_folder(spark)}/ledgerlake") == before
+    assert sum(f.stat().st_size for f in tmp_path.glob("t/quarantine/*/part-*")) < sum(map(len, lines)) / 4
+    assert sorted(r.value for r in table.quarantined().collect()) == sorted(lines)
+    assert [int(r.n) for r in table.read().collect()] == [2]

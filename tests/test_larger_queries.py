@@ -1,10 +1,13 @@
 """Queries whose work must not grow faster than their input, on rows of their own."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
 from ledgerlake.checks import queries
+from ledgerlake.sources.folders import names
+from ledgerlake.sources.workspace import shared_folder
 
 
 @pytest.fixture
@@ -41,3 +44,19 @@ def test_large_files_hold_a_bounded_number_of_lines(spark, folder, monkeypatch):
     out = queries.compaction_selective(spark, folder).collect()
     assert sum(r.n for r in out) == 400 and all(r.large_kept for r in out)
     assert written and written[0] <= 100 // 3 + 3
+
+
+def test_a_live_log_is_stored_once_and_compressed(spark, folder, monkeypatch):
+    shared = f"{shared_folder(spark)}/ledgerlake"
+    before = set(names(spark, shared))
+    monkeypatch.setattr(queries, "LINES_SENT", 20)
+    out = sorted(map(str, queries.cdc_live(spark, folder).collect()))
+    assert out == sorted(map(str, queries.cdc_typed(spark, folder).collect())) and out
+    kept = {n.rsplit("-", 1)[0][:12]: n for n in set(names(spark, shared)) - before}
+    assert sorted(kept) == ["live-changes", "sent-changes"]
+    lines = queries.typed_envelopes(spark, folder).select("value")
+    sent = spark.read.text(f"{shared}/{kept['sent-changes']}")
+    assert not sent.exceptAll(lines).count() and not lines.exceptAll(sent).count()
+    assert sent.groupBy(queries.file_name()).count().agg({"count": "max"}).first()[0] <= 20
+    on_disk = sum(f.stat().st_size for f in Path(shared).rglob("part-*") if any(n in f.parts for n in kept.values()))
+    assert on_disk < sum(len(r.value) for r in lines.collect()) / 2
